@@ -246,10 +246,15 @@ def yoy_calendar(monthly: DataFrame) -> DataFrame:
     """Calendar-exact YoY: the same series one calendar year earlier, by self-join
     on (series, month - 12 months) instead of 12 rows back."""
     keys = ["sales_channel", "region", "category"]
-    cur = monthly.select(*_GRAIN, "net_revenue")
+    cur = monthly.select(*_GRAIN, "net_revenue").alias("c")
     prior = monthly.select(*keys, F.add_months("order_month", 12).alias("order_month"),
-                           F.col("net_revenue").alias("prior_year_revenue"))
-    j = cur.join(prior, keys + ["order_month"], "left")
+                           F.col("net_revenue").alias("prior_year_revenue")).alias("p")
+    # Null-safe keys: a null category is one series, as in the 12-row lag.
+    cond = None
+    for k in keys + ["order_month"]:
+        eq = F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}"))
+        cond = eq if cond is None else cond & eq
+    j = cur.join(prior, cond, "left").select("c.*", "p.prior_year_revenue")
     return j.select(*_GRAIN, "net_revenue", "prior_year_revenue",
                     ratio4(F.col("net_revenue") - F.col("prior_year_revenue"),
                            F.col("prior_year_revenue")).alias("yoy_calendar_growth_pct"))
