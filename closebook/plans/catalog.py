@@ -137,8 +137,7 @@ QUERIES: dict[str, Query] = {
     "missing_cost_lines": _with(lambda m: sales.missing_cost_lines(m.order_line_economics)),
     "gl_classified": _model("gl_classified"),
     "completed_order_items": _model("completed_order_items"),
-    "order_totals": _with(lambda m: sales.order_totals(
-        sales.completed_lines(m.order_line_economics, m.cfg))),
+    "order_totals": _with(lambda m: sales.order_totals(m.completed_order_items)),
     "customer_360": _model("customer_360"),
     "customer_tier_counts": _with(lambda m: sales.customer_tier_counts(m.customer_360)),
     "revenue_performance_monthly": _model("revenue_performance_monthly"),

@@ -65,7 +65,8 @@ class Marts:
     # sales marts
     @cached_property
     def completed_order_items(self) -> DataFrame:
-        return sales.completed_order_items(self.order_line_economics, self.cfg)
+        return sales.completed_order_items(self.stg_order_items, self.stg_orders,
+                                           self.stg_products, self.cfg)
 
     @cached_property
     def customer_360(self) -> DataFrame:

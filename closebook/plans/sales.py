@@ -6,10 +6,10 @@ Shuffle plan (see README, "Physical plan"):
   on ``order_id`` (the dedupe of orders already shuffles on that key), and
   products are joined by broadcast only when the planner's size estimate is
   under the broadcast threshold (AQE re-checks with the runtime size).
-* order-level totals are a ``groupBy(order_id)`` joined back on ``order_id``,
-  both already partitioned on that key, so they add no exchange; unlike a
-  window over ``order_id`` the aggregate is partial (map-side) and the
-  join-back is a shuffle join that AQE can split when one order is hot.
+* order-level totals are a partial (map-side) ``groupBy(order_id)`` over the
+  lines, attached to the one row per order before lines meet orders; no
+  window gathers an order's lines in one task, and the line side of the one
+  big join can be split by AQE when one order is hot.
 * customer and monthly marts start from order-grain rows, so the line-grain
   fact is shuffled once more at most, and the two exact distinct counts of
   the monthly mart become plain counts plus one distinct.
@@ -27,22 +27,18 @@ from closebook.functions.columns import (
 )
 
 
-def order_line_economics(items: DataFrame, orders: DataFrame, products: DataFrame,
-                         cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    """One row per staged line; orphan lines and lines without a product are kept."""
-    oi, o, p = items.alias("oi"), orders.alias("o"), products.alias("p")
-    j = (oi.join(o, F.col("oi.order_id") == F.col("o.order_id"), "left")
-           .join(p, F.col("oi.product_id") == F.col("p.product_id"), "left"))
+def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Line-level economics that need only the product: cost, margin, discount.
+
+    Products are a dimension; the planner broadcasts them when their size is
+    under the broadcast threshold and shuffles otherwise.
+    """
+    oi, p = items.alias("oi"), products.alias("p")
+    j = oi.join(p, F.col("oi.product_id") == F.col("p.product_id"), "left")
     qty, net = F.col("oi.quantity"), F.col("oi.net_amount")
-    cost = F.coalesce(F.col("p.cost_price"), F.lit(0))
-    line_cost = qty * cost
+    line_cost = qty * F.coalesce(F.col("p.cost_price"), F.lit(0))
     return j.select(
         F.col("oi.order_item_id"), F.col("oi.order_id"), F.col("oi.product_id"),
-        F.col("o.customer_id"),
-        F.col("o.order_date"), F.col("o.shipped_date"), F.col("o.delivered_date"),
-        month_of("o.order_date").alias("order_month"),
-        year_of("o.order_date").alias("order_year"),
-        F.col("o.order_status"), F.col("o.sales_channel"), F.col("o.region"),
         F.col("p.sku"), F.col("p.product_name"), F.col("p.category"),
         F.col("p.subcategory"), F.col("p.brand"),
         F.col("p.cost_price").alias("standard_cost"), F.col("p.list_price"),
@@ -54,10 +50,36 @@ def order_line_economics(items: DataFrame, orders: DataFrame, products: DataFram
         F.col("p.cost_price").isNull().alias("has_missing_cost"),
         money(net - line_cost).alias("gross_profit"),
         ratio4(net - line_cost, net).alias("gross_margin_pct"),
-        F.col("o.order_status").isin(*cfg.completed_statuses).alias("is_revenue_recognized"),
     )
 
 
+_ORDER_COLS = ("customer_id", "order_date", "shipped_date", "delivered_date", "order_status",
+               "sales_channel", "region")
+_LINE_COLS = ("sku", "product_name", "category", "subcategory", "brand", "standard_cost",
+              "list_price", "quantity", "unit_price", "discount_pct", "effective_discount_pct",
+              "revenue", "cogs", "has_missing_cost", "gross_profit", "gross_margin_pct")
+
+
+def _econ_columns(cfg: MartConfig) -> list:
+    return [
+        "order_item_id", "order_id", "product_id", "customer_id",
+        "order_date", "shipped_date", "delivered_date",
+        month_of("order_date").alias("order_month"),
+        year_of("order_date").alias("order_year"),
+        "order_status", "sales_channel", "region", *_LINE_COLS,
+        F.col("order_status").isin(*cfg.completed_statuses).alias("is_revenue_recognized"),
+    ]
+
+
+def order_line_economics(items: DataFrame, orders: DataFrame, products: DataFrame,
+                         cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One row per staged line; orphan lines and lines without a product are kept
+    (order columns null, recognition flag null)."""
+    lv = line_values(items, products)
+    o = orders.select("order_id", *_ORDER_COLS)
+    return lv.join(o, "order_id", "left").select(*_econ_columns(cfg))
+
+
 def orphan_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Staged lines whose order_id has no staged order (the relationships test)."""
     return (items.join(orders.select("order_id"), "order_id", "left_anti")
@@ -77,11 +99,25 @@ def completed_lines(econ: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFr
                       & F.col("order_status").isin(*statuses))
 
 
-def order_totals(completed: DataFrame) -> DataFrame:
-    """One row per completed order: totals of its lines."""
-    return completed.groupBy("order_id").agg(
-        F.min("customer_id").alias("customer_id"),
-        F.min("order_date").alias("order_date"),
+def completed_orders(orders: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    return orders.where(F.col("order_status").isin(*cfg.completed_statuses))
+
+
+def order_sums(lines: DataFrame) -> DataFrame:
+    """Per order_id totals of its lines; partial aggregation runs map-side, so a
+    very large order is combined before the shuffle."""
+    return lines.groupBy("order_id").agg(
+        F.sum("revenue").alias("order_total_revenue"),
+        F.sum("cogs").alias("order_total_cogs"),
+        F.sum("gross_profit").alias("order_total_gross_profit"),
+        F.count(F.lit(1)).alias("order_line_count"),
+    )
+
+
+def order_totals(fact: DataFrame) -> DataFrame:
+    """One row per completed order: totals of its lines (the fact is already
+    partitioned by order_id, so this adds no exchange)."""
+    return fact.groupBy("order_id", "customer_id", "order_date").agg(
         F.sum("revenue").alias("order_total_revenue"),
         F.sum("cogs").alias("order_total_cogs"),
         F.sum("gross_profit").alias("order_total_gross_profit"),
@@ -90,21 +126,28 @@ def order_totals(completed: DataFrame) -> DataFrame:
     )
 
 
-def completed_order_items(econ: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def completed_order_items(items: DataFrame, orders: DataFrame, products: DataFrame,
+                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
+    Same rows as filtering the line economics on the recognition flag. Order
+    totals are summed over all lines of an order before the join (a completed
+    order's lines are all completed), attached to the one row per order, and
+    the lines meet their order once: the line side is shuffled once, no group
+    of lines is gathered by a window, and AQE may split a hot order_id on the
+    line side because the order side has one row per key.
     ``order_status`` is kept (the checks on this fact read it).
     """
-    done = completed_lines(econ, cfg)
-    totals = order_totals(done).select(
-        "order_id", "order_total_revenue", "order_total_cogs",
-        "order_total_gross_profit", "order_line_count")
-    f = done.join(totals, "order_id", "left")
+    lv = line_values(items, products)
+    o = (completed_orders(orders, cfg).select("order_id", *_ORDER_COLS)
+         .join(order_sums(lv), "order_id", "left"))
+    f = lv.join(o, "order_id", "inner")
     d = F.col("order_date")
     return f.select(
         surrogate_key("order_item_id").alias("order_item_sk"),
         "order_item_id", "order_id", "product_id", "customer_id",
-        "order_date", "shipped_date", "delivered_date", "order_month", "order_year",
+        "order_date", "shipped_date", "delivered_date",
+        month_of(d).alias("order_month"), year_of(d).alias("order_year"),
         day_of_week(d).alias("day_of_week"),
         F.quarter(d).alias("fiscal_quarter"),
         week_of_year(d).alias("iso_week"),
@@ -122,8 +165,7 @@ def _lifetime_metrics(fact: DataFrame) -> DataFrame:
     Equal to the line-grain definition: distinct orders = order rows, and the
     line-weighted mean of the order total is sum(total * lines) / sum(lines).
     """
-    per_order = fact.groupBy("order_id").agg(
-        F.min("customer_id").alias("customer_id"),
+    per_order = fact.groupBy("order_id", "customer_id").agg(
         F.min("order_date").alias("order_date"),
         F.sum("quantity").alias("units"),
         F.sum("revenue").alias("revenue"),
@@ -262,11 +304,8 @@ def yoy_calendar(monthly: DataFrame) -> DataFrame:
 
 def avg_order_value_per_order(fact: DataFrame) -> DataFrame:
     """AOV counting each order once, per month x channel x region."""
-    orders = fact.groupBy("order_id").agg(
-        F.min("order_month").alias("order_month"),
-        F.min("sales_channel").alias("sales_channel"),
-        F.min("region").alias("region"),
-        F.sum("revenue").alias("order_revenue"))
+    orders = (fact.groupBy("order_id", "order_month", "sales_channel", "region")
+                  .agg(F.sum("revenue").alias("order_revenue")))
     return orders.groupBy("order_month", "sales_channel", "region").agg(
         F.count(F.lit(1)).alias("orders"),
         money(F.sum("order_revenue")).alias("net_revenue"),
@@ -274,9 +313,7 @@ def avg_order_value_per_order(fact: DataFrame) -> DataFrame:
 
 
 def customer_aov_per_order(fact: DataFrame) -> DataFrame:
-    orders = fact.groupBy("order_id").agg(
-        F.min("customer_id").alias("customer_id"),
-        F.sum("revenue").alias("order_revenue"))
+    orders = fact.groupBy("order_id", "customer_id").agg(F.sum("revenue").alias("order_revenue"))
     return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_completed_orders"),
         mean_money(F.sum("order_revenue"), F.count(F.lit(1))).alias("avg_order_value_per_order"))
