@@ -17,12 +17,14 @@ from closebook.sources.schemas import RAW_SCHEMAS, SOURCE_IDENTIFIERS
 def read_csv_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Read a header-first CSV with the declared schema; fail on bad rows.
 
-    Blank fields load as null, quoted fields may hold commas and quotes.
+    Blank fields load as null; quoted fields may hold commas and doubled
+    quotes (RFC 4180); a bare quote inside an unquoted field is kept.
     """
     return (
         spark.read.schema(RAW_SCHEMAS[name])
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)

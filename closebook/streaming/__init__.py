@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only: every mart is a full refresh, and it
+has no watermark, window, trigger or state code. Late data is handled by the
+batch semantics instead: a late status update of an order is a newer
+``_loaded_at`` row that the dedupe picks on the next refresh, and a late
+ledger posting carries its accounting period in ``entry_date``, so the next
+refresh books it in the right month. No streaming operator is built, because
+none exists in the reference.
+"""
