@@ -6,9 +6,11 @@ result is the number of failing rows (or failing groups for the uniqueness
 kinds). Nulls pass every kind except ``not_null``; inside
 ``unique_combination`` nulls count as values.
 
-Row-level checks on one model (not_null, accepted_values, expression) are
-fused into a single aggregate, so k checks cost one scan of the model. Set
-checks need one aggregate or anti join each, all partial/map-side.
+Checks on one model are fused by family, so a model is read at most three
+times however many checks it has: row-level checks (not_null,
+accepted_values, expression) in one aggregate; unique and
+unique_combination in one explode + partial count; relationships in one
+anti join keyed by (check, key).
 """
 
 from __future__ import annotations
@@ -73,42 +75,79 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*structs)))
 
 
-def _set_check(check: Check, model: Callable[[str], DataFrame]) -> DataFrame:
-    df = model(check.model)
-    if check.kind == "unique":
-        c = F.col(check.column)
-        bad = df.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
-    elif check.kind == "unique_combination":
-        bad = df.groupBy(*check.columns).count().where(F.col("count") > 1)
-    elif check.kind == "relationships":
-        parent = model(check.to_model).select(F.col(check.to_field).alias("_parent_key"))
-        child = df.select(F.col(check.column).alias("_child_key")).where(F.col("_child_key").isNotNull())
-        bad = child.join(parent, child._child_key == parent._parent_key, "left_anti")
-    else:
-        raise ValueError(f"unknown check kind {check.kind}")
-    return bad.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.inline(F.array(_result_struct(check, F.col("_n")))))
+def _counts_as_rows(checks: list[Check], agg_df: DataFrame, idx: str) -> DataFrame:
+    """One row per check from a (check index, failing item) DataFrame, zero
+    rows included, without a join: count per index in one aggregate."""
+    counts = agg_df.agg(*[F.count_if(F.col(idx) == i).alias(f"_c{i}") for i in range(len(checks))])
+    return counts.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
+                                            for i, c in enumerate(checks)])))
+
+
+def _duplicate_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All unique / unique_combination checks of one model in one shuffle.
+
+    Each row emits one (check, value) pair per check; duplicated values are
+    found by a partial (map-side) count per pair. ``unique`` ignores null
+    values; a combination is encoded as JSON of its columns, so nulls count
+    as values there.
+    """
+    def value(c: Check) -> Column:
+        if c.kind == "unique":
+            return F.col(c.column).cast("string")
+        return F.to_json(F.struct(*[F.col(x) for x in c.columns]))
+    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), value(c).alias("_v"))
+                      for i, c in enumerate(checks)])
+    dup = (df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
+             .groupBy("_i", "_v").count().where(F.col("count") > 1))
+    return _counts_as_rows(checks, dup, "_i")
+
+
+def _relationship_checks(df: DataFrame, checks: list[Check],
+                         model: Callable[[str], DataFrame]) -> DataFrame:
+    """All relationships checks of one child model in one anti join on
+    (check, key): child keys without a parent key are failures."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c.column).cast("string").alias("_k"))
+                      for i, c in enumerate(checks)])
+    child = df.select(F.inline(pairs)).where(F.col("_k").isNotNull())
+    parents = None
+    for i, c in enumerate(checks):
+        p = model(c.to_model).select(F.lit(i).alias("_i"), F.col(c.to_field).cast("string").alias("_k"))
+        parents = p if parents is None else parents.unionByName(p)
+    orphans = child.join(parents.where(F.col("_k").isNotNull()), ["_i", "_k"], "left_anti")
+    return _counts_as_rows(checks, orphans, "_i")
 
 
 def run_checks(checks: Iterable[Check], model: Callable[[str], DataFrame]) -> DataFrame:
     """Evaluate checks; ``model(name)`` returns the DataFrame a check reads.
 
     Returns one row per check: check_id, kind, model, column_name, failures.
+    Per model at most three passes: row checks, duplicate checks, and
+    relationship checks.
     """
-    checks = list(checks)
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    groups: dict[tuple[str, str], list[Check]] = {}
     for c in checks:
-        if c.kind in ROW_KINDS:
-            by_model.setdefault(c.model, []).append(c)
+        family = ("row" if c.kind in ROW_KINDS
+                  else "dup" if c.kind in ("unique", "unique_combination") else "rel")
+        groups.setdefault((c.model, family), []).append(c)
+    parts: list[DataFrame] = []
+    for (name, family), group in groups.items():
+        df = model(name)
+        if family == "row":
+            parts.append(_row_checks(df, group))
+        elif family == "dup":
+            parts.append(_duplicate_checks(df, group))
         else:
-            parts.append(_set_check(c, model))
-    for name, group in by_model.items():
-        parts.append(_row_checks(model(name), group))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(_relationship_checks(df, group, model))
+    return union_all(parts)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: each union re-analyses its inputs,
+    so pairing halves keeps driver-side analysis O(n log n) in the parts."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -86,10 +86,7 @@ def source_freshness(m: Marts) -> DataFrame:
     feeds = {"orders": m.raw.orders, "gl_entries": m.raw.gl_entries}
     parts = [quality.freshness(feeds[r.source], r.source, "_loaded_at", as_of,
                                r.warn_after_hours, r.error_after_hours) for r in CFG.freshness]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.union_all(parts)
 
 
 # -------------------------------------------------------------- functions

@@ -7,7 +7,7 @@ twice shares one plan subtree and Spark can reuse its exchanges.
 
 from __future__ import annotations
 
-from functools import cached_property
+import functools
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +15,19 @@ from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.plans import finance, sales, staging
 
 
+def model(fn):
+    """A model property, built once per ``Marts`` instance."""
+    name = fn.__name__
+
+    @functools.wraps(fn)
+    def get(self):
+        cache = self.__dict__.setdefault("_models", {})
+        if name not in cache:
+            cache[name] = fn(self)
+        return cache[name]
+    return property(get)
+
+
 class Marts:
     def __init__(self, raw, cfg: MartConfig = DEFAULT_CONFIG):
         """``raw`` exposes the seven raw feeds as attributes (``orders``,
@@ -23,70 +36,71 @@ class Marts:
         self.raw = raw
         self.cfg = cfg
 
+
     # staging
-    @cached_property
+    @model
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.raw.orders)
 
-    @cached_property
+    @model
     def stg_order_items(self) -> DataFrame:
         return staging.stg_order_items(self.raw.order_items)
 
-    @cached_property
+    @model
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.raw.customers)
 
-    @cached_property
+    @model
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.raw.products)
 
-    @cached_property
+    @model
     def stg_gl_entries(self) -> DataFrame:
         return staging.stg_gl_entries(self.raw.gl_entries)
 
-    @cached_property
+    @model
     def stg_chart_of_accounts(self) -> DataFrame:
         return staging.stg_chart_of_accounts(self.raw.chart_of_accounts, self.cfg)
 
-    @cached_property
+    @model
     def stg_budgets(self) -> DataFrame:
         return staging.stg_budgets(self.raw.budgets)
 
     # intermediate
-    @cached_property
+    @model
     def order_line_economics(self) -> DataFrame:
         return sales.order_line_economics(self.stg_order_items, self.stg_orders,
                                           self.stg_products, self.cfg)
 
-    @cached_property
+    @model
     def gl_classified(self) -> DataFrame:
         return finance.gl_classified(self.stg_gl_entries, self.stg_chart_of_accounts, self.cfg)
 
     # sales marts
-    @cached_property
+    @model
     def completed_order_items(self) -> DataFrame:
         return sales.completed_order_items(self.stg_order_items, self.stg_orders,
                                            self.stg_products, self.cfg)
 
-    @cached_property
+    @model
     def customer_360(self) -> DataFrame:
         return sales.customer_360(self.stg_customers, self.completed_order_items, self.cfg)
 
-    @cached_property
+    @model
     def revenue_performance_monthly(self) -> DataFrame:
         return sales.revenue_performance_monthly(self.completed_order_items, self.customer_360)
 
     # finance marts
-    @cached_property
+    @model
     def gl_activity_monthly(self) -> DataFrame:
         return finance.gl_activity_monthly(self.gl_classified)
 
-    @cached_property
+    @model
     def income_statement_monthly(self) -> DataFrame:
         return finance.income_statement_monthly(self.gl_activity_monthly, self.stg_budgets,
                                                 self.cfg)
 
-    @cached_property
+    @model
     def revenue_reconciliation(self) -> DataFrame:
         return finance.revenue_reconciliation(self.completed_order_items, self.gl_classified,
                                               self.cfg)

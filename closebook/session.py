@@ -29,6 +29,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
+    # Remove checkpoint files once their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -46,11 +48,21 @@ def build_session(master: str = "local[*]", app: str = "closebook",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only if unset."""
+    """Return the session's checkpoint folder.
+
+    ``spark.checkpoint.dir`` from the session wins. Only when it is unset is
+    a folder chosen: a scratch folder for local sessions (tests, bench), or
+    ``<warehouse>/_checkpoints`` on a cluster, which is shared storage.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    path = conf or tempfile.mkdtemp(prefix="closebook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if spark.sparkContext.master.startswith("local"):
+            path = tempfile.mkdtemp(prefix="closebook-ckpt-",
+                                    dir=os.environ.get("TMPDIR", "/tmp"))
+        else:
+            path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path

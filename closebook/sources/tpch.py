@@ -109,13 +109,19 @@ def line_net_amount(quantity: Column, unit_price: Column, discount_pct: Column)
 
 @dataclass
 class DriverTables:
-    """Lazy readers for the driver's parquet tables in one directory."""
+    """Lazy readers for the driver's parquet tables in one directory (each
+    table is listed and its footer read once per instance)."""
 
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self):
+        self._tables: dict[str, DataFrame] = {}
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self._tables[name]
 
 
 class RawFeeds:
