@@ -56,11 +56,15 @@ def customer_history(m: Marts) -> DataFrame:
 
 
 def segment_at_purchase(m: Marts) -> DataFrame:
-    lines = m.completed_order_items.select("customer_id", "order_date", "order_month", "revenue")
-    j = snapshot.as_of_join(lines, customer_history(m), "customer_id", F.col("order_date"),
+    """Completed revenue by month and by the customer's segment at order time
+    (as-of join of orders with the SCD2 history; order grain, so no line rows
+    are shuffled)."""
+    orders = m.order_facts.select("customer_id", "order_date", "order_month",
+                                  "order_line_count", "order_total_revenue")
+    j = snapshot.as_of_join(orders, customer_history(m), "customer_id", F.col("order_date"),
                             ["customer_segment"])
     return j.groupBy("order_month", "customer_segment").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
+        F.sum("order_line_count").alias("lines"), F.sum("order_total_revenue").alias("revenue"))
 
 
 # ----------------------------------------------------------------- checks
@@ -134,7 +138,7 @@ QUERIES: dict[str, Query] = {
     "missing_cost_lines": _with(lambda m: sales.missing_cost_lines(m.order_line_economics)),
     "gl_classified": _model("gl_classified"),
     "completed_order_items": _model("completed_order_items"),
-    "order_totals": _with(lambda m: sales.order_totals(m.completed_order_items)),
+    "order_totals": _with(lambda m: sales.order_totals(m.order_facts)),
     "customer_360": _model("customer_360"),
     "customer_tier_counts": _with(lambda m: sales.customer_tier_counts(m.customer_360)),
     "revenue_performance_monthly": _model("revenue_performance_monthly"),
@@ -162,7 +166,7 @@ QUERIES: dict[str, Query] = {
     "source_freshness": _with(source_freshness),
     "customer_history": _with(customer_history),
     "segment_at_purchase": _with(segment_at_purchase),
-    "avg_order_value_per_order": _with(lambda m: sales.avg_order_value_per_order(m.completed_order_items)),
-    "customer_aov_per_order": _with(lambda m: sales.customer_aov_per_order(m.completed_order_items)),
+    "avg_order_value_per_order": _with(lambda m: sales.avg_order_value_per_order(m.order_facts)),
+    "customer_aov_per_order": _with(lambda m: sales.customer_aov_per_order(m.order_facts)),
     "yoy_calendar": _with(lambda m: sales.yoy_calendar(m.revenue_performance_monthly)),
 }

@@ -135,18 +135,21 @@ def budget_variance(pnl: DataFrame) -> DataFrame:
                       "revenue_vs_budget_pct", "revenue_vs_budget_usd")
 
 
-def revenue_reconciliation(fact: DataFrame, classified: DataFrame,
+def revenue_reconciliation(facts: DataFrame, classified: DataFrame,
                            cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """Months where sales-fact revenue and ledger order revenue differ by more
     than the tolerance, newest first, with an investigation hint.
 
+    Sales side: the order facts (completed orders with their line totals),
+    whose revenue by order month equals the line fact's.
+
     Ledger side: operating-revenue P&L entries that carry an order reference,
     read from the classified ledger (the monthly roll-up has no such flag).
     """
     start = F.lit(cfg.start_date)
-    sales = (fact.where(F.col("order_month") >= start)
-                 .groupBy(F.col("order_month").alias("month"))
-                 .agg(money(F.sum("revenue")).alias("sales_fact_revenue")))
+    sales = (facts.where(F.col("order_month") >= start)
+                  .groupBy(F.col("order_month").alias("month"))
+                  .agg(money(F.sum("order_total_revenue")).alias("sales_fact_revenue")))
     gl = (classified.where((F.col("account_subtype") == cfg.revenue_subtype)
                            & (F.col("is_order_revenue") == F.lit(True))
                            & (F.col("is_income_statement") == F.lit(True))

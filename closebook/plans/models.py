@@ -77,14 +77,19 @@ class Marts:
         return finance.gl_classified(self.stg_gl_entries, self.stg_chart_of_accounts, self.cfg)
 
     # sales marts
+    @model
+    def order_facts(self) -> DataFrame:
+        return sales.order_facts(self.stg_order_items, self.stg_orders, self.stg_products,
+                                 self.cfg)
+
     @model
     def completed_order_items(self) -> DataFrame:
-        return sales.completed_order_items(self.stg_order_items, self.stg_orders,
-                                           self.stg_products, self.cfg)
+        return sales.completed_order_items(self.stg_order_items, self.stg_products,
+                                           self.order_facts)
 
     @model
     def customer_360(self) -> DataFrame:
-        return sales.customer_360(self.stg_customers, self.completed_order_items, self.cfg)
+        return sales.customer_360(self.stg_customers, self.order_facts, self.cfg)
 
     @model
     def revenue_performance_monthly(self) -> DataFrame:
@@ -102,8 +107,7 @@ class Marts:
 
     @model
     def revenue_reconciliation(self) -> DataFrame:
-        return finance.revenue_reconciliation(self.completed_order_items, self.gl_classified,
-                                              self.cfg)
+        return finance.revenue_reconciliation(self.order_facts, self.gl_classified, self.cfg)
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -50,8 +50,7 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
             sinks.write_clustered(m.completed_order_items, path(name), "order_month",
                                   ("order_date", "sales_channel"))
         elif name == "customer_360":
-            sinks.write_table(sales.customer_360(m.stg_customers, table("completed_order_items"), cfg),
-                              path(name))
+            sinks.write_table(m.customer_360, path(name))
         elif name == "revenue_performance_monthly":
             sinks.write_table(sales.revenue_performance_monthly(
                 table("completed_order_items"), table("customer_360")), path(name))

@@ -10,9 +10,12 @@ Shuffle plan (see README, "Physical plan"):
   lines, attached to the one row per order before lines meet orders; no
   window gathers an order's lines in one task, and the line side of the one
   big join can be split by AQE when one order is hot.
-* customer and monthly marts start from order-grain rows, so the line-grain
-  fact is shuffled once more at most, and the two exact distinct counts of
-  the monthly mart become plain counts plus one distinct.
+* every order-grain mart (customer 360, order totals, per-order AOV, the
+  sales side of the reconciliation) reads ``order_facts``: completed orders
+  joined with the partial per-order sums of their lines, so no line-level
+  rows are shuffled for them. Only the line fact and the monthly mart
+  (category is a line attribute) join lines to orders; the monthly mart's
+  two exact distinct counts become a row count plus one distinct.
 """
 
 from __future__ import annotations
@@ -111,36 +114,49 @@ def order_sums(lines: DataFrame) -> DataFrame:
         F.sum("cogs").alias("order_total_cogs"),
         F.sum("gross_profit").alias("order_total_gross_profit"),
         F.count(F.lit(1)).alias("order_line_count"),
+        F.sum("quantity").alias("order_units"),
     )
 
 
-def order_totals(fact: DataFrame) -> DataFrame:
-    """One row per completed order: totals of its lines (the fact is already
-    partitioned by order_id, so this adds no exchange)."""
-    return fact.groupBy("order_id", "customer_id", "order_date").agg(
-        F.sum("revenue").alias("order_total_revenue"),
-        F.sum("cogs").alias("order_total_cogs"),
-        F.sum("gross_profit").alias("order_total_gross_profit"),
-        F.count(F.lit(1)).alias("order_line_count"),
-        F.sum("quantity").alias("order_units"),
-    )
+def order_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
+                cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One row per completed order that has lines: order attributes plus the
+    totals of its lines.
+
+    Every order-grain mart reads this instead of the line fact: only the
+    partial per-order sums of the lines are shuffled, and both join sides have
+    one row per order_id. A completed order's lines are all completed lines,
+    so the totals equal those of the fact's lines.
+    """
+    lv = line_values(items, products)
+    return (completed_orders(orders, cfg).select("order_id", *_ORDER_COLS)
+            .join(order_sums(lv), "order_id", "inner")
+            .withColumn("order_month", month_of("order_date")))
+
+
+def order_totals(facts: DataFrame) -> DataFrame:
+    """One row per completed order: totals of its lines."""
+    return facts.select("order_id", "customer_id", "order_date", "order_total_revenue",
+                        "order_total_cogs", "order_total_gross_profit", "order_line_count",
+                        "order_units")
+
+
+_TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit",
+           "order_line_count")
 
 
-def completed_order_items(items: DataFrame, orders: DataFrame, products: DataFrame,
-                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFrame) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
-    Same rows as filtering the line economics on the recognition flag. Order
-    totals are summed over all lines of an order before the join (a completed
-    order's lines are all completed), attached to the one row per order, and
-    the lines meet their order once: the line side is shuffled once, no group
-    of lines is gathered by a window, and AQE may split a hot order_id on the
-    line side because the order side has one row per key.
+    Same rows as filtering the line economics on the recognition flag: each
+    line meets its completed order (with the order's line totals attached)
+    in one join. The line side is shuffled once, no group of lines is
+    gathered by a window, and AQE may split a hot order_id on the line side
+    because the order side has one row per key.
     ``order_status`` is kept (the checks on this fact read it).
     """
     lv = line_values(items, products)
-    o = (completed_orders(orders, cfg).select("order_id", *_ORDER_COLS)
-         .join(order_sums(lv), "order_id", "left"))
+    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
     f = lv.join(o, "order_id", "inner")
     d = F.col("order_date")
     return f.select(
@@ -154,33 +170,27 @@ def completed_order_items(items: DataFrame, orders: DataFrame, products: DataFra
         "order_status", "sales_channel", "region", "category", "subcategory", "brand", "sku",
         "quantity", "list_price", "unit_price", "discount_pct", "effective_discount_pct",
         "revenue", "cogs", "gross_profit", "gross_margin_pct", "has_missing_cost",
-        "order_total_revenue", "order_total_cogs", "order_total_gross_profit",
-        "order_line_count",
+        *_TOTALS,
     )
 
 
-def _lifetime_metrics(fact: DataFrame) -> DataFrame:
-    """Per customer, from order-grain rows (one shuffle on customer_id).
+def _lifetime_metrics(facts: DataFrame) -> DataFrame:
+    """Per customer from the order facts (one shuffle on customer_id).
 
     Equal to the line-grain definition: distinct orders = order rows, and the
-    line-weighted mean of the order total is sum(total * lines) / sum(lines).
+    line-weighted mean of the order total is sum(total * lines) / sum(lines)
+    over lines whose order total is not null.
     """
-    per_order = fact.groupBy("order_id", "customer_id").agg(
-        F.min("order_date").alias("order_date"),
-        F.sum("quantity").alias("units"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("gross_profit").alias("gross_profit"),
-        F.sum("order_total_revenue").alias("weighted_total"),
-        F.count("order_total_revenue").alias("weighted_n"),
-    )
-    return per_order.groupBy("customer_id").agg(
+    total = F.col("order_total_revenue")
+    weighted_n = F.when(total.isNotNull(), F.col("order_line_count"))
+    return facts.groupBy("customer_id").agg(
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count(F.lit(1)).alias("total_completed_orders"),
-        F.sum("units").alias("total_units_purchased"),
-        money(F.sum("revenue")).alias("lifetime_revenue"),
-        money(F.sum("gross_profit")).alias("lifetime_gross_profit"),
-        mean_money(F.sum("weighted_total"), F.sum("weighted_n")).alias("avg_order_value"),
+        F.sum("order_units").alias("total_units_purchased"),
+        money(F.sum(total)).alias("lifetime_revenue"),
+        money(F.sum("order_total_gross_profit")).alias("lifetime_gross_profit"),
+        mean_money(F.sum(total * F.col("order_line_count")), F.sum(weighted_n)).alias("avg_order_value"),
         ratio4(F.count(F.lit(1)) - F.lit(1.0), F.count(F.lit(1))).alias("repurchase_rate"),
     )
 
@@ -193,10 +203,11 @@ def customer_tier(revenue, cfg: MartConfig = DEFAULT_CONFIG):
     return expr.when(revenue > 0, cfg.bronze_tier).otherwise(cfg.prospect_tier)
 
 
-def customer_360(customers: DataFrame, fact: DataFrame,
+def customer_360(customers: DataFrame, facts: DataFrame,
                  cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    """One row per staged customer, prospects included (metrics null)."""
-    m = _lifetime_metrics(fact)
+    """One row per staged customer, prospects included (metrics null).
+    ``facts`` is the order-grain ``order_facts``."""
+    m = _lifetime_metrics(facts)
     c = customers.alias("c")
     j = c.join(m.alias("m"), F.col("c.customer_id") == F.col("m.customer_id"), "left")
     as_of = F.lit(cfg.as_of)
@@ -302,18 +313,17 @@ def yoy_calendar(monthly: DataFrame) -> DataFrame:
                            F.col("prior_year_revenue")).alias("yoy_calendar_growth_pct"))
 
 
-def avg_order_value_per_order(fact: DataFrame) -> DataFrame:
+def avg_order_value_per_order(facts: DataFrame) -> DataFrame:
     """AOV counting each order once, per month x channel x region."""
-    orders = (fact.groupBy("order_id", "order_month", "sales_channel", "region")
-                  .agg(F.sum("revenue").alias("order_revenue")))
-    return orders.groupBy("order_month", "sales_channel", "region").agg(
+    rev = F.col("order_total_revenue")
+    return facts.groupBy("order_month", "sales_channel", "region").agg(
         F.count(F.lit(1)).alias("orders"),
-        money(F.sum("order_revenue")).alias("net_revenue"),
-        mean_money(F.sum("order_revenue"), F.count(F.lit(1))).alias("avg_order_value"))
+        money(F.sum(rev)).alias("net_revenue"),
+        mean_money(F.sum(rev), F.count(F.lit(1))).alias("avg_order_value"))
 
 
-def customer_aov_per_order(fact: DataFrame) -> DataFrame:
-    orders = fact.groupBy("order_id", "customer_id").agg(F.sum("revenue").alias("order_revenue"))
-    return orders.groupBy("customer_id").agg(
+def customer_aov_per_order(facts: DataFrame) -> DataFrame:
+    rev = F.col("order_total_revenue")
+    return facts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_completed_orders"),
-        mean_money(F.sum("order_revenue"), F.count(F.lit(1))).alias("avg_order_value_per_order"))
+        mean_money(F.sum(rev), F.count(F.lit(1))).alias("avg_order_value_per_order"))

@@ -44,3 +44,13 @@ def test_lineitem_scan_is_pruned(plans):
 def test_fact_shuffle_budget(plans):
     # lines once, orders once (dedupe), per-order partial sums once.
     assert len(re.findall(r"Exchange hashpartitioning", plans["completed_order_items"])) == 3
+
+
+def test_order_grain_marts_shuffle_no_line_rows(plans):
+    # customer 360: orders (dedupe), per-order partial line sums, customers,
+    # metrics by customer -- the lines themselves are never exchanged.
+    for name in ("customer_360", "order_totals", "customer_aov_per_order"):
+        plan = plans[name]
+        line_exchanges = re.findall(r"Exchange hashpartitioning\(order_id#\d+, \d+\)", plan)
+        assert "partial_sum" in plan, name
+        assert len(line_exchanges) == 2, (name, line_exchanges)   # orders + partial sums
