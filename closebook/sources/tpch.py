@@ -107,10 +107,28 @@ def line_net_amount(quantity: Column, unit_price: Column, discount_pct: Column)
     return F.round(quantity * unit_price * (F.lit(1) - F.coalesce(discount_pct, F.lit(0))), 2)
 
 
+# Declared schemas of the driver tables this module reads (no footer-based
+# schema inference per read).
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 @dataclass
 class DriverTables:
     """Lazy readers for the driver's parquet tables in one directory (each
-    table is listed and its footer read once per instance)."""
+    table is listed once per instance and read with its declared schema)."""
 
     spark: SparkSession
     sf_dir: str
@@ -120,7 +138,10 @@ class DriverTables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
         return self._tables[name]
 
 
@@ -188,11 +209,14 @@ class RawFeeds:
         li = self.driver.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_shipdate")
-        p = self.driver.table("part").select("p_partkey", "p_retailprice")
+        # List price is a per-part value: compute it on the part side (one row
+        # per part) before the join, not once per line.
+        p = self.driver.table("part").select(
+            "p_partkey", list_price_of(F.col("p_retailprice")).alias("list_price"))
         j = li.join(p, li.l_partkey == p.p_partkey, "left")
         tier = (F.lit(100) - F.lit(5) * (F.col("l_linenumber") % 4)).cast("decimal(9,0)")
         unit_price = F.round(
-            list_price_of(F.col("p_retailprice")) * tier * _lit_dec(Decimal("0.01"), 4, 2), 2
+            F.col("list_price") * tier * _lit_dec(Decimal("0.01"), 4, 2), 2
         ).cast(MONEY)
         price_cents = F.floor(F.col("l_extendedprice") * F.lit(100.0) + F.lit(0.5))
         item_id = F.concat_ws(
