@@ -37,6 +37,9 @@ class MartConfig:
     )
     revenue_subtype: str = "operating_revenue"
     budget_account: str = "REV_TOTAL"
+    # SCD2 customer history: key and the columns whose change makes a version.
+    snapshot_key: str = "customer_id"
+    snapshot_check_cols: tuple[str, ...] = ("customer_segment", "country", "city")
     reconciliation_tolerance: float = 0.01
     reconciliation_high: float = 0.05
     freshness: tuple[FreshnessRule, ...] = field(default_factory=lambda: (

@@ -50,8 +50,8 @@ def customer_history(m: Marts) -> DataFrame:
     snap = None
     for no, ts in enumerate(SNAPSHOT_LOADS, start=1):
         load = staging.stg_customers(ext.where(F.col("load_no") == no).drop("load_no", "load_ts"))
-        snap = snapshot.snapshot_apply(snap, load, "customer_id",
-                                       ("customer_segment", "country", "city"), ts)
+        snap = snapshot.snapshot_apply(snap, load, m.cfg.snapshot_key,
+                                       m.cfg.snapshot_check_cols, ts)
     return snap
 
 

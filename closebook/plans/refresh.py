@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.plans import finance, sales
+from closebook.operators.snapshot import snapshot_apply
 from closebook.plans.models import Marts
 from closebook.sources import sinks
 
@@ -61,3 +62,20 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
                 table("gl_activity_monthly"), m.stg_budgets, cfg), path(name))
         paths[name] = path(name)
     return paths
+
+
+def snapshot_customers(spark: SparkSession, raw, base_path: str, version: str,
+                       as_of, previous: str | None = None,
+                       cfg: MartConfig = DEFAULT_CONFIG) -> str:
+    """One snapshot run: apply the current staged customers to the previous
+    version (``previous`` path, or none for the first run) and write the
+    result as a new version under ``base_path``. Returns the new path.
+
+    The previous version is read from storage, so each run's lineage is one
+    snapshot step, and a failed run leaves every earlier version intact.
+    """
+    m = Marts(raw, cfg)
+    existing = sinks.read_table(spark, previous) if previous else None
+    snap = snapshot_apply(existing, m.stg_customers, cfg.snapshot_key, cfg.snapshot_check_cols,
+                          as_of)
+    return sinks.write_versioned(snap, base_path, version)

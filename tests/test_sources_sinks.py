@@ -66,3 +66,23 @@ def test_versioned_sink_never_overwrites(spark, tmp_path):
     assert spark.read.parquet(p).count() == 3
     with pytest.raises(Exception):
         sinks.write_versioned(df, str(tmp_path / "snap"), "1")
+
+
+def test_snapshot_runs_write_new_versions(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from closebook.plans.refresh import snapshot_customers
+    base = str(tmp_path / "customers_snapshot")
+    f = feeds(spark)
+    v1 = snapshot_customers(spark, f, base, "1", dt.datetime(2024, 6, 1))
+    moved = f.customers.withColumn(
+        "city", F.when(F.col("customer_id") == "C2", F.lit("Beijing")).otherwise(F.col("city")))
+    f2 = SimpleNamespace(**{**vars(f), "customers": moved.where(F.col("customer_id") != "C4")})
+    v2 = snapshot_customers(spark, f2, base, "2", dt.datetime(2024, 7, 1), previous=v1)
+    snap = spark.read.parquet(v2)
+    assert spark.read.parquet(v1).count() == 4                 # earlier version untouched
+    rows = sorted((r["customer_id"], r["city"], r["valid_to"]) for r in snap.collect())
+    assert rows == [("C1", "madrid", None),
+                    ("C2", "beijing", None), ("C2", "xian", dt.datetime(2024, 7, 1)),
+                    ("C3", "lima", None),
+                    ("C4", "arica", dt.datetime(2024, 7, 1))]
