@@ -40,6 +40,10 @@ class MartConfig:
     # SCD2 customer history: key and the columns whose change makes a version.
     snapshot_key: str = "customer_id"
     snapshot_check_cols: tuple[str, ...] = ("customer_segment", "country", "city")
+    # Hot-key split of the line-to-order join: an order with at least this many
+    # lines is spread over up to max_key_fanout join tasks (operators/skew.py).
+    hot_key_rows: int = 10_000_000
+    max_key_fanout: int = 512
     reconciliation_tolerance: float = 0.01
     reconciliation_high: float = 0.05
     freshness: tuple[FreshnessRule, ...] = field(default_factory=lambda: (

@@ -85,7 +85,7 @@ class Marts:
     @model
     def completed_order_items(self) -> DataFrame:
         return sales.completed_order_items(self.stg_order_items, self.stg_products,
-                                           self.order_facts)
+                                           self.order_facts, self.cfg)
 
     @model
     def customer_360(self) -> DataFrame:

@@ -8,8 +8,8 @@ Shuffle plan (see README, "Physical plan"):
   under the broadcast threshold (AQE re-checks with the runtime size).
 * order-level totals are a partial (map-side) ``groupBy(order_id)`` over the
   lines, attached to the one row per order before lines meet orders; no
-  window gathers an order's lines in one task, and the line side of the one
-  big join can be split by AQE when one order is hot.
+  window gathers an order's lines in one task, and an order with very many
+  lines is split over several join tasks (``operators/skew.py``).
 * every order-grain mart (customer 360, order totals, per-order AOV, the
   sales side of the reconciliation) reads ``order_facts``: completed orders
   joined with the partial per-order sums of their lines, so no line-level
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
+from closebook.operators.skew import hot_keys, salted_join
 from closebook.functions.columns import (
     RATIO_SUM, day_of_week, mean_money, mean_ratio, money, month_of, ratio4,
     surrogate_key, week_of_year, year_of,
@@ -145,19 +146,23 @@ _TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit"
            "order_line_count")
 
 
-def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFrame) -> DataFrame:
+def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFrame,
+                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
     Same rows as filtering the line economics on the recognition flag: each
     line meets its completed order (with the order's line totals attached)
-    in one join. The line side is shuffled once, no group of lines is
-    gathered by a window, and AQE may split a hot order_id on the line side
-    because the order side has one row per key.
+    in one join. The line side is shuffled once and no group of lines is
+    gathered by a window. An order with very many lines is split over several
+    join tasks (``hot_keys`` + ``salted_join``: a partial count of line ids
+    per order finds them), so one hot order cannot become a single
+    straggler task.
     ``order_status`` is kept (the checks on this fact read it).
     """
     lv = line_values(items, products)
     o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
-    f = lv.join(o, "order_id", "inner")
+    hot = hot_keys(items.select("order_id"), "order_id", cfg.hot_key_rows, cfg.max_key_fanout)
+    f = salted_join(lv, o, "order_id", hot, "order_item_id")
     d = F.col("order_date")
     return f.select(
         surrogate_key("order_item_id").alias("order_item_sk"),

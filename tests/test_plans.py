@@ -41,9 +41,18 @@ def test_lineitem_scan_is_pruned(plans):
         assert "l_returnflag" not in s and "l_tax" not in s and "l_shipdate" not in s
 
 
-def test_fact_shuffle_budget(plans):
-    # lines once, orders once (dedupe), per-order partial sums once.
-    assert len(re.findall(r"Exchange hashpartitioning", plans["completed_order_items"])) == 3
+def test_fact_shuffle_budget(plans, spark, small_sf):
+    # lines once (order_id, salt), orders once (dedupe), per-order partial sums
+    # once, order facts once (order_id, salt), and the partial line-id counts
+    # behind the broadcast hot-key list, which both join sides read.
+    plan = plans["completed_order_items"]
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 6
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, _salt#\d+", plan)) == 2
+    # At run time the second read of the hot-key counts reuses the first exchange.
+    df = QUERIES["completed_order_items"](spark, small_sf)
+    df.collect()                                   # runs this DataFrame's own plan
+    final = _plan(df)
+    assert "isFinalPlan=true" in final and "ReusedExchange" in final
 
 
 def test_order_grain_marts_shuffle_no_line_rows(plans):
