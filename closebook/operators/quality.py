@@ -6,11 +6,13 @@ result is the number of failing rows (or failing groups for the uniqueness
 kinds). Nulls pass every kind except ``not_null``; inside
 ``unique_combination`` nulls count as values.
 
-Checks on one model are fused by family, so a model is read at most three
-times however many checks it has: row-level checks (not_null,
-accepted_values, expression) in one aggregate; unique and
-unique_combination in one explode + partial count; relationships in one
-anti join keyed by (check, key).
+All checks on one model read one long form of it (one entry per row with
+the row-level failure flags, plus one entry per row and uniqueness or
+relationship check), so the model's plan is the same under every check
+family and Spark computes its shuffles once: row-level checks (not_null,
+accepted_values, expression) are one aggregate, unique and
+unique_combination one partial count, relationships one anti join keyed
+by (check, key).
 """
 
 from __future__ import annotations
@@ -68,13 +70,6 @@ def _result_struct(check: Check, failures: Column) -> Column:
     )
 
 
-def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = df.agg(*[F.count_if(c.failing_condition()).alias(f"_c{i}")
-                      for i, c in enumerate(checks)])
-    structs = [_result_struct(c, F.col(f"_c{i}")) for i, c in enumerate(checks)]
-    return counts.select(F.inline(F.array(*structs)))
-
-
 def _counts_as_rows(checks: list[Check], agg_df: DataFrame, idx: str) -> DataFrame:
     """One row per check from a (check index, failing item) DataFrame, zero
     rows included, without a join: count per index in one aggregate."""
@@ -83,62 +78,80 @@ def _counts_as_rows(checks: list[Check], agg_df: DataFrame, idx: str) -> DataFra
                                             for i, c in enumerate(checks)])))
 
 
-def _duplicate_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All unique / unique_combination checks of one model in one shuffle.
+_ROW, _DUP, _REL = 0, 1, 2
+
+
+def _model_checks(df: DataFrame, checks: list[Check],
+                  model: Callable[[str], DataFrame]) -> DataFrame:
+    """All checks on one model from one long form of it.
 
-    Each row emits one (check, value) pair per check; duplicated values are
-    found by a partial (map-side) count per pair. ``unique`` ignores null
-    values; a combination is encoded as JSON of its columns, so nulls count
-    as values there.
+    Each model row emits one entry carrying the row-level failure flags, plus
+    one (check, value) entry per uniqueness check and one (check, key) entry
+    per relationship check. The three families read that same DataFrame, so
+    the model's plan below it is identical in all of them and Spark reuses
+    its exchanges instead of recomputing the model per family.
+
+    * row checks: one aggregate counting each flag;
+    * unique / unique_combination: a partial count per (check, value); the
+      values that occur more than once fail (``unique`` skips nulls; a
+      combination is JSON of its columns, so nulls count as values);
+    * relationships: an anti join on (check, key) against the parent keys.
     """
+    rows = [c for c in checks if c.kind in ROW_KINDS]
+    dups = [c for c in checks if c.kind in ("unique", "unique_combination")]
+    rels = [c for c in checks if c.kind == "relationships"]
+
+    def entry(fam: int, i: int, v: Column | None, flags: Column | None) -> Column:
+        return F.struct(F.lit(fam).alias("_f"), F.lit(i).alias("_i"),
+                        (v if v is not None else F.lit(None)).cast("string").alias("_v"),
+                        (flags if flags is not None else F.lit(None)).cast("array<boolean>").alias("_flags"))
+
     def value(c: Check) -> Column:
         if c.kind == "unique":
             return F.col(c.column).cast("string")
         return F.to_json(F.struct(*[F.col(x) for x in c.columns]))
-    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), value(c).alias("_v"))
-                      for i, c in enumerate(checks)])
-    dup = (df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
-             .groupBy("_i", "_v").count().where(F.col("count") > 1))
-    return _counts_as_rows(checks, dup, "_i")
-
-
-def _relationship_checks(df: DataFrame, checks: list[Check],
-                         model: Callable[[str], DataFrame]) -> DataFrame:
-    """All relationships checks of one child model in one anti join on
-    (check, key): child keys without a parent key are failures."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c.column).cast("string").alias("_k"))
-                      for i, c in enumerate(checks)])
-    child = df.select(F.inline(pairs)).where(F.col("_k").isNotNull())
-    parents = None
-    for i, c in enumerate(checks):
-        p = model(c.to_model).select(F.lit(i).alias("_i"), F.col(c.to_field).cast("string").alias("_k"))
-        parents = p if parents is None else parents.unionByName(p)
-    orphans = child.join(parents.where(F.col("_k").isNotNull()), ["_i", "_k"], "left_anti")
-    return _counts_as_rows(checks, orphans, "_i")
+
+    entries = []
+    if rows:
+        entries.append(entry(_ROW, 0, None, F.array(*[c.failing_condition() for c in rows])))
+    entries += [entry(_DUP, i, value(c), None) for i, c in enumerate(dups)]
+    entries += [entry(_REL, i, F.col(c.column), None) for i, c in enumerate(rels)]
+    long = df.select(F.inline(F.array(*entries)))
+
+    parts: list[DataFrame] = []
+    if rows:
+        flags = long.where(F.col("_f") == _ROW)
+        counts = flags.agg(*[F.count_if(F.col("_flags")[i]).alias(f"_c{i}") for i in range(len(rows))])
+        parts.append(counts.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
+                                                      for i, c in enumerate(rows)]))))
+    if dups:
+        dup = (long.where((F.col("_f") == _DUP) & F.col("_v").isNotNull())
+                   .groupBy("_i", "_v").count().where(F.col("count") > 1))
+        parts.append(_counts_as_rows(dups, dup, "_i"))
+    if rels:
+        child = long.where((F.col("_f") == _REL) & F.col("_v").isNotNull()).select("_i", "_v")
+        parents = None
+        for i, c in enumerate(rels):
+            p = model(c.to_model).select(F.lit(i).alias("_i"),
+                                         F.col(c.to_field).cast("string").alias("_v"))
+            parents = p if parents is None else parents.unionByName(p)
+        orphans = child.join(parents.where(F.col("_v").isNotNull()), ["_i", "_v"], "left_anti")
+        parts.append(_counts_as_rows(rels, orphans, "_i"))
+    return union_all(parts)
 
 
 def run_checks(checks: Iterable[Check], model: Callable[[str], DataFrame]) -> DataFrame:
     """Evaluate checks; ``model(name)`` returns the DataFrame a check reads.
 
     Returns one row per check: check_id, kind, model, column_name, failures.
-    Per model at most three passes: row checks, duplicate checks, and
-    relationship checks.
+    Checks are grouped by model, and each model is read through one long form
+    (see ``_model_checks``).
     """
-    groups: dict[tuple[str, str], list[Check]] = {}
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
-        family = ("row" if c.kind in ROW_KINDS
-                  else "dup" if c.kind in ("unique", "unique_combination") else "rel")
-        groups.setdefault((c.model, family), []).append(c)
-    parts: list[DataFrame] = []
-    for (name, family), group in groups.items():
-        df = model(name)
-        if family == "row":
-            parts.append(_row_checks(df, group))
-        elif family == "dup":
-            parts.append(_duplicate_checks(df, group))
-        else:
-            parts.append(_relationship_checks(df, group, model))
-    return union_all(parts)
+        by_model.setdefault(c.model, []).append(c)
+    return union_all([_model_checks(model(name), group, model)
+                      for name, group in by_model.items()])
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
