@@ -250,8 +250,9 @@ _GRAIN = ["order_month", "sales_channel", "region", "category"]
 
 
 def _monthly_base(fact: DataFrame) -> DataFrame:
-    # Level 1: order grain inside each month/channel/region/category group; the
-    # fact is already partitioned by order_id, so this needs no exchange.
+    # Level 1: order grain inside each month/channel/region/category group. It
+    # is aggregated partially (map-side), so only order-grain rows are
+    # exchanged; level 2 then needs plain counts plus one exact distinct.
     lvl1 = fact.groupBy(*_GRAIN, "order_id", "customer_id").agg(
         F.sum("quantity").alias("units"),
         F.sum("revenue").alias("revenue"),
