@@ -21,6 +21,7 @@ from closebook.plans.models import Marts
 from closebook.sources.tpch import RawFeeds
 
 Query = Callable[[SparkSession, str], DataFrame]
+ModelQuery = Callable[[Marts], DataFrame]
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -34,12 +35,8 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts(RawFeeds(spark, sf_dir), CFG)
 
 
-def _model(name: str) -> Query:
-    return lambda spark, sf_dir: edge(marts(spark, sf_dir).model(name))
-
-
-def _with(fn: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, sf_dir: edge(fn(marts(spark, sf_dir)))
+def _model(name: str) -> ModelQuery:
+    return lambda m: m.model(name)
 
 
 # ----------------------------------------------------------------- history
@@ -76,9 +73,8 @@ def _check_model(m: Marts) -> Callable[[str], DataFrame]:
     return get
 
 
-def _dq(kind: str | None) -> Query:
-    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = marts(spark, sf_dir)
+def _dq(kind: str | None) -> ModelQuery:
+    def q(m: Marts) -> DataFrame:
         chosen = checks.ALL_CHECKS if kind is None else checks.checks_of_kind(kind)
         res = quality.run_checks(chosen, _check_model(m))
         return quality.summarize(res) if kind is None else res
@@ -126,7 +122,7 @@ def surrogate_key(m: Marts) -> DataFrame:
         C.surrogate_key("order_id", "product_id").alias("order_product_sk"))
 
 
-QUERIES: dict[str, Query] = {
+MODEL_QUERIES: dict[str, ModelQuery] = {
     "stg_orders": _model("stg_orders"),
     "stg_order_items": _model("stg_order_items"),
     "stg_customers": _model("stg_customers"),
@@ -134,28 +130,28 @@ QUERIES: dict[str, Query] = {
     "stg_gl_entries": _model("stg_gl_entries"),
     "stg_budgets": _model("stg_budgets"),
     "order_line_economics": _model("order_line_economics"),
-    "orphan_lines": _with(lambda m: sales.orphan_lines(m.stg_order_items, m.stg_orders)),
-    "missing_cost_lines": _with(lambda m: sales.missing_cost_lines(m.order_line_economics)),
+    "orphan_lines": lambda m: sales.orphan_lines(m.stg_order_items, m.stg_orders),
+    "missing_cost_lines": lambda m: sales.missing_cost_lines(m.order_line_economics),
     "gl_classified": _model("gl_classified"),
     "completed_order_items": _model("completed_order_items"),
-    "order_totals": _with(lambda m: sales.order_totals(m.order_facts)),
+    "order_totals": lambda m: sales.order_totals(m.order_facts),
     "customer_360": _model("customer_360"),
-    "customer_tier_counts": _with(lambda m: sales.customer_tier_counts(m.customer_360)),
+    "customer_tier_counts": lambda m: sales.customer_tier_counts(m.customer_360),
     "revenue_performance_monthly": _model("revenue_performance_monthly"),
-    "new_customers_monthly": _with(lambda m: sales.new_customers_monthly(m.customer_360)),
+    "new_customers_monthly": lambda m: sales.new_customers_monthly(m.customer_360),
     "gl_activity_monthly": _model("gl_activity_monthly"),
-    "gl_ytd": _with(lambda m: finance.gl_ytd(m.gl_activity_monthly)),
-    "gl_yoy": _with(lambda m: finance.gl_yoy(m.gl_activity_monthly)),
+    "gl_ytd": lambda m: finance.gl_ytd(m.gl_activity_monthly),
+    "gl_yoy": lambda m: finance.gl_yoy(m.gl_activity_monthly),
     "income_statement_monthly": _model("income_statement_monthly"),
-    "budget_variance": _with(lambda m: finance.budget_variance(m.income_statement_monthly)),
+    "budget_variance": lambda m: finance.budget_variance(m.income_statement_monthly),
     "revenue_reconciliation": _model("revenue_reconciliation"),
-    "unrecognised_revenue_check": _with(
-        lambda m: finance.unrecognised_revenue_check(m.completed_order_items, m.cfg)),
-    "date_spine": _with(date_spine),
-    "calendar_attributes": _with(calendar_attributes),
-    "cents_to_dollars": _with(cents_to_dollars),
-    "title_case": _with(title_case),
-    "surrogate_key": _with(surrogate_key),
+    "unrecognised_revenue_check":
+        lambda m: finance.unrecognised_revenue_check(m.completed_order_items, m.cfg),
+    "date_spine": date_spine,
+    "calendar_attributes": calendar_attributes,
+    "cents_to_dollars": cents_to_dollars,
+    "title_case": title_case,
+    "surrogate_key": surrogate_key,
     "dq_not_null": _dq("not_null"),
     "dq_unique": _dq("unique"),
     "dq_accepted_values": _dq("accepted_values"),
@@ -163,10 +159,23 @@ QUERIES: dict[str, Query] = {
     "dq_expression": _dq("expression"),
     "dq_unique_combination": _dq("unique_combination"),
     "dq_summary": _dq(None),
-    "source_freshness": _with(source_freshness),
-    "customer_history": _with(customer_history),
-    "segment_at_purchase": _with(segment_at_purchase),
-    "avg_order_value_per_order": _with(lambda m: sales.avg_order_value_per_order(m.order_facts)),
-    "customer_aov_per_order": _with(lambda m: sales.customer_aov_per_order(m.order_facts)),
-    "yoy_calendar": _with(lambda m: sales.yoy_calendar(m.revenue_performance_monthly)),
+    "source_freshness": source_freshness,
+    "customer_history": customer_history,
+    "segment_at_purchase": segment_at_purchase,
+    "avg_order_value_per_order": lambda m: sales.avg_order_value_per_order(m.order_facts),
+    "customer_aov_per_order": lambda m: sales.customer_aov_per_order(m.order_facts),
+    "yoy_calendar": lambda m: sales.yoy_calendar(m.revenue_performance_monthly),
 }
+
+
+def on_marts(m: Marts, name: str) -> DataFrame:
+    """Run a registered query on an existing model graph (for example one
+    built on stored raw feeds), with the output-edge casts."""
+    return edge(MODEL_QUERIES[name](m))
+
+
+def _query(name: str) -> Query:
+    return lambda spark, sf_dir: on_marts(marts(spark, sf_dir), name)
+
+
+QUERIES: dict[str, Query] = {name: _query(name) for name in MODEL_QUERIES}

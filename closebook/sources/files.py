@@ -65,3 +65,45 @@ class SourceCatalog:
         if self.fmt == "table":
             return spark.table(where)
         return read_parquet_source(spark, name, where)
+
+
+class StoredFeeds:
+    """Raw feeds stored as parquet under one directory, by their physical
+    names (``raw_orders``, ``raw_order_items``...), read with declared schemas.
+    Exposes the same attributes as ``RawFeeds``, so the model graph runs on
+    either."""
+
+    EXTRA = ("customer_extracts",)
+
+    def __init__(self, spark: SparkSession, base_dir: str):
+        self.spark = spark
+        self.base_dir = base_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or (name not in SOURCE_IDENTIFIERS and name not in self.EXTRA):
+            raise AttributeError(name)
+        if name not in self._cache:
+            if name in SOURCE_IDENTIFIERS:
+                ident = SOURCE_IDENTIFIERS[name][1]
+                self._cache[name] = read_parquet_source(self.spark, name, f"{self.base_dir}/{ident}")
+            else:
+                self._cache[name] = self.spark.read.parquet(f"{self.base_dir}/{name}")
+        return self._cache[name]
+
+
+def write_feeds(raw, base_dir: str, names: tuple[str, ...] | None = None,
+                files: int | None = None) -> str:
+    """Write raw feeds (any object exposing them) to ``base_dir`` as parquet,
+    under their physical names; returns ``base_dir``.
+
+    ``files`` spreads each feed over that many files (round-robin), like a
+    loaded raw table, so later scans are split across tasks."""
+    base = base_dir.rstrip("/")
+    for name in names or (*SOURCE_IDENTIFIERS, *StoredFeeds.EXTRA):
+        ident = SOURCE_IDENTIFIERS[name][1] if name in SOURCE_IDENTIFIERS else name
+        df = getattr(raw, name)
+        if files:
+            df = df.repartition(files)
+        df.write.mode("overwrite").parquet(f"{base}/{ident}")
+    return base
