@@ -123,7 +123,3 @@ def surrogate_key(*cols: Column | str) -> Column:
     """MD5 of the dash-joined parts, nulls replaced by a fixed placeholder."""
     parts = [F.coalesce(col_(c).cast("string"), F.lit(SURROGATE_NULL)) for c in cols]
     return F.md5(F.concat_ws("-", *parts))
-
-
-def to_double(c: Column | str) -> Column:
-    return col_(c).cast("double")

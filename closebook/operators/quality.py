@@ -57,9 +57,6 @@ class Check:
         raise ValueError(f"{self.kind} is not a row-level check")
 
 
-RESULT_COLUMNS = ("check_id", "kind", "model", "column_name", "failures")
-
-
 def _result_struct(check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(check.check_id).alias("check_id"),

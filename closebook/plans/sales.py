@@ -97,12 +97,6 @@ def missing_cost_lines(econ: DataFrame) -> DataFrame:
         "revenue", "cogs", "gross_profit", "gross_margin_pct")
 
 
-def completed_lines(econ: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    statuses = list(cfg.completed_statuses)
-    return econ.where((F.col("is_revenue_recognized") == F.lit(True))
-                      & F.col("order_status").isin(*statuses))
-
-
 def completed_orders(orders: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     return orders.where(F.col("order_status").isin(*cfg.completed_statuses))
 
