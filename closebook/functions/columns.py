@@ -27,6 +27,13 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a date or naive datetime, built from its ISO
+    text so that neither the Python nor the session time zone shifts it."""
+    text = value.isoformat(sep=" ") if hasattr(value, "hour") else f"{value.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closebook.functions.columns import ntz
+
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
 
@@ -32,7 +34,7 @@ def _scd_id(key: Column, ts: Column) -> Column:
 
 
 def _as_ts(as_of: dt.datetime | Column) -> Column:
-    return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp_ntz")
+    return as_of.cast("timestamp_ntz") if isinstance(as_of, Column) else ntz(as_of)
 
 
 def snapshot_open(incoming: DataFrame, key: str, as_of: dt.datetime | Column) -> DataFrame:

@@ -82,7 +82,7 @@ def _dq(kind: str | None) -> ModelQuery:
 
 
 def source_freshness(m: Marts) -> DataFrame:
-    as_of = F.lit(CFG.as_of).cast("timestamp_ntz")
+    as_of = C.ntz(m.cfg.as_of)
     feeds = {"orders": m.raw.orders, "gl_entries": m.raw.gl_entries}
     parts = [quality.freshness(feeds[r.source], r.source, "_loaded_at", as_of,
                                r.warn_after_hours, r.error_after_hours) for r in CFG.freshness]

@@ -36,7 +36,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.functions.columns import MONEY, RATE
+from closebook.functions.columns import MONEY, RATE, ntz
 from closebook.sources.schemas import RAW_SCHEMAS
 
 # Fixed values of the derivation.
@@ -251,7 +251,7 @@ class RawFeeds:
             F.when(active, F.round(lp * _lit_dec(COST_FACTOR, 4, 2), 2).cast(MONEY)).alias("cost_price"),
             lp.alias("list_price"),
             active.alias("is_active"),
-            F.lit(FEED_LOADED_AT).cast("timestamp_ntz").alias("_loaded_at"),
+            ntz(FEED_LOADED_AT).alias("_loaded_at"),
         )
 
     # ------------------------------------------------------------- customers
@@ -310,7 +310,7 @@ class RawFeeds:
         (missing) in extract 2 and came back in extract 3.
         """
         loads = F.array(*[F.struct(F.lit(i + 1).alias("load_no"),
-                                   F.lit(ts).cast("timestamp_ntz").alias("load_ts"))
+                                   ntz(ts).alias("load_ts"))
                           for i, ts in enumerate(SNAPSHOT_LOADS)])
         x = self._parties().select("*", F.inline(loads))
         n = F.col("load_no")

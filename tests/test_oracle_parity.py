@@ -28,3 +28,15 @@ def test_entry_runs(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "net_revenue" in df.columns
+
+
+@pytest.mark.parametrize("name", ["stg_orders", "stg_gl_entries", "customer_history",
+                                  "source_freshness", "completed_order_items", "date_spine"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, small_sf, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        ok, msg = compare(QUERIES[name](spark, small_sf), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, f"{name}: {msg}"
