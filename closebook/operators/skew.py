@@ -18,7 +18,9 @@ key) to ``small`` (one row per key) on ``(key, salt)``:
 
 Both sides read the fanout from the same broadcast list, so they agree on
 the salts whatever the counts were, and no join task receives more than
-about ``hot_rows`` rows of one key. When nothing is hot the cost is a
+about ``hot_rows`` rows of one key. Every ``big`` row has exactly one
+(key, salt) and a matching ``small`` key has every salt, so ``inner``,
+``left``, ``left_semi`` and ``left_anti`` keep their meaning. When nothing is hot the cost is a
 map-side lookup in an empty broadcast.
 """
 

@@ -75,20 +75,29 @@ def _econ_columns(cfg: MartConfig) -> list:
     ]
 
 
+def _hot_orders(items: DataFrame, cfg: MartConfig) -> DataFrame:
+    return hot_keys(items.select("order_id"), "order_id", cfg.hot_key_rows, cfg.max_key_fanout)
+
+
 def order_line_economics(items: DataFrame, orders: DataFrame, products: DataFrame,
                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged line; orphan lines and lines without a product are kept
-    (order columns null, recognition flag null)."""
+    (order columns null, recognition flag null). Hot orders are split over
+    several join tasks (``salted_join``)."""
     lv = line_values(items, products)
     o = orders.select("order_id", *_ORDER_COLS)
-    return lv.join(o, "order_id", "left").select(*_econ_columns(cfg))
+    j = salted_join(lv, o, "order_id", _hot_orders(items, cfg), "order_item_id", how="left")
+    return j.select(*_econ_columns(cfg))
 
 
-def orphan_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+def orphan_lines(items: DataFrame, orders: DataFrame,
+                 cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """Staged lines whose order_id has no staged order (the relationships test)."""
-    return (items.join(orders.select("order_id"), "order_id", "left_anti")
-                 .select("order_item_id", "order_id", "product_id", "quantity",
-                         F.col("net_amount").alias("revenue")))
+    o = orders.select("order_id")
+    return (salted_join(items, o, "order_id", _hot_orders(items, cfg), "order_item_id",
+                        how="left_anti")
+            .select("order_item_id", "order_id", "product_id", "quantity",
+                    F.col("net_amount").alias("revenue")))
 
 
 def missing_cost_lines(econ: DataFrame) -> DataFrame:
@@ -155,8 +164,7 @@ def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFram
     """
     lv = line_values(items, products)
     o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
-    hot = hot_keys(items.select("order_id"), "order_id", cfg.hot_key_rows, cfg.max_key_fanout)
-    f = salted_join(lv, o, "order_id", hot, "order_item_id")
+    f = salted_join(lv, o, "order_id", _hot_orders(items, cfg), "order_item_id")
     d = F.col("order_date")
     return f.select(
         surrogate_key("order_item_id").alias("order_item_sk"),

@@ -36,6 +36,8 @@ def _feeds(spark):
                    D("1.00"), D("0"), D("0"), D("0"), D("1.00"), T(2024, 1, 1)))
     for j in range(small_lines // 2):
         items.append((f"H{j}", "HOT", f"P{j % 3}", 1 + j % 5, D("3.50"), D("0.0500"), T(2024, 1, 1)))
+    for j in range(3):                       # lines of an order that does not exist
+        items.append((f"X{j}", "MISSING", "P0", 1, D("10.00"), D("0.0000"), T(2024, 1, 1)))
     products = [(f"P{i}", f"S{i}", f"n{i}", "cat" + str(i % 2), "s", "b",
                  D("2.00"), D("12.00"), True, T(2024, 1, 1)) for i in range(4)]
     customers = [(f"C{i}", "a", "b", "e", "consumer", "x", "y", dt.date(2023, 1, 1), T(2024, 1, 1))
@@ -90,6 +92,7 @@ def test_hot_order_results_and_split(spark, skewed_conf):
         F.sum("revenue").alias("rev"), F.max("order_total_revenue").alias("tot"),
         F.max("order_line_count").alias("n"), F.sum("cogs").alias("cogs")).collect()
     want = _brute(items, products)
+    want.pop("MISSING")
     got = {r["order_id"]: r for r in rows}
     assert set(got) == set(want)
     for oid, (rev, cogs, n) in want.items():
@@ -103,3 +106,16 @@ def test_hot_order_results_and_split(spark, skewed_conf):
     parts = (fact.where(F.col("order_id") == "HOT")
                  .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_hot_order_left_and_anti_joins(spark, skewed_conf):
+    from closebook.plans import sales
+    raw, items, _ = _feeds(spark)
+    cfg = MartConfig(hot_key_rows=100, max_key_fanout=8)
+    m = Marts(raw, cfg)
+    econ = m.order_line_economics
+    assert econ.count() == len(items)                        # left join keeps every line
+    assert econ.where(F.col("customer_id").isNull()).count() == 3
+    assert econ.where(F.col("order_id") == "HOT").select("customer_id").distinct().collect()[0][0] == "BIG"
+    orphans = sales.orphan_lines(m.stg_order_items, m.stg_orders, cfg)
+    assert sorted(r["order_item_id"] for r in orphans.collect()) == ["X0", "X1", "X2"]
