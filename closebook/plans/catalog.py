@@ -31,6 +31,13 @@ def edge(df: DataFrame) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields])
 
 
+# Integer metrics that are NULL for prospects leave the query as DOUBLE:
+# pandas turns a nullable integer column into float64 on one engine and into a
+# nullable Int64 on another, while a DOUBLE column converts the same way.
+NULLABLE_COUNTS = {"customer_360": ("total_completed_orders", "total_units_purchased",
+                                    "days_since_last_order")}
+
+
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts(RawFeeds(spark, sf_dir), CFG)
 
@@ -171,7 +178,10 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
 def on_marts(m: Marts, name: str) -> DataFrame:
     """Run a registered query on an existing model graph (for example one
     built on stored raw feeds), with the output-edge casts."""
-    return edge(MODEL_QUERIES[name](m))
+    df = edge(MODEL_QUERIES[name](m))
+    for c in NULLABLE_COUNTS.get(name, ()):
+        df = df.withColumn(c, F.col(c).cast("double"))
+    return df
 
 
 def _query(name: str) -> Query:

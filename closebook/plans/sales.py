@@ -238,7 +238,7 @@ def customer_tier_counts(dim: DataFrame) -> DataFrame:
     return dim.groupBy("customer_tier").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("lifetime_revenue").alias("lifetime_revenue"),
-        F.sum("total_completed_orders").alias("completed_orders"),
+        F.coalesce(F.sum("total_completed_orders"), F.lit(0)).alias("completed_orders"),
     )
 
 
