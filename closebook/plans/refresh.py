@@ -1,9 +1,11 @@
 """Full refresh: build staging as views and the marts as stored tables.
 
-Marts are written in dependency order and each downstream mart reads the
-*stored* upstream table, not its lazy plan. That keeps every job's lineage
-one mart deep (an executor lost late in the run re-computes one mart, not
-the whole chain) and matches the warehouse semantics (marts read tables).
+Marts are written in dependency order, and a mart that consumes another
+mart reads the *stored* table, not its lazy plan (monthly KPIs read the
+fact and customer 360, the P&L reads the monthly ledger). That keeps every
+job's lineage one mart deep (an executor lost late in the run re-computes
+one mart, not the whole chain) and matches the warehouse semantics (marts
+read tables).
 Staging and intermediate models stay lazy, as views and inlined models do.
 """
 
