@@ -2,10 +2,11 @@
 
 Shuffle plan (see README, "Physical plan"):
 
-* lines LEFT JOIN orders is the one big join; both sides are hash-partitioned
-  on ``order_id`` (the dedupe of orders already shuffles on that key), and
-  products are joined by broadcast only when the planner's size estimate is
-  under the broadcast threshold (AQE re-checks with the runtime size).
+* lines meet orders in the one big join, on (order_id, salt): the line side
+  is shuffled once, the order side is one row per order (plus copies for hot
+  orders only, see ``operators/skew.py``). Products are joined by broadcast
+  only when the planner's size estimate is under the broadcast threshold
+  (AQE re-checks with the runtime size).
 * order-level totals are a partial (map-side) ``groupBy(order_id)`` over the
   lines, attached to the one row per order before lines meet orders; no
   window gathers an order's lines in one task, and an order with very many
@@ -24,11 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
-from closebook.operators.skew import hot_keys, salted_join
 from closebook.functions.columns import (
     RATIO_SUM, day_of_week, mean_money, mean_ratio, money, month_of, ratio4,
     surrogate_key, week_of_year, year_of,
 )
+from closebook.operators.skew import hot_keys, salted_join
 
 
 def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
