@@ -1,8 +1,12 @@
-"""Registered queries: name -> Spark callable ``(spark, sf_dir) -> DataFrame``.
-
-Each query builds its raw feeds from the driver tables in ``sf_dir`` and
-reads them whole. At the output edge DECIMAL columns become DOUBLE, so the
-result compares value-for-value with the SQL oracle (``oracle.py``).
+"""Registered queries.
+
+``MODEL_QUERIES`` maps each query name to a function of the model graph
+(``Marts``), so a query runs on any raw feeds: feeds derived from the driver
+tables, staged parquet feeds (``StoredFeeds``) or CSV seeds. ``QUERIES``
+binds them to the driver contract ``(spark, sf_dir) -> DataFrame``, deriving
+the raw feeds from the whole driver tables in ``sf_dir``. At the output edge
+DECIMAL columns become DOUBLE, so the result compares value-for-value with
+the SQL oracle (``oracle.py``).
 """
 
 from __future__ import annotations

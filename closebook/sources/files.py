@@ -1,8 +1,9 @@
-"""Readers for the raw feeds: CSV seeds and parquet/table sources.
+"""Readers for the raw feeds: CSV seeds, parquet/table sources, staged feeds.
 
 ``SourceCatalog`` maps a logical source (``orders``, ``gl_entries``...) to a
 physical location per environment, the way a warehouse source definition maps
-``source('raw_sales', 'orders')`` to ``RAW.SALES.raw_orders``.
+``source('raw_sales', 'orders')`` to ``RAW.SALES.raw_orders``. ``StoredFeeds``
+reads feeds staged as parquet by ``write_feeds``.
 """
 
 from __future__ import annotations
