@@ -141,7 +141,7 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
     "stg_gl_entries": _model("stg_gl_entries"),
     "stg_budgets": _model("stg_budgets"),
     "order_line_economics": _model("order_line_economics"),
-    "orphan_lines": lambda m: sales.orphan_lines(m.stg_order_items, m.stg_orders, m.cfg),
+    "orphan_lines": lambda m: sales.orphan_lines(m.stg_order_items, m.stg_orders, m.hot_orders),
     "missing_cost_lines": lambda m: sales.missing_cost_lines(m.order_line_economics),
     "gl_classified": _model("gl_classified"),
     "completed_order_items": _model("completed_order_items"),

@@ -67,10 +67,18 @@ class Marts:
         return staging.stg_budgets(self.raw.budgets)
 
     # intermediate
+    @model
+    def line_values(self) -> DataFrame:
+        return sales.line_values(self.stg_order_items, self.stg_products)
+
+    @model
+    def hot_orders(self) -> DataFrame:
+        return sales.hot_orders(self.stg_order_items, self.cfg)
+
     @model
     def order_line_economics(self) -> DataFrame:
-        return sales.order_line_economics(self.stg_order_items, self.stg_orders,
-                                          self.stg_products, self.cfg)
+        return sales.order_line_economics(self.line_values, self.stg_orders, self.hot_orders,
+                                          self.cfg)
 
     @model
     def gl_classified(self) -> DataFrame:
@@ -79,13 +87,12 @@ class Marts:
     # sales marts
     @model
     def order_facts(self) -> DataFrame:
-        return sales.order_facts(self.stg_order_items, self.stg_orders, self.stg_products,
-                                 self.cfg)
+        return sales.order_facts(self.line_values, self.stg_orders, self.cfg)
 
     @model
     def completed_order_items(self) -> DataFrame:
-        return sales.completed_order_items(self.stg_order_items, self.stg_products,
-                                           self.order_facts, self.cfg)
+        return sales.completed_order_items(self.line_values, self.order_facts,
+                                           self.hot_orders)
 
     @model
     def customer_360(self) -> DataFrame:

@@ -76,27 +76,25 @@ def _econ_columns(cfg: MartConfig) -> list:
     ]
 
 
-def _hot_orders(items: DataFrame, cfg: MartConfig) -> DataFrame:
+def hot_orders(items: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Orders with so many lines that their join work is split (bounded list)."""
     return hot_keys(items.select("order_id"), "order_id", cfg.hot_key_rows, cfg.max_key_fanout)
 
 
-def order_line_economics(items: DataFrame, orders: DataFrame, products: DataFrame,
+def order_line_economics(lv: DataFrame, orders: DataFrame, hot: DataFrame,
                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged line; orphan lines and lines without a product are kept
-    (order columns null, recognition flag null). Hot orders are split over
-    several join tasks (``salted_join``)."""
-    lv = line_values(items, products)
+    (order columns null, recognition flag null). ``lv`` is ``line_values``;
+    hot orders are split over several join tasks (``salted_join``)."""
     o = orders.select("order_id", *_ORDER_COLS)
-    j = salted_join(lv, o, "order_id", _hot_orders(items, cfg), "order_item_id", how="left")
+    j = salted_join(lv, o, "order_id", hot, "order_item_id", how="left")
     return j.select(*_econ_columns(cfg))
 
 
-def orphan_lines(items: DataFrame, orders: DataFrame,
-                 cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def orphan_lines(items: DataFrame, orders: DataFrame, hot: DataFrame) -> DataFrame:
     """Staged lines whose order_id has no staged order (the relationships test)."""
     o = orders.select("order_id")
-    return (salted_join(items, o, "order_id", _hot_orders(items, cfg), "order_item_id",
-                        how="left_anti")
+    return (salted_join(items, o, "order_id", hot, "order_item_id", how="left_anti")
             .select("order_item_id", "order_id", "product_id", "quantity",
                     F.col("net_amount").alias("revenue")))
 
@@ -123,7 +121,7 @@ def order_sums(lines: DataFrame) -> DataFrame:
     )
 
 
-def order_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
+def order_facts(lv: DataFrame, orders: DataFrame,
                 cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per completed order that has lines: order attributes plus the
     totals of its lines.
@@ -131,9 +129,8 @@ def order_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
     Every order-grain mart reads this instead of the line fact: only the
     partial per-order sums of the lines are shuffled, and both join sides have
     one row per order_id. A completed order's lines are all completed lines,
-    so the totals equal those of the fact's lines.
+    so the totals equal those of the fact's lines. ``lv`` is ``line_values``.
     """
-    lv = line_values(items, products)
     return (completed_orders(orders, cfg).select("order_id", *_ORDER_COLS)
             .join(order_sums(lv), "order_id", "inner")
             .withColumn("order_month", month_of("order_date")))
@@ -150,8 +147,7 @@ _TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit"
            "order_line_count")
 
 
-def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFrame,
-                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def completed_order_items(lv: DataFrame, facts: DataFrame, hot: DataFrame) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
     Same rows as filtering the line economics on the recognition flag: each
@@ -163,9 +159,8 @@ def completed_order_items(items: DataFrame, products: DataFrame, facts: DataFram
     straggler task.
     ``order_status`` is kept (the checks on this fact read it).
     """
-    lv = line_values(items, products)
     o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
-    f = salted_join(lv, o, "order_id", _hot_orders(items, cfg), "order_item_id")
+    f = salted_join(lv, o, "order_id", hot, "order_item_id")
     d = F.col("order_date")
     return f.select(
         surrogate_key("order_item_id").alias("order_item_sk"),

@@ -158,5 +158,5 @@ def test_quality_checks(m):
 
 
 def test_orphans(m):
-    o = sales.orphan_lines(m.stg_order_items, m.stg_orders).collect()
+    o = sales.orphan_lines(m.stg_order_items, m.stg_orders, m.hot_orders).collect()
     assert [r["order_item_id"] for r in o] == ["I7"]

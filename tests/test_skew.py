@@ -117,5 +117,5 @@ def test_hot_order_left_and_anti_joins(spark, skewed_conf):
     assert econ.count() == len(items)                        # left join keeps every line
     assert econ.where(F.col("customer_id").isNull()).count() == 3
     assert econ.where(F.col("order_id") == "HOT").select("customer_id").distinct().collect()[0][0] == "BIG"
-    orphans = sales.orphan_lines(m.stg_order_items, m.stg_orders, cfg)
+    orphans = sales.orphan_lines(m.stg_order_items, m.stg_orders, m.hot_orders)
     assert sorted(r["order_item_id"] for r in orphans.collect()) == ["X0", "X1", "X2"]
