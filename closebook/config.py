@@ -43,7 +43,7 @@ class MartConfig:
     # Hot-key split of the line-to-order join: an order with at least this many
     # lines is spread over up to max_key_fanout join tasks (operators/skew.py).
     hot_key_rows: int = 10_000_000
-    max_key_fanout: int = 512
+    max_key_fanout: int = 4096
     reconciliation_tolerance: float = 0.01
     reconciliation_high: float = 0.05
     freshness: tuple[FreshnessRule, ...] = field(default_factory=lambda: (
