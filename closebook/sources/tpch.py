@@ -325,8 +325,15 @@ class RawFeeds:
     # ------------------------------------------------------- chart, budgets
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
-        rows = [r + (CHART_LOADED_AT,) for r in CHART_OF_ACCOUNTS]
-        return self.spark.createDataFrame(rows, RAW_SCHEMAS["chart_of_accounts"])
+        """The fixed chart as a generated local relation. Unlike a DataFrame
+        made from a Python list (an RDD of unknown size), its size estimate is
+        tiny, so the planner broadcasts it instead of shuffling the ledger."""
+        schema = RAW_SCHEMAS["chart_of_accounts"]
+        structs = [
+            F.struct(*[(ntz(v) if f.name == "_loaded_at" else F.lit(v).cast(f.dataType)).alias(f.name)
+                       for v, f in zip(r + (CHART_LOADED_AT,), schema.fields)])
+            for r in CHART_OF_ACCOUNTS]
+        return self.spark.range(1).select(F.inline(F.array(*structs)))
 
     @cached_property
     def budgets(self) -> DataFrame:

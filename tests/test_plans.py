@@ -63,3 +63,10 @@ def test_order_grain_marts_shuffle_no_line_rows(plans):
         line_exchanges = re.findall(r"Exchange hashpartitioning\(order_id#\d+, \d+\)", plan)
         assert "partial_sum" in plan, name
         assert len(line_exchanges) == 2, (name, line_exchanges)   # orders + partial sums
+
+
+def test_ledger_joins_chart_by_broadcast_and_shares_one_exchange(plans):
+    plan = plans["gl_activity_monthly"]
+    assert re.search(r"BroadcastHashJoin \[account_code#\d+\], \[account_code#\d+\], Inner", plan)
+    # the monthly aggregate and both windows (lag 12, YTD) share one exchange
+    assert len(re.findall(r"Exchange hashpartitioning\(account_code#\d+, \d+\)", plan)) == 1
