@@ -188,7 +188,7 @@ def test_recall_of_a_tree_with_many_leaves():
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
     ids = np.arange(8000)
     q = np.arange(0, 8000, 80)
-    qids, got, _ = ann.search(20, 2.0)(q, rows[q], ids, rows)
+    qids, got, _ = ann.search(20, 5.0)(q, rows[q], ids, rows)
     s = rows[q] @ rows.T
     s[np.arange(len(q)), q] = -9
     want = {(a, b) for a, r in zip(q, np.argsort(-s, axis=1)[:, :20]) for b in r}
