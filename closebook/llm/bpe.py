@@ -122,7 +122,7 @@ def encoder_column(spark: SparkSession, vocabulary: Vocabulary):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(**shared.value))
         for texts in batches:
-            ids = [encoder.encode(t or "") for t in texts.to_pylist()]
+            ids = [encoder.encode(t.as_py() or "") for t in texts]
             ends = np.cumsum([0, *map(len, ids)]) // 4
             flat = np.frombuffer(b"".join(ids), dtype="<i4")
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
