@@ -13,6 +13,7 @@ up to ``CACHE`` pieces that it has met.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 # The pattern that cuts text for byte-level BPE.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHE = 200_000
+CACHE = 300_000
+PAIR, PLACE = 24, 40  # bits of a symbol id, of a place in a text
+LAST_PLACE = (1 << PLACE) - 1
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -41,7 +44,8 @@ def byte_alphabet() -> dict[int, str]:
 class Vocabulary:
     tokens: list[bytes]  # by id
     byte_ids: list[int]  # id of each single byte
-    merges: dict[tuple[int, int], tuple[int, int]]  # pair -> (rank, id)
+    ranks: dict[int, int]  # pair (a << PAIR | b) -> rank
+    merged: list[int]  # id by rank
     added: dict[str, int]  # strings that are tokens wherever they stand
 
 
@@ -57,38 +61,46 @@ def load_vocabulary(path: str) -> Vocabulary:
     for text, i in added.items():
         tokens[i] = text.encode()
     pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-    merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
-    return Vocabulary(tokens, [ids[alphabet[b]] for b in range(256)], merges, added)
-
-
-def merge_symbols(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the merges in the order of rank, then of place."""
-    n = len(symbols)
-    if n < 2:
+    ranks = {ids[a] << PAIR | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+    return Vocabulary(tokens, [ids[alphabet[b]] for b in range(256)], ranks,
+                      [ids[a + b] for a, b in pairs], added)
+
+
+def merge_symbols(symbols: list[int], ranks: dict[int, int], merged: list[int]) -> list[int]:
+    """Apply the merges in the order of rank, then of place. ``ranks`` has the
+    rank of a pair (a << PAIR | b), ``merged`` the id that each rank makes."""
+    n, rank = len(symbols), ranks.get
+    here = [rank(a << PAIR | b, -1) for a, b in zip(symbols, symbols[1:])]
+    queue = [r << PLACE | i for i, r in enumerate(here) if r >= 0]
+    if not queue:
         return symbols
-    sym, find = list(symbols), merges.get
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = [(m[0], i, m[1]) for i in range(n - 1) if (m := find((sym[i], sym[i + 1])))]
     heapify(queue)
+    here.append(-1)  # here[i]: rank of the pair that starts at i now
+    sym, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
     while queue:
-        rank, i, new = heappop(queue)
-        j = after[i]
-        if sym[i] < 0 or j >= n or (m := find((sym[i], sym[j]))) is None or m[0] != rank:
+        entry = heappop(queue)
+        i = entry & LAST_PLACE
+        if here[i] != entry >> PLACE:
             continue  # stale: one of the two symbols has merged elsewhere
-        sym[i], sym[j] = new, -1
+        j = after[i]
+        new = sym[i] = merged[here[i]]
+        sym[j] = here[j] = here[i] = -1
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            if m := find((new, sym[k])):
-                heappush(queue, (m[0], i, m[1]))
+            r = here[i] = rank(new << PAIR | sym[k], -1)
+            if r >= 0:
+                heappush(queue, r << PLACE | i)
         h = before[i]
-        if h >= 0 and (m := find((sym[h], new))):
-            heappush(queue, (m[0], h, m[1]))
+        if h >= 0:
+            r = here[h] = rank(sym[h] << PAIR | new, -1)
+            if r >= 0:
+                heappush(queue, r << PLACE | h)
     return [s for s in sym if s >= 0]
 
 
 class Encoder(dict):
-    """Text to ids as little-endian int32 bytes; maps a piece to its ids."""
+    """Text to ids as int32 bytes; maps a piece to its ids."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -99,10 +111,10 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         v = self.vocabulary
-        ids = merge_symbols([v.byte_ids[b] for b in piece.encode()], v.merges)
+        ids = merge_symbols(list(map(v.byte_ids.__getitem__, piece.encode())), v.ranks, v.merged)
         if len(self) >= CACHE:
             self.clear()
-        self[piece] = out = np.array(ids, dtype="<i4").tobytes()
+        self[piece] = out = array("i", ids).tobytes()
         return out
 
     def encode(self, text: str) -> bytes:
@@ -124,7 +136,7 @@ def encoder_column(spark: SparkSession, vocabulary: Vocabulary):
         for texts in batches:
             ids = [encoder.encode(t.as_py() or "") for t in texts]
             ends = np.cumsum([0, *map(len, ids)]) // 4
-            flat = np.frombuffer(b"".join(ids), dtype="<i4")
+            flat = np.frombuffer(b"".join(ids), dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
     return encode
