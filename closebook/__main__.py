@@ -3,15 +3,18 @@
     python -m closebook stage     --sf-dir DRIVER_DIR --out FEEDS_DIR
     python -m closebook run       --sources FEEDS_DIR --out MARTS_DIR [--select fact ...]
     python -m closebook test      --sources FEEDS_DIR [--kind not_null] [--marts MARTS_DIR]
-    python -m closebook snapshot  --sources FEEDS_DIR --base SNAP_DIR --version V --as-of TS
+    python -m closebook snapshot  --sources FEEDS_DIR --base SNAP_DIR --version V
                                   [--previous SNAP_DIR/version=U]
     python -m closebook freshness --sources FEEDS_DIR
 
 ``--sources`` is a directory of raw tables under their physical names
-(``raw_orders``, ``raw_order_items``...), as parquet (default) or as CSV
-seeds (``--format csv``: ``raw_orders.csv``...). With ``test --marts`` the
-checks read the stored marts written by ``run`` (as tests of stored tables
-do) instead of recomputing them.
+(``raw_orders``, ``raw_order_items``...), as parquet (default), as CSV seeds
+(``--format csv``: ``raw_orders.csv``...) or a ``catalog.schema`` of tables
+(``--format table``); ``--finance-sources`` names another one for the ledger
+feeds. ``--as-of`` sets the clock of the run (the present, if left out). With
+``test --marts`` the checks read the stored marts written by ``run`` (as tests
+of stored tables do) instead of recomputing them; without ``--kind`` the
+assertions over several models run as well.
 """
 
 from __future__ import annotations
@@ -21,46 +24,62 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from closebook.config import DEFAULT_CONFIG
+from closebook.config import MartConfig
 from closebook.functions.columns import ntz
 from closebook.operators import quality
 from closebook.plans import checks, refresh
 from closebook.plans.models import Marts
+from closebook.session import plan_session
+from closebook.sources import sinks
 from closebook.sources.files import SourceCatalog, StoredFeeds, write_feeds
+from closebook.sources.schemas import SOURCE_IDENTIFIERS
 from closebook.sources.tpch import RawFeeds
 
 
 class CatalogFeeds:
-    """Raw feeds resolved through a ``SourceCatalog`` (for example CSV seeds)."""
+    """Raw feeds resolved through a ``SourceCatalog``."""
 
     def __init__(self, spark: SparkSession, catalog: SourceCatalog):
         self._spark, self._catalog = spark, catalog
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name not in SOURCE_IDENTIFIERS:
             raise AttributeError(name)
         if name not in self._cache:
             self._cache[name] = self._catalog.read(self._spark, name)
         return self._cache[name]
 
 
-def feeds_from(spark: SparkSession, path: str, fmt: str):
-    if fmt == "csv":
-        return CatalogFeeds(spark, SourceCatalog({"raw_sales": path, "raw_finance": path}, fmt="csv"))
-    return StoredFeeds(spark, path)
+def feeds_from(spark: SparkSession, path: str, fmt: str, finance: str | None = None):
+    if fmt == "parquet" and finance is None:
+        return StoredFeeds(spark, path)
+    return CatalogFeeds(spark, SourceCatalog(
+        {"raw_sales": path, "raw_finance": finance or path}, fmt=fmt))
 
 
-def _resolver(spark: SparkSession, m: Marts, feeds, marts_dir: str | None):
+def _resolver(spark: SparkSession, m: Marts, marts_dir: str | None):
     def get(name: str) -> DataFrame:
         if name.startswith("raw_"):
-            return getattr(feeds, name[len("raw_"):])
+            return getattr(m.raw, name[len("raw_"):])
         if marts_dir and name in refresh.ALL_MARTS:
-            return spark.read.parquet(f"{marts_dir.rstrip('/')}/{name}")
+            return sinks.read_table(spark, f"{marts_dir.rstrip('/')}/{name}")
         return m.model(name)
     return get
 
 
+def _run_tests(m: Marts, kind: str | None, get) -> int:
+    chosen = checks.checks_of_kind(kind, m.cfg) if kind else checks.all_checks(m.cfg)
+    found = {r["check_id"]: r["failures"] for r in quality.run_checks(chosen, get).collect()}
+    for a in () if kind else checks.ASSERTIONS:
+        found[f"assertion__{a.name}"] = a.rows(get, m.cfg).count()
+    for check_id, failures in sorted(found.items()):
+        print(f"{'FAIL' if failures else 'PASS'}\t{failures}\t{check_id}")
+    failed = sum(1 for n in found.values() if n)
+    print(f"{len(found) - failed} pass, {failed} fail")
+    return 1 if failed else 0
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="closebook")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -70,7 +89,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     for name in ("run", "test", "snapshot", "freshness"):
         p = sub.add_parser(name)
         p.add_argument("--sources", required=True)
-        p.add_argument("--format", choices=("parquet", "csv"), default="parquet")
+        p.add_argument("--finance-sources", help="where the ledger feeds are, if elsewhere")
+        p.add_argument("--format", choices=("parquet", "csv", "table"), default="parquet")
+        p.add_argument("--as-of", type=dt.datetime.fromisoformat,
+                       help="clock of the run, e.g. 2024-07-01T00:00:00; the present, if left out")
     sub.choices["run"].add_argument("--out", required=True)
     sub.choices["run"].add_argument("--select", nargs="*", default=list(refresh.ALL_MARTS))
     sub.choices["test"].add_argument("--kind")
@@ -78,40 +100,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sn = sub.choices["snapshot"]
     sn.add_argument("--base", required=True)
     sn.add_argument("--version", required=True)
-    sn.add_argument("--as-of", required=True, help="run timestamp, e.g. 2024-07-01T00:00:00")
     sn.add_argument("--previous")
     args = ap.parse_args(argv)
 
-    spark = spark or SparkSession.builder.appName("closebook").getOrCreate()
+    spark = spark or plan_session("closebook")
     if args.cmd == "stage":
         print(write_feeds(RawFeeds(spark, args.sf_dir), args.out))
         return 0
-    feeds = feeds_from(spark, args.sources, args.format)
+    feeds = feeds_from(spark, args.sources, args.format, args.finance_sources)
+    now = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    cfg = MartConfig(as_of=now.date())
     if args.cmd == "run":
-        for name, path in refresh.refresh(spark, feeds, args.out, args.select).items():
+        for name, path in refresh.refresh(spark, feeds, args.out, args.select, cfg).items():
             print(f"{name}\t{path}")
         return 0
     if args.cmd == "snapshot":
-        print(refresh.snapshot_customers(spark, feeds, args.base, args.version,
-                                         dt.datetime.fromisoformat(args.as_of), args.previous))
+        print(refresh.snapshot_customers(spark, feeds, args.base, args.version, now,
+                                         args.previous, cfg))
         return 0
     if args.cmd == "freshness":
-        cfg = DEFAULT_CONFIG
-        parts = [quality.freshness(getattr(feeds, r.source), r.source, "_loaded_at", ntz(cfg.as_of),
+        parts = [quality.freshness(getattr(feeds, r.source), r.source, "_loaded_at", ntz(now),
                                    r.warn_after_hours, r.error_after_hours) for r in cfg.freshness]
         rows = quality.union_all(parts).collect()
         for r in rows:
             print(f"{r['source']}\t{r['status']}\t{r['age_hours']:.1f}h")
         return 1 if any(r["status"] == "error" for r in rows) else 0
-    # test
-    chosen = checks.ALL_CHECKS if not args.kind else checks.checks_of_kind(args.kind)
-    m = Marts(feeds)
-    res = quality.run_checks(chosen, _resolver(spark, m, feeds, args.marts)).collect()
-    failed = [r for r in res if r["failures"] > 0]
-    for r in sorted(res, key=lambda r: r["check_id"]):
-        print(f"{'FAIL' if r['failures'] else 'PASS'}\t{r['failures']}\t{r['check_id']}")
-    print(f"{len(res) - len(failed)} pass, {len(failed)} fail")
-    return 1 if failed else 0
+    m = Marts(feeds, cfg)
+    return _run_tests(m, args.kind, _resolver(spark, m, args.marts))
 
 
 if __name__ == "__main__":

@@ -6,17 +6,13 @@ result is the number of failing rows (or failing groups for the uniqueness
 kinds). Nulls pass every kind except ``not_null``; inside
 ``unique_combination`` nulls count as values.
 
-All checks on one model read one long form of it (one entry per row with
-the row-level failure flags, plus one entry per row and uniqueness or
-relationship check), so the model's plan is the same under every check
-family and Spark computes its shuffles once: row-level checks (not_null,
-accepted_values, expression) are one aggregate, unique and
-unique_combination one partial count, relationships one anti join keyed
-by (check, key).
+All checks on one model share one pass over it and one grouped exchange (see
+``_model_checks``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -43,7 +39,7 @@ class Check:
         target = self.column or "+".join(self.columns) or "model"
         suffix = f"__{self.to_model}" if self.to_model else ""
         if self.kind == "expression" and self.column is None:
-            suffix = "__" + "".join(ch if ch.isalnum() else "_" for ch in self.expression)[:40]
+            suffix = "__" + hashlib.md5(self.expression.encode()).hexdigest()
         return f"{self.kind}__{self.model}__{target}{suffix}"
 
     def failing_condition(self) -> Column:
@@ -67,82 +63,83 @@ def _result_struct(check: Check, failures: Column) -> Column:
     )
 
 
-def _counts_as_rows(checks: list[Check], agg_df: DataFrame, idx: str) -> DataFrame:
-    """One row per check from a (check index, failing item) DataFrame, zero
-    rows included, without a join: count per index in one aggregate."""
-    counts = agg_df.agg(*[F.count_if(F.col(idx) == i).alias(f"_c{i}") for i in range(len(checks))])
-    return counts.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
-                                            for i, c in enumerate(checks)])))
-
-
 _ROW, _DUP, _REL = 0, 1, 2
 
 
 def _model_checks(df: DataFrame, checks: list[Check],
                   model: Callable[[str], DataFrame]) -> DataFrame:
-    """All checks on one model from one long form of it.
-
-    Each model row emits one entry carrying the row-level failure flags, plus
-    one (check, value) entry per uniqueness check and one (check, key) entry
-    per relationship check. The three families read that same DataFrame, so
-    the model's plan below it is identical in all of them and Spark reuses
-    its exchanges instead of recomputing the model per family.
-
-    * row checks: one aggregate counting each flag;
-    * unique / unique_combination: a partial count per (check, value); the
-      values that occur more than once fail (``unique`` skips nulls; a
-      combination is JSON of its columns, so nulls count as values);
-    * relationships: an anti join on (check, key) against the parent keys.
+    """All checks on one model in one pass over it and one grouped exchange.
+
+    Each model row emits one entry with its row-level failure flags, one
+    (check, value) entry per uniqueness check and one (check, key) entry per
+    relationship check. One aggregate by (family, check, value), combined
+    before the shuffle, sums the flags and counts the entries; a key that a
+    third of the rows hold is one row from there on. Then
+
+    * row checks fail by the sums of their flags;
+    * unique / unique_combination fail by the values that occur more than once
+      (``unique`` skips nulls; a combination is JSON of its columns, so nulls
+      count as values);
+    * relationships fail by the counts of the keys that no parent row has: the
+      parent keys join the grouped rows on the columns they are grouped by.
+
+    A last aggregate adds up each check's failures, so the model is read once.
     """
     rows = [c for c in checks if c.kind in ROW_KINDS]
     dups = [c for c in checks if c.kind in ("unique", "unique_combination")]
     rels = [c for c in checks if c.kind == "relationships"]
 
-    def entry(fam: int, i: int, v: Column | None, flags: Column | None) -> Column:
+    def entry(fam: int, i: int, v: Column | None, flags: list[Column]) -> Column:
+        value = F.lit(None) if v is None else v
         return F.struct(F.lit(fam).alias("_f"), F.lit(i).alias("_i"),
-                        (v if v is not None else F.lit(None)).cast("string").alias("_v"),
-                        (flags if flags is not None else F.lit(None)).cast("array<boolean>").alias("_flags"))
+                        value.cast("string").alias("_v"),
+                        F.array(*flags).cast("array<boolean>").alias("_flags"))
 
     def value(c: Check) -> Column:
         if c.kind == "unique":
             return F.col(c.column).cast("string")
         return F.to_json(F.struct(*[F.col(x) for x in c.columns]))
 
-    entries = []
-    if rows:
-        entries.append(entry(_ROW, 0, None, F.array(*[c.failing_condition() for c in rows])))
-    entries += [entry(_DUP, i, value(c), None) for i, c in enumerate(dups)]
-    entries += [entry(_REL, i, F.col(c.column), None) for i, c in enumerate(rels)]
-    long = df.select(F.inline(F.array(*entries)))
-
-    parts: list[DataFrame] = []
-    if rows:
-        flags = long.where(F.col("_f") == _ROW)
-        counts = flags.agg(*[F.count_if(F.col("_flags")[i]).alias(f"_c{i}") for i in range(len(rows))])
-        parts.append(counts.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
-                                                      for i, c in enumerate(rows)]))))
-    if dups:
-        dup = (long.where((F.col("_f") == _DUP) & F.col("_v").isNotNull())
-                   .groupBy("_i", "_v").count().where(F.col("count") > 1))
-        parts.append(_counts_as_rows(dups, dup, "_i"))
+    entries = [entry(_ROW, 0, None, [c.failing_condition() for c in rows])] if rows else []
+    entries += [entry(_DUP, i, value(c), []) for i, c in enumerate(dups)]
+    entries += [entry(_REL, i, F.col(c.column), []) for i, c in enumerate(rels)]
+    grouped = (df.select(F.inline(F.array(*entries)))
+               .where((F.col("_f") == _ROW) | F.col("_v").isNotNull())
+               .groupBy("_f", "_i", "_v")
+               .agg(F.count(F.lit(1)).alias("_n"),
+                    *[F.count_if(F.get("_flags", F.lit(i))).alias(f"_r{i}")
+                      for i in range(len(rows))]))
+    known = F.lit(True)
     if rels:
-        child = long.where((F.col("_f") == _REL) & F.col("_v").isNotNull()).select("_i", "_v")
         parents = None
         for i, c in enumerate(rels):
-            p = model(c.to_model).select(F.lit(i).alias("_i"),
+            p = model(c.to_model).select(F.lit(_REL).alias("_f"), F.lit(i).alias("_i"),
                                          F.col(c.to_field).cast("string").alias("_v"))
             parents = p if parents is None else parents.unionByName(p)
-        orphans = child.join(parents.where(F.col("_v").isNotNull()), ["_i", "_v"], "left_anti")
-        parts.append(_counts_as_rows(rels, orphans, "_i"))
-    return union_all(parts)
+        parents = parents.where(F.col("_v").isNotNull()).groupBy("_f", "_i", "_v").agg(
+            F.lit(True).alias("_known"))
+        grouped = grouped.join(parents, ["_f", "_i", "_v"], "left")
+        known = F.coalesce(F.col("_known"), F.lit(False))
+
+    def is_entry(fam: int, i: int) -> Column:
+        return (F.col("_f") == fam) & (F.col("_i") == i)
+
+    failures = [(c, F.sum(f"_r{i}")) for i, c in enumerate(rows)]
+    failures += [(c, F.count_if(is_entry(_DUP, i) & (F.col("_n") > 1)))
+                 for i, c in enumerate(dups)]
+    failures += [(c, F.sum(F.when(is_entry(_REL, i) & ~known, F.col("_n"))))
+                 for i, c in enumerate(rels)]
+    total = grouped.agg(*[F.coalesce(x, F.lit(0)).alias(f"_c{i}")
+                          for i, (_, x) in enumerate(failures)])
+    return total.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
+                                           for i, (c, _) in enumerate(failures)])))
 
 
 def run_checks(checks: Iterable[Check], model: Callable[[str], DataFrame]) -> DataFrame:
     """Evaluate checks; ``model(name)`` returns the DataFrame a check reads.
 
     Returns one row per check: check_id, kind, model, column_name, failures.
-    Checks are grouped by model, and each model is read through one long form
-    (see ``_model_checks``).
+    Checks are grouped by model, and each model is read once.
     """
     by_model: dict[str, list[Check]] = {}
     for c in checks:

@@ -1,39 +1,44 @@
 """Hot-key split for a many-to-one join (one key may hold a large share of rows).
 
-``hot_keys(rows, key, hot_rows, max_fanout)`` counts rows per key with a
-partial (map-side) aggregate and keeps the keys with at least ``hot_rows``
-rows, each with ``fanout = min(max_fanout, ceil(count / hot_rows))``. The
-list is small by construction: at most ``rows / hot_rows`` keys (for 10^12
-lines and 10^7 rows per hot key, at most 10^5 short rows), so it is
-broadcast.
+``fanouts(rows, key, rows_per_task)`` counts rows per key with a partial
+(map-side) aggregate; a key gets ``ceil(count / rows_per_task)`` join tasks,
+however many that is, and the keys that need more than one are listed. More
+than ``rows / rows_per_task`` keys cannot be listed, each in some 40 bytes:
+for 10^12 lines and 10^7 rows a task at most 10^5 keys, 4 MB. That bound is
+why the list may be broadcast.
 
 ``salted_join(big, small, key, hot, spread)`` joins ``big`` (many rows per
 key) to ``small`` (one row per key) on ``(key, salt)``:
 
 * ``big`` rows of a hot key get ``salt = pmod(xxhash64(spread), fanout)``,
   a hash of a column, never a random number, so a task re-run after an
-  executor loss produces the same salts; other rows get salt 0;
+  executor loss produces the same salts; rows of other keys get salt 0;
+* rows whose key is null match nothing and need not meet: their salt is the
+  hash itself, so they spread over all tasks;
 * ``small`` rows are exploded into one copy per salt (``fanout`` copies for
-  a hot key, one otherwise).
-
-Both sides read the fanout from the same broadcast list, so they agree on
-the salts whatever the counts were, and no join task receives more than
-about ``hot_rows`` rows of one key. Every ``big`` row has exactly one
-(key, salt) and a matching ``small`` key has every salt, so ``inner``,
-``left``, ``left_semi`` and ``left_anti`` keep their meaning. When nothing is hot the cost is a
-map-side lookup in an empty broadcast.
+  a hot key, one otherwise). ``small`` may bring its own ``_fanout`` column.
+
+Every ``big`` row has exactly one (key, salt) and a matching ``small`` key has
+every salt, so ``inner``, ``left``, ``left_semi`` and ``left_anti`` keep their
+meaning. When nothing is hot the cost is a lookup in an empty broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+NULL_SALTS = 1 << 30
+
+
+def fanout_of(count: Column, rows_per_task: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(count / F.lit(float(rows_per_task)))).cast("int")
+
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int, max_fanout: int) -> DataFrame:
-    counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    fanout = F.least(F.lit(max_fanout), F.ceil(F.col("_n") / F.lit(float(hot_rows)))).cast("int")
-    return counts.where(F.col("_n") >= F.lit(hot_rows)).select("_hot_key", fanout.alias("_fanout"))
+def fanouts(rows: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    counts = (rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key"))
+              .agg(fanout_of(F.count(F.lit(1)), rows_per_task).alias("_fanout")))
+    return counts.where(F.col("_fanout") > 1)
 
 
 def _with_fanout(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -44,10 +49,12 @@ def _with_fanout(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, spread: str,
                 how: str = "inner") -> DataFrame:
-    big_s = (_with_fanout(big, key, hot)
-             .withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.col("_fanout")).cast("int"))
-             .drop("_fanout"))
-    small_s = (_with_fanout(small, key, hot)
-               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_fanout") - 1)))
+    spread_hash = F.xxhash64(F.col(spread))
+    salt = (F.when(F.col(key).isNull(), F.pmod(spread_hash, F.lit(NULL_SALTS)))
+            .otherwise(F.pmod(spread_hash, F.col("_fanout"))).cast("int"))
+    big_s = _with_fanout(big, key, hot).withColumn("_salt", salt).drop("_fanout")
+    if "_fanout" not in small.columns:
+        small = _with_fanout(small, key, hot)
+    small_s = (small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_fanout") - 1)))
                .drop("_fanout"))
     return big_s.join(small_s, [key, "_salt"], how).drop("_salt")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from closebook.config import DEFAULT_CONFIG as CFG
+from closebook.config import DEFAULT_CONFIG
 from closebook.functions import calendar, columns as C
 from closebook.operators import quality, snapshot
 from closebook.plans import checks, finance, sales, staging
@@ -43,7 +43,7 @@ NULLABLE_COUNTS = {"customer_360": ("total_completed_orders", "total_units_purch
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return Marts(RawFeeds(spark, sf_dir), CFG)
+    return Marts(RawFeeds(spark, sf_dir), DEFAULT_CONFIG)
 
 
 def _model(name: str) -> ModelQuery:
@@ -53,10 +53,15 @@ def _model(name: str) -> ModelQuery:
 # ----------------------------------------------------------------- history
 def customer_history(m: Marts) -> DataFrame:
     """SCD2 history of segment, country and city over the dated extracts."""
-    from closebook.sources.tpch import SNAPSHOT_LOADS
-    ext = m.raw.customer_extracts
+    ext = getattr(m.raw, "customer_extracts", None)
+    if ext is None:  # a feed without dated extracts: its customers are the one load
+        ext = m.raw.customers.withColumns({"load_no": F.lit(1), "load_ts": C.ntz(m.cfg.as_of)})
+    # One row per extract, and each extract is one run of the snapshot.
+    loads = getattr(m.raw, "extract_loads", None) or [
+        (r["load_no"], r["load_ts"]) for r in
+        ext.select("load_no", "load_ts").distinct().orderBy("load_ts").collect()]
     snap = None
-    for no, ts in enumerate(SNAPSHOT_LOADS, start=1):
+    for no, ts in loads:
         load = staging.stg_customers(ext.where(F.col("load_no") == no).drop("load_no", "load_ts"))
         snap = snapshot.snapshot_apply(snap, load, m.cfg.snapshot_key,
                                        m.cfg.snapshot_check_cols, ts)
@@ -86,7 +91,7 @@ def _check_model(m: Marts) -> Callable[[str], DataFrame]:
 
 def _dq(kind: str | None) -> ModelQuery:
     def q(m: Marts) -> DataFrame:
-        chosen = checks.ALL_CHECKS if kind is None else checks.checks_of_kind(kind)
+        chosen = checks.all_checks(m.cfg) if kind is None else checks.checks_of_kind(kind, m.cfg)
         res = quality.run_checks(chosen, _check_model(m))
         return quality.summarize(res) if kind is None else res
     return q
@@ -96,7 +101,7 @@ def source_freshness(m: Marts) -> DataFrame:
     as_of = C.ntz(m.cfg.as_of)
     feeds = {"orders": m.raw.orders, "gl_entries": m.raw.gl_entries}
     parts = [quality.freshness(feeds[r.source], r.source, "_loaded_at", as_of,
-                               r.warn_after_hours, r.error_after_hours) for r in CFG.freshness]
+                               r.warn_after_hours, r.error_after_hours) for r in m.cfg.freshness]
     return quality.union_all(parts)
 
 
@@ -153,11 +158,12 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
     "gl_activity_monthly": _model("gl_activity_monthly"),
     "gl_ytd": lambda m: finance.gl_ytd(m.gl_activity_monthly),
     "gl_yoy": lambda m: finance.gl_yoy(m.gl_activity_monthly),
-    "income_statement_monthly": _model("income_statement_monthly"),
-    "budget_variance": lambda m: finance.budget_variance(m.income_statement_monthly),
-    "revenue_reconciliation": _model("revenue_reconciliation"),
-    "unrecognised_revenue_check":
-        lambda m: finance.unrecognised_revenue_check(m.completed_order_items, m.cfg),
+    "income_statement_monthly": lambda m: m.income_statement_monthly.orderBy("entry_month"),
+    "budget_variance":
+        lambda m: finance.budget_variance(m.income_statement_monthly).orderBy("entry_month"),
+    "revenue_reconciliation": lambda m: m.revenue_reconciliation.orderBy(F.desc("month")),
+    "unrecognised_revenue_check": lambda m: finance.unrecognised_revenue_check(
+        m.completed_order_items, m.stg_orders, m.cfg),
     "date_spine": date_spine,
     "calendar_attributes": calendar_attributes,
     "cents_to_dollars": cents_to_dollars,
@@ -175,7 +181,7 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
     "segment_at_purchase": segment_at_purchase,
     "avg_order_value_per_order": lambda m: sales.avg_order_value_per_order(m.order_facts),
     "customer_aov_per_order": lambda m: sales.customer_aov_per_order(m.order_facts),
-    "yoy_calendar": lambda m: sales.yoy_calendar(m.revenue_performance_monthly),
+    "yoy_calendar": lambda m: sales.yoy_calendar(sales.monthly_revenue(m.order_categories)),
 }
 
 

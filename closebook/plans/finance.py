@@ -97,7 +97,7 @@ PNL_LINES = (
 def income_statement_monthly(activity: DataFrame, budgets: DataFrame,
                              cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per month: conditional-sum pivot into the P&L cascade plus the
-    total-revenue budget. Sorted by month (the only ordered mart)."""
+    total-revenue budget. Its rows are sorted where they leave (query, table)."""
     sub, net = F.col("account_subtype"), F.col("net_amount")
     aggs = []
     for name, subtype in PNL_LINES:
@@ -127,7 +127,7 @@ def income_statement_monthly(activity: DataFrame, budgets: DataFrame,
         "*",
         ratio4(rev - bud, bud).alias("revenue_vs_budget_pct"),
         money(rev - F.coalesce(bud, F.lit(0))).alias("revenue_vs_budget_usd"),
-    ).orderBy("entry_month")
+    )
 
 
 def budget_variance(pnl: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def budget_variance(pnl: DataFrame) -> DataFrame:
 def revenue_reconciliation(facts: DataFrame, classified: DataFrame,
                            cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """Months where sales-fact revenue and ledger order revenue differ by more
-    than the tolerance, newest first, with an investigation hint.
+    than the tolerance, with an investigation hint.
 
     Sales side: the order facts (completed orders with their line totals),
     whose revenue by order month equals the line fact's.
@@ -167,11 +167,27 @@ def revenue_reconciliation(facts: DataFrame, classified: DataFrame,
             .when(pct > cfg.reconciliation_high, HINT_HIGH)
             .otherwise(HINT_LOW))
     return (r.where(pct > cfg.reconciliation_tolerance)
-             .select("*", hint.alias("investigation_hint"))
-             .orderBy(F.col("month").desc()))
+             .select("*", hint.alias("investigation_hint")))
+
+
+def order_revenue(fact: DataFrame) -> DataFrame:
+    """The sales side of the reconciliation from the (stored) line fact."""
+    return fact.groupBy("order_month").agg(F.sum("revenue").alias("order_total_revenue"))
 
 
-def unrecognised_revenue_check(fact: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Fact rows whose status is not a recognised one (expected: none)."""
-    return (fact.where(~F.col("order_status").isin(*cfg.completed_statuses))
-                .select("order_item_id", "order_id", "order_status", "revenue"))
+def unrecognised_revenue_check(fact: DataFrame, orders: DataFrame,
+                               cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Fact rows whose order does not have a recognised status now, or is not
+    there any more (expected: none).
+
+    The status is read from ``orders`` (the staged orders), not from the fact,
+    whose own filter would answer the question by definition; the fact may be
+    the stored one. The fact's order ids are made distinct before they meet the
+    orders, so an order with very many lines is one row there.
+    """
+    now = orders.select("order_id", "order_status")
+    status = F.col("order_status")
+    wrong = (fact.select("order_id").distinct().join(now, "order_id", "left")
+             .where(status.isNull() | ~status.isin(*cfg.completed_statuses)))
+    return (fact.select("order_item_id", "order_id", "revenue").join(wrong, "order_id")
+            .select("order_item_id", "order_id", "order_status", "revenue"))

@@ -89,10 +89,14 @@ class Marts:
     def order_facts(self) -> DataFrame:
         return sales.order_facts(self.line_values, self.stg_orders, self.cfg)
 
+    @model
+    def order_categories(self) -> DataFrame:
+        return sales.order_categories(self.line_values, self.stg_orders, self.cfg)
+
     @model
     def completed_order_items(self) -> DataFrame:
         return sales.completed_order_items(self.line_values, self.order_facts,
-                                           self.hot_orders)
+                                           self.hot_orders, self.cfg)
 
     @model
     def customer_360(self) -> DataFrame:
@@ -100,7 +104,9 @@ class Marts:
 
     @model
     def revenue_performance_monthly(self) -> DataFrame:
-        return sales.revenue_performance_monthly(self.completed_order_items, self.customer_360)
+        return sales.revenue_performance_monthly(
+            self.order_categories,
+            sales.first_order_months(self.order_categories, self.stg_customers))
 
     # finance marts
     @model

@@ -1,8 +1,9 @@
 """Full refresh: build staging as views and the marts as stored tables.
 
 Marts are written in dependency order, and a mart that consumes another
-mart reads the *stored* table, not its lazy plan (monthly KPIs read the
-fact and customer 360, the P&L reads the monthly ledger). That keeps every
+mart reads the *stored* table, not its lazy plan (customer 360 reads the
+fact, monthly KPIs read the fact and customer 360, the P&L reads the monthly
+ledger), also when it is refreshed alone and the other was stored before. That keeps every
 job's lineage one mart deep (an executor lost late in the run re-computes
 one mart, not the whole chain) and matches the warehouse semantics (marts
 read tables).
@@ -27,7 +28,8 @@ ALL_MARTS = SALES + FINANCE
 
 def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_MARTS,
             cfg: MartConfig = DEFAULT_CONFIG) -> dict[str, str]:
-    """Write the selected marts under ``out_dir``; returns name -> path.
+    """Write the selected marts under ``out_dir``; returns name -> folder of the
+    version written.
 
     ``raw`` exposes the seven raw feeds (see ``Marts``). The fact is written
     partitioned by ``order_month`` and range-clustered by order date and
@@ -43,26 +45,28 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
     def path(n: str) -> str:
         return f"{out_dir.rstrip('/')}/{n}"
 
-    def table(n: str):
-        if n not in paths:           # upstream not selected: use its lazy plan
-            return m.model(n)
-        return sinks.read_table(spark, paths[n])
+    def stored(n: str):
+        """The stored table of an upstream mart, written just now or before."""
+        return sinks.read_table(spark, path(n)) if sinks.current(spark, path(n)) else m.model(n)
 
     for name in chosen:
         if name == "completed_order_items":
-            sinks.write_clustered(m.completed_order_items, path(name), "order_month",
-                                  ("order_date", "sales_channel"))
-        elif name == "customer_360":
-            sinks.write_table(m.customer_360, path(name))
+            paths[name] = sinks.write_clustered(m.completed_order_items, path(name), "order_month",
+                                                ("order_date", "sales_channel"), "order_item_id")
+            continue
+        if name == "customer_360":
+            df = sales.customer_360(m.stg_customers, sales.order_facts_of(
+                stored("completed_order_items")), cfg)
         elif name == "revenue_performance_monthly":
-            sinks.write_table(sales.revenue_performance_monthly(
-                table("completed_order_items"), table("customer_360")), path(name))
+            df = sales.revenue_performance_monthly(
+                sales.order_categories_of(stored("completed_order_items")),
+                sales.new_customers_monthly(stored("customer_360")))
         elif name == "gl_activity_monthly":
-            sinks.write_table(m.gl_activity_monthly, path(name))
-        elif name == "income_statement_monthly":
-            sinks.write_table(finance.income_statement_monthly(
-                table("gl_activity_monthly"), m.stg_budgets, cfg), path(name))
-        paths[name] = path(name)
+            df = m.gl_activity_monthly
+        else:
+            df = finance.income_statement_monthly(
+                stored("gl_activity_monthly"), m.stg_budgets, cfg).orderBy("entry_month")
+        paths[name] = sinks.write_table(df, path(name))
     return paths
 
 

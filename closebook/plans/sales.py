@@ -14,9 +14,8 @@ Shuffle plan (see README, "Physical plan"):
 * every order-grain mart (customer 360, order totals, per-order AOV, the
   sales side of the reconciliation) reads ``order_facts``: completed orders
   joined with the partial per-order sums of their lines, so no line-level
-  rows are shuffled for them. Only the line fact and the monthly mart
-  (category is a line attribute) join lines to orders; the monthly mart's
-  two exact distinct counts become a row count plus one distinct.
+  rows are shuffled for them. The monthly mart reads the same by order and
+  category (``order_categories``); only the line fact joins lines to orders.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from closebook.functions.columns import (
     RATIO_SUM, day_of_week, mean_money, mean_ratio, money, month_of, ratio4,
     surrogate_key, week_of_year, year_of,
 )
-from closebook.operators.skew import hot_keys, salted_join
+from closebook.operators.skew import fanout_of, fanouts, salted_join
 
 
 def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def _econ_columns(cfg: MartConfig) -> list:
 
 def hot_orders(items: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """Orders with so many lines that their join work is split (bounded list)."""
-    return hot_keys(items.select("order_id"), "order_id", cfg.hot_key_rows, cfg.max_key_fanout)
+    return fanouts(items.select("order_id"), "order_id", cfg.rows_per_join_task)
 
 
 def order_line_economics(lv: DataFrame, orders: DataFrame, hot: DataFrame,
@@ -147,19 +146,21 @@ _TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit"
            "order_line_count")
 
 
-def completed_order_items(lv: DataFrame, facts: DataFrame, hot: DataFrame) -> DataFrame:
+def completed_order_items(lv: DataFrame, facts: DataFrame, hot: DataFrame,
+                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
     Same rows as filtering the line economics on the recognition flag: each
     line meets its completed order (with the order's line totals attached)
-    in one join. The line side is shuffled once and no group of lines is
-    gathered by a window. An order with very many lines is split over several
-    join tasks (``hot_keys`` + ``salted_join``: a partial count of line ids
-    per order finds them), so one hot order cannot become a single
-    straggler task.
+    in one join, for which whole lines are shuffled once; no window gathers a
+    group of lines. An order with very many lines is split over several join
+    tasks (``operators/skew.py``). The order side knows its own line counts;
+    the line side looks hot orders up in a list, made from a partial count of
+    the order ids alone.
     ``order_status`` is kept (the checks on this fact read it).
     """
-    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
+    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS,
+                     fanout_of(F.col("order_line_count"), cfg.rows_per_join_task).alias("_fanout"))
     f = salted_join(lv, o, "order_id", hot, "order_item_id")
     d = F.col("order_date")
     return f.select(
@@ -177,7 +178,7 @@ def completed_order_items(lv: DataFrame, facts: DataFrame, hot: DataFrame) -> Da
     )
 
 
-def _lifetime_metrics(facts: DataFrame) -> DataFrame:
+def _customer_totals(facts: DataFrame) -> DataFrame:
     """Per customer from the order facts (one shuffle on customer_id).
 
     Equal to the line-grain definition: distinct orders = order rows, and the
@@ -210,7 +211,7 @@ def customer_360(customers: DataFrame, facts: DataFrame,
                  cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged customer, prospects included (metrics null).
     ``facts`` is the order-grain ``order_facts``."""
-    m = _lifetime_metrics(facts)
+    m = _customer_totals(facts)
     c = customers.alias("c")
     j = c.join(m.alias("m"), F.col("c.customer_id") == F.col("m.customer_id"), "left")
     as_of = F.lit(cfg.as_of)
@@ -247,22 +248,57 @@ def new_customers_monthly(dim: DataFrame) -> DataFrame:
 _GRAIN = ["order_month", "sales_channel", "region", "category"]
 
 
-def _monthly_base(fact: DataFrame) -> DataFrame:
-    # Level 1: order grain inside each month/channel/region/category group. It
-    # is aggregated partially (map-side), so only order-grain rows are
-    # exchanged; level 2 then needs plain counts plus one exact distinct.
-    lvl1 = fact.groupBy(*_GRAIN, "order_id", "customer_id").agg(
-        F.sum("quantity").alias("units"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("cogs").alias("cogs"),
-        F.sum("gross_profit").alias("gross_profit"),
-        F.sum(F.col("gross_margin_pct").cast(RATIO_SUM)).alias("gm_sum"),
-        F.count("gross_margin_pct").alias("gm_n"),
-        F.sum("order_total_revenue").alias("aov_sum"),
-        F.sum(F.col("effective_discount_pct").cast(RATIO_SUM)).alias("disc_sum"),
-        F.count("effective_discount_pct").alias("disc_n"),
-    )
-    return lvl1.groupBy(*_GRAIN).agg(
+def _line_sums() -> list:
+    return [F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units"),
+            F.sum("revenue").alias("revenue"), F.sum("cogs").alias("cogs"),
+            F.sum("gross_profit").alias("gross_profit"),
+            F.sum(F.col("gross_margin_pct").cast(RATIO_SUM)).alias("gm_sum"),
+            F.count("gross_margin_pct").alias("gm_n"),
+            F.sum(F.col("effective_discount_pct").cast(RATIO_SUM)).alias("disc_sum"),
+            F.count("effective_discount_pct").alias("disc_n")]
+
+
+_ORDER_KEYS = ["order_id", "customer_id", "order_date", "order_month", "sales_channel", "region"]
+
+
+def order_categories(lv: DataFrame, orders: DataFrame,
+                     cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One row per completed order and category: sums of its lines, and the
+    order's total. Lines are combined before the shuffle and read once; the
+    total is a window over an order's categories, not over its lines."""
+    sums = lv.groupBy("order_id", "category").agg(*_line_sums())
+    total = F.sum("revenue").over(Window.partitionBy("order_id"))
+    return (completed_orders(orders, cfg).withColumn("order_month", month_of("order_date"))
+            .select(*_ORDER_KEYS)
+            .join(sums.withColumn("order_total_revenue", total), "order_id"))
+
+
+def order_categories_of(fact: DataFrame) -> DataFrame:
+    """``order_categories`` from the (stored) line fact."""
+    return fact.groupBy(*_ORDER_KEYS, "category", "order_total_revenue").agg(*_line_sums())
+
+
+def order_facts_of(fact: DataFrame) -> DataFrame:
+    """``order_facts``, as the customer mart reads them, from the (stored) line fact."""
+    return fact.groupBy(*_ORDER_KEYS, *_TOTALS).agg(F.sum("quantity").alias("order_units"))
+
+
+def first_order_months(order_cats: DataFrame, customers: DataFrame) -> DataFrame:
+    """New customers by month of their first completed order."""
+    first = order_cats.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
+    return (first.join(customers.select("customer_id"), "customer_id", "left_semi")
+            .groupBy(month_of("first_order_date").alias("cohort_month"))
+            .agg(F.count(F.lit(1)).alias("new_customers")))
+
+
+def monthly_revenue(order_cats: DataFrame) -> DataFrame:
+    return order_cats.groupBy(*_GRAIN).agg(money(F.sum("revenue")).alias("net_revenue"))
+
+
+def _kpis(order_cats: DataFrame) -> DataFrame:
+    # Rows are orders within a group already: plain counts and one distinct.
+    line_totals = F.col("order_total_revenue") * F.col("lines")
+    return order_cats.groupBy(*_GRAIN).agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.countDistinct("customer_id").alias("total_customers"),
         F.sum("units").alias("units_sold"),
@@ -270,16 +306,17 @@ def _monthly_base(fact: DataFrame) -> DataFrame:
         money(F.sum("cogs")).alias("total_cogs"),
         money(F.sum("gross_profit")).alias("gross_profit"),
         mean_ratio(F.sum("gm_sum"), F.sum("gm_n")).alias("avg_gross_margin_pct"),
-        mean_money(F.sum("aov_sum"), F.count(F.lit(1))).alias("avg_order_value"),
+        mean_money(F.sum(line_totals), F.count(F.lit(1))).alias("avg_order_value"),
         mean_ratio(F.sum("disc_sum"), F.sum("disc_n")).alias("avg_effective_discount_pct"),
     )
 
 
-def revenue_performance_monthly(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Month x channel x region x category KPIs with MoM, YoY (12 rows back) and YTD."""
-    base = _monthly_base(fact)
-    nc = new_customers_monthly(dim)
-    m = base.join(nc, base.order_month == nc.cohort_month, "left").drop("cohort_month")
+def revenue_performance_monthly(order_cats: DataFrame, new_customers: DataFrame) -> DataFrame:
+    """Month x channel x region x category KPIs with MoM, YoY (12 rows back) and
+    YTD, from ``order_categories`` and the new customers by ``cohort_month``."""
+    base = _kpis(order_cats)
+    m = base.join(new_customers, base.order_month == new_customers.cohort_month, "left").drop(
+        "cohort_month")
     new = F.coalesce(F.col("new_customers"), F.lit(0))
     series = Window.partitionBy("sales_channel", "region", "category").orderBy("order_month")
     ytd = (Window.partitionBy(F.year("order_month"), "sales_channel", "region", "category")
@@ -300,7 +337,7 @@ def revenue_performance_monthly(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def yoy_calendar(monthly: DataFrame) -> DataFrame:
-    """Calendar-exact YoY: the same series one calendar year earlier, by self-join
+    """Calendar-exact YoY of ``monthly_revenue``: the same series one calendar year earlier, by self-join
     on (series, month - 12 months) instead of 12 rows back."""
     keys = ["sales_channel", "region", "category"]
     cur = monthly.select(*_GRAIN, "net_revenue").alias("c")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.functions.columns import MONEY, RATE, make_date, money, month_of, ratio4, title_case
@@ -32,22 +33,27 @@ def _status_rank(c: str):
     return expr
 
 
-def _row_fingerprint():
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(""))
-             for c in ("status", "customer_id", "channel", "region", "total_amount")]
-    return F.md5(F.concat_ws("|", *parts))
+def _row_fingerprint(raw: DataFrame):
+    """Hash of every column; null differs from the empty text, and a decimal
+    hashes alike whatever scale the feed declares."""
+    def text(f):
+        c = F.col(f.name)
+        value = c.cast("decimal(38,10)") if isinstance(f.dataType, T.DecimalType) else c
+        return F.when(c.isNull(), F.lit("null")).otherwise(
+            F.concat(F.lit("="), value.cast("string")))
+    return F.md5(F.concat_ws("|", *[text(f) for f in sorted(raw.schema, key=lambda f: f.name)]))
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
     """Latest row per order_id by ``_loaded_at``; ties go to the later status
-    (see STATUS_RANK), then to the smallest row fingerprint, so the result is
-    deterministic."""
+    (see STATUS_RANK), then to the smallest fingerprint of the whole row, so
+    the result does not depend on the order of the input."""
     src = raw.where(F.col("order_id").isNotNull()).withColumn(
         "order_id", F.col("order_id").cast("string"))
     latest = latest_per_key(src, "order_id", [
         F.col("_loaded_at").desc_nulls_last(),
         _status_rank("status").desc_nulls_last(),
-        _row_fingerprint().asc(),
+        _row_fingerprint(src).asc(),
     ])
     return latest.select(
         F.col("order_id"),

@@ -34,6 +34,15 @@ PLAN_SETTINGS = {
 }
 
 
+def plan_session(app: str) -> SparkSession:
+    """The platform's session with the plan settings in force."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    for k, v in PLAN_SETTINGS.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+    return spark
+
+
 def build_session(master: str = "local[*]", app: str = "closebook",
                   shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
@@ -51,15 +60,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     ``spark.checkpoint.dir`` from the session wins. Only when it is unset is
-    a folder chosen: a scratch folder for local sessions (tests, bench), or
-    ``<warehouse>/_checkpoints`` on a cluster, which is shared storage.
+    a folder chosen: the one named by CLOSEBOOK_SCRATCH, else a scratch folder
+    for local sessions (tests), or ``<warehouse>/_checkpoints`` on a cluster,
+    which is shared storage.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if spark.sparkContext.master.startswith("local"):
+        if os.environ.get("CLOSEBOOK_SCRATCH"):
+            path = os.environ["CLOSEBOOK_SCRATCH"]
+        elif spark.sparkContext.master.startswith("local") \
+                and not spark.sparkContext.master.startswith("local-cluster"):
             path = tempfile.mkdtemp(prefix="closebook-ckpt-",
                                     dir=os.environ.get("TMPDIR", "/tmp"))
         else:

@@ -34,8 +34,11 @@ def read_csv_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 def read_parquet_source(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Read a parquet feed and project it to the declared column order/types."""
+    return declared(spark.read.parquet(path), name)
+
+
+def declared(df: DataFrame, name: str) -> DataFrame:
     schema = RAW_SCHEMAS[name]
-    df = spark.read.parquet(path)
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -64,7 +67,7 @@ class SourceCatalog:
         if self.fmt == "csv":
             return read_csv_seed(spark, name, where)
         if self.fmt == "table":
-            return spark.table(where)
+            return declared(spark.table(where), name)
         return read_parquet_source(spark, name, where)
 
 

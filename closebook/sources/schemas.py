@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 S, D, TS, B, I = T.StringType(), T.DateType(), T.TimestampNTZType(), T.BooleanType(), T.IntegerType()
-MONEY = T.DecimalType(18, 2)
-RATE = T.DecimalType(9, 4)
+# Raw numbers keep the digits of the feed; staging rounds them. Quantity times
+# price times (1 - rate) of these types is exact in 38 digits.
+MONEY = T.DecimalType(16, 6)
+RATE = T.DecimalType(9, 8)
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:

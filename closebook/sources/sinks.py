@@ -1,9 +1,12 @@
 """Sinks: view, table (full refresh), clustered table, versioned snapshot.
 
-Writes go through Spark's file committer: each task writes its own files and
-a lost executor only re-runs its tasks, so a failed write leaves no partial
-table behind. Outputs live in the shared folder the caller names (on a
-cluster: a distributed file system), never in machine-local temp space.
+A stored table is a folder of versions, ``<path>/v-000001``, ``v-000002``...
+A write adds the next version; the version counts from the moment Spark has
+written its ``_SUCCESS`` file, which it does last. Readers take the highest
+version that has one, so a refresh that fails leaves the table as it was, and
+one that runs beside a reader takes nothing from under it: the version before
+the new one is kept, older ones are removed. Outputs live in the shared folder
+the caller names, never in machine-local temp space.
 """
 
 from __future__ import annotations
@@ -20,39 +23,93 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Table materialisation with full refresh (overwrite)."""
-    w = df.write.mode("overwrite").format("parquet")
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _found(spark: SparkSession, pattern: str) -> list:
+    fs, p = _hadoop(spark, pattern)
+    return [s.getPath() for s in fs.globStatus(p) or ()]
+
+
+def _number(name: str) -> int:
+    return int(name.removeprefix("v-"))
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest complete version of a stored table, if there is one."""
+    done = [p.getParent() for p in _found(spark, f"{path.rstrip('/')}/v-*/_SUCCESS")]
+    return max(done, key=lambda p: _number(p.getName())).toString() if done else None
+
+
+def _next(spark: SparkSession, path: str) -> str:
+    """A folder for the next version; failed attempts keep their numbers."""
+    taken = [_number(p.getName()) for p in _found(spark, f"{path.rstrip('/')}/v-*")]
+    return f"{path.rstrip('/')}/v-{max(taken, default=0) + 1:06d}"
+
+
+def _retire(spark: SparkSession, path: str) -> None:
+    """Remove what is older than the version before the current one."""
+    done = sorted(_number(p.getParent().getName())
+                  for p in _found(spark, f"{path.rstrip('/')}/v-*/_SUCCESS"))
+    for p in _found(spark, f"{path.rstrip('/')}/v-*"):
+        if len(done) > 1 and _number(p.getName()) < done[-2]:
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Full refresh of a stored table; returns the folder of the new version."""
+    version = _next(df.sparkSession, path)
+    w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(version)
+    _retire(df.sparkSession, path)
+    return version
 
 
-def write_clustered(df: DataFrame, path: str, partition_col: str,
-                    cluster_by: Sequence[str], files_per_partition: int | None = None) -> None:
-    """Clustered table: directory partitions on ``partition_col`` (pruned by
-    filters on it) and rows range-ordered by ``cluster_by`` inside each file,
-    so parquet min/max statistics skip row groups for date + channel filters.
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a stored table."""
+    version = current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no complete version of a table in {path}")
+    return spark.read.parquet(version)
+
 
-    ``repartitionByRange`` samples the keys to pick split points, so output
-    files stay balanced even if one date or channel dominates.
+def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Sequence[str],
+                    unique_by: str, file_bytes: int = 128 << 20) -> str:
+    """Clustered table: folders by ``partition_col`` (pruned by filters on it)
+    and rows range-ordered by ``cluster_by``, so that parquet's min/max
+    statistics skip row groups for filters on those columns.
+
+    ``unique_by`` is the last range key: rows that agree in all others can
+    still be divided, so files stay balanced when one date and channel holds a
+    large share. ``df`` is stored first and range-partitioned from there: the
+    sampling of keys then reads a table instead of running the plan again, and
+    the number of files follows from its size in bytes.
     """
-    n = files_per_partition or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [partition_col, *cluster_by]
-    (df.repartitionByRange(n, *[F.col(k) for k in keys])
-       .sortWithinPartitions(*keys)
-       .write.mode("overwrite").format("parquet")
-       .partitionBy(partition_col)
-       .save(path))
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}/_staged"
+    df.write.mode("overwrite").parquet(staged)
+    fs, p = _hadoop(spark, staged)
+    files = max(1, -(-fs.getContentSummary(p).getLength() // file_bytes))
+    keys = [partition_col, *cluster_by, unique_by]
+    version = _next(spark, path)
+    (spark.read.schema(df.schema).parquet(staged)
+     .repartitionByRange(files, *[F.col(k) for k in keys])
+     .sortWithinPartitions(*keys)
+     .write.mode("errorifexists").format("parquet").partitionBy(partition_col).save(version))
+    fs.delete(p, True)
+    _retire(spark, path)
+    return version
 
 
 def write_versioned(df: DataFrame, base_path: str, version: str) -> str:
-    """Write a snapshot version to ``base_path/version=<version>``; the input
-    version is never overwritten (plain parquet has no MERGE)."""
+    """Write a snapshot version to ``base_path/version=<version>``. A complete
+    version is never overwritten; what a failed attempt left is replaced."""
     path = f"{base_path.rstrip('/')}/version={version}"
-    df.write.mode("errorifexists").format("parquet").save(path)
+    if _found(df.sparkSession, f"{path}/_SUCCESS"):
+        raise FileExistsError(f"{path} is a complete version")
+    df.write.mode("overwrite").format("parquet").save(path)
     return path
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

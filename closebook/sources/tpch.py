@@ -148,6 +148,9 @@ class DriverTables:
 class RawFeeds:
     """The seven raw feeds (plus SCD2 customer extracts) for one driver directory."""
 
+    #: Number and time of each customer extract.
+    extract_loads = tuple(enumerate(SNAPSHOT_LOADS, start=1))
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.driver = DriverTables(spark, sf_dir)

@@ -6,13 +6,13 @@ from closebook.plans import checks
 
 
 def test_declared_counts_by_kind():
-    assert len(checks.DECLARED) == 63
-    assert Counter(c.kind for c in checks.DECLARED) == {
+    assert len(checks.declared()) == 63
+    assert Counter(c.kind for c in checks.declared()) == {
         "not_null": 29, "expression": 14, "unique": 9,
         "relationships": 4, "accepted_values": 4, "unique_combination": 3}
 
 
 def test_added_checks_and_unique_ids():
     assert [c.origin for c in checks.ADDED] == ["added", "added"]
-    ids = [c.check_id for c in checks.ALL_CHECKS]
+    ids = [c.check_id for c in checks.all_checks()]
     assert len(ids) == len(set(ids)) == 65

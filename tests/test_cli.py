@@ -1,18 +1,19 @@
 """Command line: stage feeds, run the marts, test against stored marts, snapshot."""
 
 from closebook.__main__ import main
+from closebook.sources import sinks
 
 
 def test_stage_run_test_snapshot(spark, small_sf, tmp_path, capsys):
     feeds = str(tmp_path / "feeds")
     assert main(["stage", "--sf-dir", small_sf, "--out", feeds], spark) == 0
     marts = str(tmp_path / "marts")
-    assert main(["run", "--sources", feeds, "--out", marts], spark) == 0
-    assert spark.read.parquet(f"{marts}/completed_order_items").count() > 0
-    rc = main(["test", "--sources", feeds, "--marts", marts], spark)
+    assert main(["run", "--sources", feeds, "--out", marts, "--as-of", "2026-09-01"], spark) == 0
+    assert sinks.read_table(spark, f"{marts}/completed_order_items").count() > 0
+    rc = main(["test", "--sources", feeds, "--marts", marts, "--as-of", "2026-09-01"], spark)
     out = capsys.readouterr().out
     passed, failed = (int(x.split()[0]) for x in out.strip().splitlines()[-1].split(", "))
-    assert passed + failed == 65
+    assert passed + failed == 65 + 2
     # the driver-derived feeds carry deliberate defects (e.g. an unknown entry
     # type gives a null signed amount), so the suite reports failures
     assert rc == 1 and "FAIL\t" in out

@@ -145,7 +145,7 @@ def test_quality_checks(m):
     def model(name):
         return getattr(m.raw, name[4:]) if name.startswith("raw_") else m.model(name)
     res = {r["check_id"]: r["failures"]
-           for r in quality.run_checks(checks.ALL_CHECKS, model).collect()}
+           for r in quality.run_checks(checks.all_checks(), model).collect()}
     assert len(res) == 65
     assert res["not_null__stg_gl_entries__signed_amount"] == 1
     assert res["accepted_values__raw_orders__status"] == 2    # 'Shipped ', 'DELIVERED'

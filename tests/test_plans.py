@@ -43,16 +43,28 @@ def test_lineitem_scan_is_pruned(plans):
 
 def test_fact_shuffle_budget(plans, spark, small_sf):
     # lines once (order_id, salt), orders once (dedupe), per-order partial sums
-    # once, order facts once (order_id, salt), and the partial line-id counts
-    # behind the broadcast hot-key list, which both join sides read.
+    # once, order facts once (order_id, salt), and the partial line counts
+    # behind the hot-order list, which only the line side looks up.
     plan = plans["completed_order_items"]
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 6
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 5
     assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, _salt#\d+", plan)) == 2
-    # At run time the second read of the hot-key counts reuses the first exchange.
-    df = QUERIES["completed_order_items"](spark, small_sf)
-    df.collect()                                   # runs this DataFrame's own plan
-    final = _plan(df)
-    assert "isFinalPlan=true" in final and "ReusedExchange" in final
+
+
+def line_scans(plan):
+    return [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "l_orderkey" in s]
+
+
+def test_line_scan_budgets(plans):
+    # the second scan of the fact reads per-order sums, the third order ids only
+    assert len(line_scans(plans["completed_order_items"])) == 3
+    for name in ("revenue_performance_monthly", "yoy_calendar"):
+        assert len(line_scans(plans[name])) == 2, name
+    assert len(line_scans(plans["dq_summary"])) <= 15
+
+
+def test_unrecognised_revenue_reads_its_tables(plans):
+    plan = plans["unrecognised_revenue_check"]
+    assert line_scans(plan) and "o_orderstatus" in plan and "LocalTableScan" not in plan
 
 
 def test_order_grain_marts_shuffle_no_line_rows(plans):

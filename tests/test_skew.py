@@ -86,7 +86,7 @@ def _brute(items, products):
 
 def test_hot_order_results_and_split(spark, skewed_conf):
     raw, items, products = _feeds(spark)
-    m = Marts(raw, MartConfig(hot_key_rows=100, max_key_fanout=8))
+    m = Marts(raw, MartConfig(rows_per_join_task=60))
     fact = m.completed_order_items
     rows = fact.groupBy("order_id").agg(
         F.sum("revenue").alias("rev"), F.max("order_total_revenue").alias("tot"),
@@ -111,7 +111,7 @@ def test_hot_order_results_and_split(spark, skewed_conf):
 def test_hot_order_left_and_anti_joins(spark, skewed_conf):
     from closebook.plans import sales
     raw, items, _ = _feeds(spark)
-    cfg = MartConfig(hot_key_rows=100, max_key_fanout=8)
+    cfg = MartConfig(rows_per_join_task=60)
     m = Marts(raw, cfg)
     econ = m.order_line_economics
     assert econ.count() == len(items)                        # left join keeps every line
