@@ -81,7 +81,7 @@ def snapshot_customers(spark: SparkSession, raw, base_path: str, version: str,
     snapshot step, and a failed run leaves every earlier version intact.
     """
     m = Marts(raw, cfg)
-    existing = sinks.read_table(spark, previous) if previous else None
+    existing = spark.read.parquet(previous) if previous else None
     snap = snapshot_apply(existing, m.stg_customers, cfg.snapshot_key, cfg.snapshot_check_cols,
                           as_of)
     return sinks.write_versioned(snap, base_path, version)

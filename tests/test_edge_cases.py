@@ -1,5 +1,6 @@
 """Edge rows: zero list price, future order date, month gap in a series."""
 
+from pyspark.sql import functions as F
 import datetime as dt
 from decimal import Decimal as D
 
@@ -47,11 +48,12 @@ def _series_fact(spark):
 def test_lag_12_is_rows_back_calendar_yoy_is_a_year_back(spark):
     fact = _series_fact(spark)
     dim = spark.createDataFrame([("C1", d(2023, 1, 5))], "customer_id string, first_order_date date")
-    monthly = sales.revenue_performance_monthly(fact, dim)
+    cats = sales.order_categories_of(fact.withColumn("order_date", F.col("order_month")))
+    monthly = sales.revenue_performance_monthly(cats, sales.new_customers_monthly(dim))
     feb = monthly.where("order_month = DATE'2024-02-01'").first()
     # 12 rows back from 2024-02 is 2023-01 (revenue 100) because 2023-06 is missing.
     assert feb["yoy_revenue_growth_pct"] == round((112 - 100) / 100, 4)
-    cal = sales.yoy_calendar(monthly).where("order_month = DATE'2024-02-01'").first()
+    cal = sales.yoy_calendar(sales.monthly_revenue(cats)).where("order_month = DATE'2024-02-01'").first()
     assert cal["prior_year_revenue"] == D("101.00")            # 2023-02
     assert cal["yoy_calendar_growth_pct"] == round((112 - 101) / 101, 4)
     jan = monthly.where("order_month = DATE'2024-01-01'").first()

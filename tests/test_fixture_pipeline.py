@@ -138,7 +138,7 @@ def test_reconciliation(m):
 
 
 def test_unrecognised_check_is_empty(m):
-    assert finance.unrecognised_revenue_check(m.completed_order_items).count() == 0
+    assert finance.unrecognised_revenue_check(m.completed_order_items, m.stg_orders).count() == 0
 
 
 def test_quality_checks(m):
