@@ -66,6 +66,18 @@ def _result_struct(check: Check, failures: Column) -> Column:
 _ROW, _DUP, _REL = 0, 1, 2
 
 
+def _keys(columns: Iterable[str], nulls: bool) -> list[Column]:
+    """128 hash bits of the columns as text, in two longs; with ``nulls`` a null
+    is a value, else it makes both null."""
+    values = [F.col(c).cast("string") for c in columns]
+    marked = [x for v in values for x in (v.isNull(), v)]
+    any_null = F.lit(False)
+    for v in () if nulls else values:
+        any_null = any_null | v.isNull()
+    return [F.when(~any_null, F.xxhash64(F.lit(i), *marked)).alias(name)
+            for i, name in enumerate(("_a", "_b"))]
+
+
 def _model_checks(df: DataFrame, checks: list[Check],
                   model: Callable[[str], DataFrame]) -> DataFrame:
     """All checks on one model in one pass over it and one grouped exchange.
@@ -78,8 +90,7 @@ def _model_checks(df: DataFrame, checks: list[Check],
 
     * row checks fail by the sums of their flags;
     * unique / unique_combination fail by the values that occur more than once
-      (``unique`` skips nulls; a combination is JSON of its columns, so nulls
-      count as values);
+      (``unique`` skips nulls; in a combination they count as values);
     * relationships fail by the counts of the keys that no parent row has: the
       parent keys join the grouped rows on the columns they are grouped by.
 
@@ -89,23 +100,18 @@ def _model_checks(df: DataFrame, checks: list[Check],
     dups = [c for c in checks if c.kind in ("unique", "unique_combination")]
     rels = [c for c in checks if c.kind == "relationships"]
 
-    def entry(fam: int, i: int, v: Column | None, flags: list[Column]) -> Column:
-        value = F.lit(None) if v is None else v
-        return F.struct(F.lit(fam).alias("_f"), F.lit(i).alias("_i"),
-                        value.cast("string").alias("_v"),
+    def entry(fam: int, i: int, keys: list[Column], flags: list[Column]) -> Column:
+        return F.struct(F.lit(fam).alias("_f"), F.lit(i).alias("_i"), *keys,
                         F.array(*flags).cast("array<boolean>").alias("_flags"))
 
-    def value(c: Check) -> Column:
-        if c.kind == "unique":
-            return F.col(c.column).cast("string")
-        return F.to_json(F.struct(*[F.col(x) for x in c.columns]))
-
-    entries = [entry(_ROW, 0, None, [c.failing_condition() for c in rows])] if rows else []
-    entries += [entry(_DUP, i, value(c), []) for i, c in enumerate(dups)]
-    entries += [entry(_REL, i, F.col(c.column), []) for i, c in enumerate(rels)]
+    entries = [entry(_ROW, 0, _keys([], True), [c.failing_condition() for c in rows])] \
+        if rows else []
+    entries += [entry(_DUP, i, _keys(c.columns or (c.column,), c.kind == "unique_combination"), [])
+                for i, c in enumerate(dups)]
+    entries += [entry(_REL, i, _keys((c.column,), False), []) for i, c in enumerate(rels)]
     grouped = (df.select(F.inline(F.array(*entries)))
-               .where((F.col("_f") == _ROW) | F.col("_v").isNotNull())
-               .groupBy("_f", "_i", "_v")
+               .where(F.col("_a").isNotNull())
+               .groupBy("_f", "_i", "_a", "_b")
                .agg(F.count(F.lit(1)).alias("_n"),
                     *[F.count_if(F.get("_flags", F.lit(i))).alias(f"_r{i}")
                       for i in range(len(rows))]))
@@ -114,11 +120,11 @@ def _model_checks(df: DataFrame, checks: list[Check],
         parents = None
         for i, c in enumerate(rels):
             p = model(c.to_model).select(F.lit(_REL).alias("_f"), F.lit(i).alias("_i"),
-                                         F.col(c.to_field).cast("string").alias("_v"))
+                                         *_keys((c.to_field,), False))
             parents = p if parents is None else parents.unionByName(p)
-        parents = parents.where(F.col("_v").isNotNull()).groupBy("_f", "_i", "_v").agg(
+        parents = parents.where(F.col("_a").isNotNull()).groupBy("_f", "_i", "_a", "_b").agg(
             F.lit(True).alias("_known"))
-        grouped = grouped.join(parents, ["_f", "_i", "_v"], "left")
+        grouped = grouped.join(parents, ["_f", "_i", "_a", "_b"], "left")
         known = F.coalesce(F.col("_known"), F.lit(False))
 
     def is_entry(fam: int, i: int) -> Column:
