@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from closebook.llm.common import in_parts
+
 # The pattern that cuts text for byte-level BPE.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -133,8 +135,8 @@ def encoder_column(spark: SparkSession, vocabulary: Vocabulary):
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(**shared.value))
-        for texts in batches:
-            ids = [encoder.encode(t.as_py() or "") for t in texts]
+        for texts in in_parts(batches):
+            ids = [encoder.encode(t or "") for t in texts.to_pylist()]
             ends = np.cumsum([0, *map(len, ids)]) // 4
             flat = np.frombuffer(b"".join(ids), dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
@@ -148,7 +150,7 @@ def decoder_column(spark: SparkSession, vocabulary: Vocabulary):
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = shared.value.__getitem__
-        for lists in batches:
+        for lists in in_parts(batches):
             yield pa.array([b"".join(map(token, ids or ())).decode("utf-8", "replace")
                             for ids in (x.values.to_numpy().tolist() if x.is_valid else ()
                                         for x in lists)], pa.string())

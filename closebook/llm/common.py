@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def in_parts(batches: Iterator[pa.Array], rows: int = 256) -> Iterator[pa.Array]:
+    """The batches of a column function in short slices, which bounds what
+    Python holds of long texts at a time."""
+    for batch in batches:
+        yield from (batch.slice(i, rows) for i in range(0, len(batch), rows))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder of the session."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/closebook-{name}-{uuid.uuid4().hex}"

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from closebook.llm.common import in_parts
+
 UNKNOWN = "und"
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -100,7 +102,7 @@ def classifier(model: dict[str, bytes], block_bytes: int = 2048, level: int = 6,
             blocks = [data[i:i + block_bytes] for i in range(0, len(data), block_bytes)]
             return [sum(len(p.compress(b)) for b in blocks) for p in packers]
 
-        for texts in batches:
+        for texts in in_parts(batches):
             out_lang, out_score, out_margin, out_reject = [], [], [], []
             for text in texts.to_pylist():
                 if not text or not any(map(str.isalpha, text)):

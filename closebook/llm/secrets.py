@@ -15,11 +15,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closebook.llm.common import in_parts
+
 # The base patterns. Letters of group 1 in either case (A-Z only).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -173,12 +176,12 @@ def scan_secrets(docs: DataFrame, min_bits: float = 40.0) -> DataFrame:
     kind = "array<struct<start:long,end:long,kind:string,bits:double>>"
 
     @F.arrow_udf(kind)
-    def find(texts: pa.Array) -> pa.Array:
-        rows = [[dict(zip(("start", "end", "kind", "bits"), s)) for s in scan(t or "", min_bits)]
-                for t in texts.to_pylist()]
-        return pa.array(rows, pa.list_(pa.struct([
-            ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()),
-            ("bits", pa.float64())])))
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
+                                    ("kind", pa.string()), ("bits", pa.float64())]))
+        for texts in in_parts(batches):
+            yield pa.array([[dict(zip(("start", "end", "kind", "bits"), s))
+                             for s in scan(t or "", min_bits)] for t in texts.to_pylist()], spans)
 
     own = [c for c in docs.columns if c != "found"]
     rows = docs.select(F.struct(*own).alias("row"), find(F.col("text")).alias("found"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import settle, spread_join, text_key
+from closebook.llm.common import in_parts, settle, spread_join, text_key
 from closebook.llm.components import components
 
 BITS = 64
@@ -58,9 +58,10 @@ def fingerprint(data: bytes, shingle: int = 3) -> int:
 
 def fingerprint_column(text, shingle: int = 3):
     @F.arrow_udf("long")
-    def simhash64(texts: pa.Array) -> pa.Array:
-        prints = [fingerprint(t, shingle) for t in texts.cast(pa.binary()).to_pylist()]
-        return pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+    def simhash64(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in in_parts(batches):
+            prints = [fingerprint(t, shingle) for t in texts.cast(pa.binary()).to_pylist()]
+            yield pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
 
     return simhash64(F.coalesce(text, F.lit("")))
 
