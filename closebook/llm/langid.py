@@ -41,8 +41,9 @@ def fit_dictionaries(labelled: DataFrame, sample_docs: int = 800,
     """{lang: raw dictionary} from rows (doc_id, text, lang) with lang set.
 
     Bound: dict_bytes for each distinct lang; what reaches the driver is one
-    count and at most dict_bytes a language. Each sampled document gives an
-    equal share of its language's dictionary, from its beginning.
+    count and some four times dict_bytes a language. Each sampled document gives
+    an equal share of its language's dictionary, from its beginning (or more,
+    up to four shares, where others are shorter).
     """
     spark = labelled.sparkSession
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
@@ -59,7 +60,7 @@ def fit_dictionaries(labelled: DataFrame, sample_docs: int = 800,
     picked = (rows.join(F.broadcast(cut), "lang").withColumn("key", key)
               .where(F.col("key") < F.col("share"))
               .select("lang", "key", "doc_id",
-                      F.substring("text", 1, dict_bytes // 16).alias("piece"))
+                      F.substring("text", 1, 4 * dict_bytes // sample_docs).alias("piece"))
               .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs))
     pieces: dict[str, list[bytes]] = {}
     for r in picked.orderBy("lang", "n").toLocalIterator():
