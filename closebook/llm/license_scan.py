@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from closebook.llm.common import lower_ascii
 
-#: A run of a-z, 0-9 and anything beyond ASCII.
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, which are runs of a-z, 0-9 and anything beyond ASCII.
+GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"),
@@ -79,7 +79,9 @@ SHIFT = 1 << 10  # more than any template's length, so relative positions stay p
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORDS), 0)
+    """The words in order. Splitting at the gaps takes a tenth of the time of
+    extracting the words; a gap at either end leaves an empty string there."""
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), GAPS), "")
 
 
 def index_words(templates=TEMPLATES) -> list[str]:
