@@ -38,7 +38,8 @@ def letters(text: str) -> bytes:
 
 def fit_dictionaries(labelled: DataFrame, sample_docs: int = 800,
                      dict_bytes: int = 262144, seed: int = 9) -> dict[str, bytes]:
-    """{lang: raw dictionary} from rows (doc_id, text, lang) with lang set.
+    """{lang: raw dictionary} from rows (text, lang) with lang set; a text that
+    is there many times is one.
 
     Bound: dict_bytes for each distinct lang; what reaches the driver is one
     count and some four times dict_bytes a language. Each sampled document gives
@@ -48,19 +49,22 @@ def fit_dictionaries(labelled: DataFrame, sample_docs: int = 800,
     spark = labelled.sparkSession
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["n"] for r in
-              rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+              rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     if not counts:
         return {}
     # Twice the expected number of keys, so that fewer than sample_docs is out
     # of the question for a common language; a rare one is taken whole.
-    cut = spark.createDataFrame([(k, min(1.0, 2 * sample_docs / n)) for k, n in counts.items()],
-                                "lang string, share double")
-    key = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / (1 << 30))
-    first = Window.partitionBy("lang").orderBy("key", "doc_id", "piece")
+    cut = spark.createDataFrame(
+        [(k, min(1.0, 2 * sample_docs / max(n, 1))) for k, n in counts.items()],
+        "lang string, share double")
+    key = (F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / (1 << 30))
+    first = Window.partitionBy("lang").orderBy("key", "piece")
+    # distinct() combines copies before the shuffle: a hot text is one row a task.
     picked = (rows.join(F.broadcast(cut), "lang").withColumn("key", key)
               .where(F.col("key") < F.col("share"))
-              .select("lang", "key", "doc_id",
+              .select("lang", "key",
                       F.substring("text", 1, 4 * dict_bytes // sample_docs).alias("piece"))
+              .distinct()
               .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs))
     pieces: dict[str, list[bytes]] = {}
     for r in picked.orderBy("lang", "n").toLocalIterator():

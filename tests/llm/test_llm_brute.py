@@ -379,6 +379,16 @@ def test_language_query(spark, small_sf, docs):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_dictionaries_know_no_ids_and_no_copies(spark):
+    texts = [(f"text number {i} with some {chr(97 + i % 20) * 5}", "ab"[i % 2]) for i in range(60)]
+    plain = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)],
+                                  "doc_id long, text string, lang string")
+    again = spark.createDataFrame([(10_000 - i, *t) for i, t in enumerate(texts + texts[:30] * 40)],
+                                  "doc_id long, text string, lang string")
+    model = langid.fit_dictionaries(plain)
+    assert set(model) == {"a", "b"} and model == langid.fit_dictionaries(again)
+
+
 def test_language_of_odd_texts(spark):
     words = {"a": "alpha beta gamma delta epsilon ", "b": "uno dos tres cuatro cinco seis "}
     model = {k: (w * 20).encode() for k, w in words.items()}
