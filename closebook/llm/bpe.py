@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm.common import in_parts
+from closebook.llm.common import in_parts, short_batches
 
 # The pattern that cuts text for byte-level BPE.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -130,6 +130,7 @@ class Encoder(dict):
 
 
 def encoder_column(spark: SparkSession, vocabulary: Vocabulary):
+    short_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary.__dict__)
 
     @F.arrow_udf("array<int>")
@@ -145,6 +146,7 @@ def encoder_column(spark: SparkSession, vocabulary: Vocabulary):
 
 
 def decoder_column(spark: SparkSession, vocabulary: Vocabulary):
+    short_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary.tokens)
 
     @F.arrow_udf("string")

@@ -46,6 +46,15 @@ def in_parts(batches: Iterator[pa.Array], rows: int = 256) -> Iterator[pa.Array]
         yield from (batch.slice(i, rows) for i in range(0, len(batch), rows))
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lower the session's rows per Arrow batch to ``rows``, if there are more.
+    Spark holds a batch of texts and of results on both sides of each task and
+    column function; the setting is read when the job runs, so it stays set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder of the session."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/closebook-{name}-{uuid.uuid4().hex}"
