@@ -3,10 +3,10 @@ functions only.
 
 Method: the words of all templates form an index of postings (template,
 position). The document frequency of each index word is counted over all
-documents. A file looks up the ``rare_words`` of its words that have the
-highest IDF; each place of such a word and each posting of it give a relative
-position, and a template is a candidate where at least ``votes`` of them
-agree. A candidate is confirmed when the template's mandatory phrases stand at
+documents. A file looks up all of its words whose IDF is high enough; each
+place of such a word and each posting of it give a relative position, and a
+template is a candidate where at least ``votes`` of them agree, whatever else
+stands in the file. A candidate is confirmed when the template's mandatory phrases stand at
 their places, word for word, and at least ``min_share`` of its words do.
 
 Beside that stands the base: places where the words of a plain phrase stand
@@ -141,8 +141,8 @@ def candidates(looked_up: Column, postings: Column, votes: int) -> tuple[Column,
         F.filter(same, lambda c: c.isNotNull()))
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=BASE, rare_words: int = 12,
-                  votes: int = 2, min_share: float = 0.6, min_idf: float = 1.0) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=BASE, votes: int = 2,
+                  min_share: float = 0.6, min_idf: float = 1.0) -> DataFrame:
     """All columns of ``docs`` and n_words, places (array of position, label of
     each base phrase), matches (array of label, start, share of each confirmed
     template), labels (sorted, distinct, of both).
@@ -162,9 +162,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=BASE, rare_words
     rows = docs.select(F.struct(*own).alias("row"), words_of(F.col("text")).alias("words"))
     # A stage boundary in the plan, so that each array is computed once a row.
     rows = _once(rows, ["words"])
-    looked_up = F.slice(F.array_intersect(
+    looked_up = F.array_intersect(
         F.array(*[F.lit(w) for w in rare]) if rare else F.array().cast("array<string>"),
-        F.col("words")), 1, rare_words)
+        F.col("words"))
     rows = _once(rows.select("row", "words", looked_up.alias("looked_up"),
                              base_places(phrases).alias("places")), ["looked_up", "places"])
     codes, pick = candidates(F.col("looked_up"), _postings(templates, set(rare)), votes)

@@ -368,6 +368,43 @@ def test_license_alignment(spark):
     assert got[8]["labels"] == ["gpl"]
 
 
+def plain_licenses(text, min_share=0.6):
+    """Labels of base phrases and of every template laid at every place."""
+    words = plain_words(text)
+    labels = {x for _, x in plain_places(words)}
+    for t in license_scan.TEMPLATES:
+        form = t.text.split()
+        need = [(next(i for i in range(len(form)) if form[i:i + len(p)] == p), p)
+                for p in map(str.split, t.phrases)]
+        for start in range(-len(form), len(words)):
+            at = range(max(start, 0), min(start + len(form), len(words)))
+            whole = all(start + i >= 0 and words[start + i:start + i + len(p)] == p
+                        for i, p in need)
+            if whole and sum(words[i] == form[i - start] for i in at) >= min_share * len(form):
+                labels.add(t.label)
+    return sorted(labels)
+
+
+FILLER = " lorem ipsum dolor sit amet " * 5
+NOTICES = {}  # the longest template of each label
+for _t in license_scan.TEMPLATES:
+    NOTICES[_t.label] = max(NOTICES.get(_t.label, ""), _t.text, key=len)
+
+
+def test_files_with_several_licenses(spark):
+    rng = random.Random(6)
+    texts = [FILLER.join(["", *[NOTICES[x] for x in ("mit", "isc", "bsd", "cc-by-nc")], ""]),
+             FILLER.join(["", *[NOTICES[x] for x in ("mit", "apache", "lgpl")], ""]),
+             FILLER.join(["", *NOTICES.values(), ""])]
+    texts += [FILLER.join(["", *rng.sample(sorted(NOTICES.values()), rng.randint(2, 6)), ""])
+              for _ in range(30)]
+    rows = list(enumerate(texts)) + [(i, FILLER) for i in range(100, 400)]
+    got = rows_of(license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")),
+                  "doc_id")
+    assert plain_licenses(texts[0]) == ["bsd", "cc-by-nc", "isc", "mit"]
+    assert {i: got[i]["labels"] for i, _ in rows} == {i: plain_licenses(t) for i, t in rows}
+
+
 # -------------------------------------------------------------- language ID
 def test_language_query(spark, small_sf, docs):
     import zlib
