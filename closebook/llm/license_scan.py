@@ -1,13 +1,15 @@
 """License scans with a positional index of rare licence words, by DataFrame
 functions only.
 
-Method: the words of all templates form an index of postings (template,
-position). The document frequency of each index word is counted over all
-documents. A file looks up all of its words whose IDF is high enough; each
-place of such a word and each posting of it give a relative position, and a
-template is a candidate where at least ``votes`` of them agree, whatever else
-stands in the file. A candidate is confirmed when the template's mandatory phrases stand at
-their places, word for word, and at least ``min_share`` of its words do.
+Method: the document frequency of each template word is counted over all
+documents. Each template gives the ``votes`` words of its mandatory phrases
+that have the highest IDF to an index of postings (template, position). A file
+looks up all of its words that are in the index; each place of such a word and
+each posting of it give a relative position, and a template is a candidate
+where all postings of it agree. A candidate is confirmed when the template's
+mandatory phrases stand at their places, word for word, and at least
+``min_share`` of its words do. What can be confirmed has its phrases, and so
+all its postings: IDF decides what is looked up, never what is found.
 
 Beside that stands the base: places where the words of a plain phrase stand
 consecutively. Everything happens within a file's own row; the only shuffle
@@ -127,36 +129,36 @@ def base_places(phrases=BASE) -> Column:
     return F.when(some, F.filter(places, lambda p: p["phrase"] >= 0)).otherwise(none)
 
 
-def candidates(looked_up: Column, postings: Column, votes: int) -> tuple[Column, Column]:
+def candidates(looked_up: Column, postings: Column, needs) -> tuple[Column, Column]:
     """(sorted codes, candidates): the codes (template, relative position) of all
-    looked-up word places, and from column ``codes`` those on which at least
-    ``votes`` of them agree, which are equal neighbours in that order."""
+    looked-up word places, and from column ``codes`` those on which as many of
+    them agree as the template ``needs``, which are neighbours in that order."""
     places = F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     places = F.filter(places, lambda p: F.array_contains(looked_up, p["w"]))
     codes = F.array_sort(F.flatten(F.transform(places, lambda p: F.transform(
         F.element_at(postings, p["w"]), lambda c: c + p["i"]))))
-    same = F.zip_with("codes", F.slice("codes", votes, F.greatest(F.size("codes"), F.lit(1))),
-                      lambda a, b: F.when(a == b, a))
-    return F.when(F.size(looked_up) > 0, codes), F.array_distinct(
-        F.filter(same, lambda c: c.isNotNull()))
+    need = F.array(*map(F.lit, needs))
+    agreed = F.filter("codes", lambda c, i: F.get(
+        "codes", i + F.get(need, F.floor(c / SPAN).cast("int")) - 1) == c)
+    return F.when(F.size(looked_up) > 0, codes), F.array_distinct(agreed)
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=BASE, votes: int = 2,
-                  min_share: float = 0.6, min_idf: float = 1.0) -> DataFrame:
+                  min_share: float = 0.6) -> DataFrame:
     """All columns of ``docs`` and n_words, places (array of position, label of
     each base phrase), matches (array of label, start, share of each confirmed
     template), labels (sorted, distinct, of both).
 
-    ``min_idf``: words with a lower ln(documents / documents with the word) do
-    not select candidates. Defined cases: a null or empty text has no words
-    and no match; texts of any length are read whole; a template found twice
-    matches twice; repeated rows count as documents each and match alike; an
-    empty table gives no rows; input columns named as the new ones are
-    replaced.
+    ``votes``: the index words of a template; fewer where its phrases have
+    fewer. Defined cases: a null or empty text has no words and no match; texts
+    of any length are read whole; a template found twice matches twice; what a
+    row matches does not depend on the other rows; an empty table gives no
+    rows; input columns named as the new ones are replaced.
     """
     n, df = document_frequencies(docs, templates)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in index_words(templates)}
-    rare = sorted((w for w in idf if idf[w] >= min_idf), key=lambda w: (-idf[w], w))
+    chosen, needs = zip(*[_rarest(t, idf, votes, min_share) for t in templates])
+    rare = sorted({t.text.split()[at] for t, places in zip(templates, chosen) for at in places})
     made = ("n_words", "places", "matches", "labels")
     own = [c for c in docs.columns if c not in made]
     rows = docs.select(F.struct(*own).alias("row"), words_of(F.col("text")).alias("words"))
@@ -167,7 +169,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=BASE, votes: int
         F.col("words"))
     rows = _once(rows.select("row", "words", looked_up.alias("looked_up"),
                              base_places(phrases).alias("places")), ["looked_up", "places"])
-    codes, pick = candidates(F.col("looked_up"), _postings(templates, set(rare)), votes)
+    codes, pick = candidates(F.col("looked_up"), _postings(templates, chosen), needs)
     rows = _once(rows.withColumn("codes", codes), ["codes"])
     rows = _once(rows.withColumn("found", F.coalesce(
         pick, F.array().cast("array<bigint>"))), ["found"])
@@ -183,13 +185,36 @@ def _once(rows: DataFrame, columns: list[str]) -> DataFrame:
         .select(*rest, *[F.col("_one")[c].alias(c) for c in columns])
 
 
-def _postings(templates, rare: set[str]) -> Column:
+def _phrase_at(words: list[str], phrase: str) -> int:
+    parts = phrase.split()
+    return next(i for i in range(len(words)) if words[i:i + len(parts)] == parts)
+
+
+def _rarest(template: Template, idf: dict[str, float], votes: int,
+            min_share: float) -> tuple[list[int], int]:
+    """(positions of the rarest words, how many of them must agree). Mandatory
+    phrases stand wherever the template is confirmed, so ``votes`` of their
+    words do; of a template without phrases, ``min_share`` of all words stand,
+    so ``votes`` of any that are more by as many as may be absent."""
+    words = template.text.split()
+    places = {at + k for p in template.phrases
+              for at in (_phrase_at(words, p),) for k in range(len(p.split()))}
+    absent = 0
+    if not places:
+        places = set(range(len(words)))
+        absent = len(words) - max(1, sum(n / len(words) < min_share for n in range(len(words))))
+    need = min(votes, len(places) - absent)
+    rarest = sorted(places, key=lambda at: (-idf[words[at]], words[at], at))
+    return rarest[:need + absent], need
+
+
+def _postings(templates, chosen) -> Column:
     """word -> codes of its postings: template * SPAN + SHIFT - position."""
     lists: dict[str, list[int]] = {}
-    for t, template in enumerate(templates):
-        for at, w in enumerate(template.text.split()):
-            if w in rare:
-                lists.setdefault(w, []).append(t * SPAN + SHIFT - at)
+    for t, (template, places) in enumerate(zip(templates, chosen)):
+        words = template.text.split()
+        for at in places:
+            lists.setdefault(words[at], []).append(t * SPAN + SHIFT - at)
     if not lists:
         lists = {"": [0]}
     return F.create_map(*[x for w, codes in sorted(lists.items()) for x in (
@@ -203,8 +228,8 @@ def _confirm(rows: DataFrame, templates, phrases, min_share: float) -> DataFrame
         need = []
         for p in t.phrases:
             parts = p.split()
-            at = next(i for i in range(len(words)) if words[i:i + len(parts)] == parts)
-            need.append(F.struct(F.lit(at).alias("at"), F.array(*map(F.lit, parts)).alias("parts")))
+            need.append(F.struct(F.lit(_phrase_at(words, p)).alias("at"),
+                                 F.array(*map(F.lit, parts)).alias("parts")))
         forms.append(F.struct(F.lit(t.label).alias("label"),
                               F.array(*map(F.lit, words)).alias("parts"),
                               F.array(*need).alias("need")))

@@ -405,6 +405,30 @@ def test_files_with_several_licenses(spark):
     assert {i: got[i]["labels"] for i, _ in rows} == {i: plain_licenses(t) for i, t in rows}
 
 
+@pytest.mark.parametrize("notices,others", [
+    *(((x,), 6) for x in ("cc-by-sa", "bsd", "mpl", "lgpl")),
+    (("cc-by-nc",), 0), (("cc-by-nc", "isc", "mit"), 0), (tuple(NOTICES), 0)])
+def test_notices_that_many_documents_have(spark, notices, others):
+    text = FILLER.join(["", *[NOTICES[x] for x in notices], ""])
+    rows = [(i, text) for i in range(4)] + [(10 + i, FILLER) for i in range(others)]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["labels"] for r in got.collect()} == {
+        i: plain_licenses(t) for i, t in rows}
+    assert set(notices) <= set(plain_licenses(text))
+    one = license_scan.scan_licenses(spark.createDataFrame(rows[:1], "doc_id long, text string"))
+    assert [r["labels"] for r in one.collect()] == [plain_licenses(text)]
+
+
+def test_template_without_phrases(spark):
+    form = "every good boy does fine and so on"
+    made = (license_scan.Template("x", form, ()), license_scan.Template("y", "solo", ("solo",)))
+    texts = {1: form, 2: "every bad girl does fine and so", 3: "every bad girl does well and so",
+             4: "a solo b"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = rows_of(license_scan.scan_licenses(df, made), "doc_id")
+    assert {i: r["labels"] for i, r in got.items()} == {1: ["x"], 2: ["x"], 3: [], 4: ["y"]}
+
+
 # -------------------------------------------------------------- language ID
 def test_language_query(spark, small_sf, docs):
     import zlib
