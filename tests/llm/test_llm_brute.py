@@ -1,6 +1,7 @@
 """Operators that SQL cannot express, against plain computations on small tables."""
 
 import hashlib
+import inspect
 import itertools
 import random
 import re
@@ -195,6 +196,30 @@ def test_recall_of_a_tree_with_many_leaves():
     assert len(set(zip(qids, got)) & want) >= 0.9 * len(want)
 
 
+def unit(rows):
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def spread_norms(by):
+    return lambda rng: unit(rng.normal(size=(8000, 64))) * np.exp(rng.normal(size=(8000, 1)) * by)
+
+
+@pytest.mark.parametrize("make", [
+    *map(spread_norms, (0.1, 0.2, 0.5, 1.0, 1.5, 2.0)),
+    *[lambda rng, d=d: unit(rng.normal(size=(8000, d))) for d in (4, 8, 16)],
+    lambda rng: unit(rng.normal(size=(8000, 6)) @ rng.normal(size=(6, 64))
+                     + 0.1 * rng.normal(size=(8000, 64))),
+    lambda rng: rng.normal(size=(8000, 8))])
+def test_recall_of_the_default_factor(make):
+    rows, ids, q = make(np.random.default_rng(7)), np.arange(8000), np.arange(0, 8000, 80)
+    qids, got, _ = ann.search(20, ann.FACTOR)(q, rows[q], ids, rows)
+    s = rows[q] @ rows.T
+    s[np.arange(len(q)), q] = -np.inf
+    want = {(a, b) for a, r in zip(q, np.argsort(-s, axis=1)[:, :20]) for b in r}
+    assert len(set(zip(qids, got)) & want) >= 0.99 * len(want)
+    assert inspect.signature(ann.nearest).parameters["factor"].default == ann.FACTOR
+
+
 # ---------------------------------------------------------------------- BPE
 ODD = ["", " ", "\n\n", "a  b   c\t\td", "  lead", "trail  ", "I'm we'll 'S don't", "123 45a6",
        "naïve ÜBER ñandú", "日本語テキスト", "🙂🙂 👩‍👩‍👧", "a b　c d\x85e", "\x00\x01\x1c\x1f",
