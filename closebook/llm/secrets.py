@@ -7,8 +7,9 @@ Base spans are found by three patterns, each leftmost and without overlap:
 The method adds ``guess`` spans: the values that stand in a wider credential
 context (a base assignment's value, further credential words, the password
 part of a URL, a bearer header) and that are dear to guess. The cost is the
-cheapest segmentation of the value into dictionary words, dates, repeats,
-keyboard walks and brute-force spans, found by dynamic programming in bits.
+cheapest segmentation of the value into dictionary words, dates, repeats of a
+character, keyboard walks and brute-force spans, found by dynamic programming
+in bits; a value that is one block repeated costs the block and the number.
 """
 
 from __future__ import annotations
@@ -88,12 +89,15 @@ def char_bits(value: str) -> float:
 def guess_bits(value: str) -> float:
     """log2 of the guesses for ``value``: the cheapest segmentation.
 
-    cost[i] is that of value[:i]. Runs (repeats and walks) are prepared once,
-    so time and memory are proportional to the length, whatever it is.
+    cost[i] is that of value[:i]. Repeats of one character and walks may start
+    anywhere within a run; a block of more characters that repeats counts only
+    where it fills the whole value. Time and memory are proportional to the
+    length, whatever it is.
     """
     n, low = len(value), value.lower()
     plain = low if len(low) == n else value
-    leet, brute = plain.translate(LEET), char_bits(value)
+    brute, known = char_bits(value), _known(value, plain)
+    near = math.log2(2 * len(NEAR))
     same = [1] * n  # length of the run of one character that ends here
     walk = [1] * n  # length of the keyboard walk that ends here
     for i in range(1, n):
@@ -101,32 +105,58 @@ def guess_bits(value: str) -> float:
             same[i] = same[i - 1] + 1
         if plain[i] in NEAR.get(plain[i - 1], ()):
             walk[i] = walk[i - 1] + 1
-    dates: dict[int, list[int]] = {}
-    for i in range(n):
-        if plain[i].isdigit() and (m := DATE.match(plain, i)):
-            dates.setdefault(m.end(), []).append(i)
-    cost = [0.0] + [math.inf] * n
-    open_brute = [math.inf] * (n + 1)  # cheapest with a brute-force span that ends here
+    cost, open_brute = [0.0], math.inf  # the cheapest with a brute-force span that ends here
+    alike: list[tuple[int, float]] = []
+    keys: list[tuple[int, float]] = []
     for i in range(1, n + 1):
-        open_brute[i] = min(open_brute[i - 1], cost[i - 1] + STEP) + brute
-        best = open_brute[i]
+        open_brute = min(open_brute, cost[-1] + STEP) + brute
+        best = open_brute
+        for j, bits in known[i]:
+            best = min(best, cost[j] + STEP + bits)
+        if (k := same[i - 1]) >= 3:
+            alike = alike if k > 3 else []
+            best = min(best, _stretch(alike, i - 3, cost[-3], i) + STEP + brute)
+        if (k := walk[i - 1]) >= 3:
+            keys = keys if k > 3 else []
+            best = min(best, _stretch(keys, i - 3, cost[-3], i) + STEP + near)
+        cost.append(best)
+    # A value that repeats itself costs one period and the number of repeats.
+    period = next((p for p in _periods(plain)), n) if n > 1 else n
+    return min(cost[n], cost[period] + STEP + math.log2(n / period)) if period < n else cost[n]
+
+
+def _stretch(live: list[tuple[int, float]], start: int, cost: float, i: int) -> float:
+    """The least cost + log2(i - start) over the starts of ``live`` and this
+    one, which may be used from ``i`` on. Kept are starts that can still win: an
+    earlier one that is no cheaper never does, nor does a later one that
+    does not win at first, as the logarithms of the lengths draw near."""
+    while live and live[-1][1] >= cost:
+        live.pop()
+    best = min((c + math.log2(i - j) for j, c in live), default=math.inf)
+    if (bits := cost + math.log2(i - start)) < best:
+        live.append((start, cost))
+        best = bits
+    return best
+
+
+def _known(value: str, plain: str) -> list[list[tuple[int, float]]]:
+    """(start, bits) of each word and date, by their end."""
+    n, leet = len(value), plain.translate(LEET)
+    out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    for i in range(2, n + 1):
         for j in range(max(0, i - LONGEST), i - 1):
             w = plain[j:i]
             bits = BITS.get(w)
             if bits is None and (bits := BITS.get(leet[j:i])) is not None:
                 bits += 2
             if bits is not None:
-                best = min(best, cost[j] + STEP + bits + (value[j:i] != w))
-        if (k := same[i - 1]) >= 3:
-            best = min(best, cost[i - k] + STEP + brute + math.log2(k))
-        if (k := walk[i - 1]) >= 3:
-            best = min(best, cost[i - k] + STEP + math.log2(2 * len(NEAR)) + math.log2(k))
-        for j in dates.get(i, ()):
-            best = min(best, cost[j] + STEP + math.log2(200 * (366 if i - j > 4 else 1)))
-        cost[i] = best
-    # A value that repeats itself costs one period and the number of repeats.
-    period = next((p for p in _periods(plain)), n) if n > 1 else n
-    return min(cost[n], cost[period] + STEP + math.log2(n / period)) if period < n else cost[n]
+                out[i].append((j, bits + (value[j:i] != w)))
+    for j in range(n):
+        if plain[j].isdigit() and DATE.match(plain, j):
+            for i in range(j + 4, min(j + 10, n) + 1):
+                if DATE.fullmatch(plain, j, i):
+                    out[i].append((j, math.log2(200 * (366 if i - j > 4 else 1))))
+    return out
 
 
 def _periods(text: str):

@@ -1,5 +1,6 @@
 """Operators that SQL cannot express, against plain computations on small tables."""
 
+import functools
 import hashlib
 import inspect
 import itertools
@@ -324,6 +325,53 @@ def test_guess_cost():
     assert [(k, s) for s, _, k, _ in found] == [("guess", 21), ("guess", 50)]
 
 
+def plain_minimum(value):
+    """The cheapest segmentation, by trying every stretch as every kind; a block
+    that repeats is one where it fills the value."""
+    low, brute = value.lower(), secrets.char_bits(value)
+    near, log2 = secrets.NEAR, np.log2
+
+    @functools.cache
+    def cheapest(a, b):
+        return 0.0 if a == b else min(cheapest(a, j) + secrets.STEP + segment(j, b)
+                                      for j in range(a, b))
+
+    def segment(j, i):
+        part, n = low[j:i], i - j
+        leet, costs = part.translate(secrets.LEET), [brute * n]
+        if part in secrets.BITS or leet in secrets.BITS:
+            bits = secrets.BITS[part] if part in secrets.BITS else secrets.BITS[leet] + 2
+            costs.append(bits + (value[j:i] != part))
+        if secrets.DATE.fullmatch(part):
+            costs.append(log2(200 * (366 if n > 4 else 1)))
+        if n >= 3 and part == part[0] * n:
+            costs.append(brute + log2(n))
+        if n >= 3 and all(b in near.get(a, ()) for a, b in zip(part, part[1:])):
+            costs.append(log2(2 * len(near)) + log2(n))
+        if n == len(value):
+            costs += [cheapest(0, p) + log2(n // p) for p in range(1, n)
+                      if n % p == 0 and low == low[:p] * (n // p)][:1]
+        return min(costs)
+
+    return cheapest(0, len(value))
+
+
+def test_guess_cost_is_the_minimum():
+    rng = random.Random(12)
+    parts = ["sunshine", "eeee", "Pass", "dddd", "qwer", "rty", "abab", "1999", "2012-12-12", "12",
+             "xK9q", "xK9q", "zQ", "20", "e", "h0rse", "!", "aXb", "3333"]
+    values = ["sunshineeeeeeeee", "pass" + "s" * 9 + "word", "1999" + "9" * 6, "X9!20202020",
+              "199912ab", "monkeytrewq", "adminnnnnbvcxz", "xK9q" * 4]
+    for _ in range(400):
+        block = "".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+        values.append((block * rng.choice((1, 1, 2, 3)) + rng.choice(parts) + block)[:34])
+    values += ["".join(rng.choice("aB") for _ in range(rng.randint(3, 24))) for _ in range(200)]
+    for value in values:
+        assert secrets.guess_bits(value) == pytest.approx(plain_minimum(value)), value
+    assert secrets.guess_bits("sunshine" + "e" * 8) < 16
+    assert not [s for s in secrets.scan("pwd: sunshineeeeeeeee") if s[2] == "guess"]
+
+
 def test_secret_query(spark, small_sf, docs):
     got = rows_of(QUERIES["op5_secret_scan"](spark, small_sf), "doc_id")
     for d, text, _ in docs:
