@@ -42,43 +42,66 @@ def fit_dictionaries(labelled: DataFrame, sample_docs: int = 800,
     is there many times is one.
 
     Bound: dict_bytes for each distinct lang; what reaches the driver is one
-    count and some four times dict_bytes a language. Each sampled document gives
-    an equal share of its language's dictionary, from its beginning (or more,
-    up to four shares, where others are shorter).
+    count, sample_docs lengths and four times dict_bytes a language. Each
+    sampled document gives an equal share of its language's dictionary (more,
+    where others are shorter), from a place in its text that the hash chooses.
     """
     spark = labelled.sparkSession
-    rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
     counts = {r["lang"]: r["n"] for r in
               rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     if not counts:
         return {}
+
+    def hashed(number: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(number), "text"), F.lit(1 << 30)) / (1 << 30)
+
+    def smallest(cut: dict[str, tuple], columns: dict[str, Column]) -> DataFrame:
+        """``columns`` of the sample_docs smallest keys of each language, where
+        ``cut`` has the largest key and the length of a piece."""
+        bounds = spark.createDataFrame([(k, *v) for k, v in cut.items()],
+                                       "lang string, top double, size int")
+        first = Window.partitionBy("lang").orderBy("key", *columns)
+        # distinct() combines copies before the shuffle: a hot text is one row a task.
+        return (rows.join(F.broadcast(bounds), "lang").withColumn("key", hashed(seed))
+                .where(F.col("key") <= F.col("top"))
+                .select("lang", "key", *[c.alias(name) for name, c in columns.items()]).distinct()
+                .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs))
+
     # Twice the expected number of keys, so that fewer than sample_docs is out
     # of the question for a common language; a rare one is taken whole.
-    cut = spark.createDataFrame(
-        [(k, min(1.0, 2 * sample_docs / max(n, 1))) for k, n in counts.items()],
-        "lang string, share double")
-    key = (F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / (1 << 30))
-    first = Window.partitionBy("lang").orderBy("key", "piece")
-    # distinct() combines copies before the shuffle: a hot text is one row a task.
-    picked = (rows.join(F.broadcast(cut), "lang").withColumn("key", key)
-              .where(F.col("key") < F.col("share"))
-              .select("lang", "key",
-                      F.substring("text", 1, 4 * dict_bytes // sample_docs).alias("piece"))
-              .distinct()
-              .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs))
-    pieces: dict[str, list[bytes]] = {}
+    lengths: dict[str, list[tuple[float, int]]] = {}
+    for r in smallest({k: (min(1.0, 2 * sample_docs / max(n, 1)), 0) for k, n in counts.items()},
+                      {"length": F.length("text")}).toLocalIterator():
+        lengths.setdefault(r["lang"], []).append((r["key"], r["length"]))
+    cut = {k: (max(v)[0], _level([n for _, n in v], 4 * dict_bytes)) for k, v in lengths.items()}
+    size, place = F.col("size"), hashed(seed + 1)
+    start = F.floor(place * (F.greatest(F.length("text") - size, F.lit(0)) + 1)).cast("int") + 1
+    picked = smallest(cut, {"piece": F.substring(F.col("text"), start, size), "place": place})
+    pieces: dict[str, list[tuple[bytes, float]]] = {}
     for r in picked.orderBy("lang", "n").toLocalIterator():
-        pieces.setdefault(r["lang"], []).append(letters(r["piece"]))
+        pieces.setdefault(r["lang"], []).append((letters(r["piece"]), r["place"]))
     return {k: _fill(v, dict_bytes) for k, v in sorted(pieces.items())}
 
 
-def _fill(pieces: list[bytes], size: int) -> bytes:
-    """Shares of the pieces, longest possible, that fit in ``size`` together."""
+def _level(lengths: list[int], size: int) -> int:
+    """The largest length at which pieces of all texts fit in ``size`` together."""
+    for i, n in enumerate(sorted(lengths)):
+        if n > (share := size // (len(lengths) - i)):
+            return max(share, 1)
+        size -= n
+    return max(lengths)
+
+
+def _fill(pieces: list[tuple[bytes, float]], size: int) -> bytes:
+    """Shares of the pieces, longest possible, that fit in ``size`` together,
+    each from its place (0 to 1) in the piece."""
     left, out = size, []
-    for i, p in enumerate(sorted(pieces, key=lambda p: (len(p), p))):
-        take = p[:left // (len(pieces) - i)]
-        out.append(take)
-        left -= len(take)
+    for i, (p, place) in enumerate(sorted(pieces, key=lambda p: (len(p[0]), p))):
+        take = min(len(p), left // (len(pieces) - i))
+        at = int(place * (len(p) - take + 1))
+        out.append(p[at:at + take])
+        left -= take
     return b" ".join(out)[:size]
 
 

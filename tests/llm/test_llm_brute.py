@@ -523,6 +523,29 @@ def test_dictionaries_know_no_ids_and_no_copies(spark):
     assert set(model) == {"a", "b"} and model == langid.fit_dictionaries(again)
 
 
+def test_dictionaries_fill_from_anywhere_in_the_texts(spark):
+    rng = random.Random(9)
+
+    def words(letters, size):
+        return " ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(size // 8))
+
+    texts = {"few": [words("abc", 3000) for _ in range(30)],
+             "uneven": [words("def", 16) for _ in range(95)] + [words("def", 9000) for _ in range(5)],
+             "headed": ["boilerplate " * 100 + words("xyz", 4800) for _ in range(60)]}
+    df = spark.createDataFrame([(t, lang) for lang, v in texts.items() for t in v],
+                               "text string, lang string")
+    model = langid.fit_dictionaries(df, sample_docs=400, dict_bytes=20_000)
+    assert {k: len(v) for k, v in model.items()} == dict.fromkeys(texts, 20_000)
+    assert 0 < model["headed"].count(b"boilerplate") * 12 < 10_000
+    assert model == langid.fit_dictionaries(df, sample_docs=400, dict_bytes=20_000)
+    whole = langid.fit_dictionaries(df.where("lang = 'few'"), 400, 200_000)["few"]
+    assert sorted(whole.split()) == sorted(" ".join(texts["few"]).encode().split())
+    for lengths in ([5], [1, 2, 3], [10] * 7, [1] * 95 + [9000] * 5, [80_000, 3, 40]):
+        level = langid._level(lengths, 100)
+        assert sum(min(n, level) for n in lengths) <= max(100, len(lengths))
+        assert level == max(lengths) or sum(min(n, level + 1) for n in lengths) > 100
+
+
 def test_language_of_odd_texts(spark):
     words = {"a": "alpha beta gamma delta epsilon ", "b": "uno dos tres cuatro cinco seis "}
     model = {k: (w * 20).encode() for k, w in words.items()}
