@@ -70,12 +70,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a table made by ``settle`` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
         if "/closebook-" in folder:
-            path.getFileSystem(conf).delete(path, True)
+            drop_folder(df.sparkSession, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, how: str = "left",

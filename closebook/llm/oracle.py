@@ -90,5 +90,81 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT)
 FROM judged GROUP BY doc_id, row_id
 """
 
+OP11 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e,
+         coalesce(vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+           AND len([x FOR x IN embedding IF x <> 0]) > 0, FALSE) AS fit
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.fit AND b.fit AND list_inner_product(a.e, b.e)
+    / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.93),
+degrees AS (SELECT x, count(DISTINCT y) AS n FROM links GROUP BY x),
+reach AS (
+  SELECT x, x AS y FROM links
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+roots AS (SELECT x, min(y) AS root FROM reach GROUP BY x)
+SELECT v.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links,
+       coalesce(r.root, v.vec_id) AS component_id,
+       coalesce(v.vec_id = coalesce(r.root, v.vec_id), FALSE) AS kept
+FROM v LEFT JOIN degrees d ON d.x = v.vec_id LEFT JOIN roots r ON r.x = v.vec_id
+"""
+
+# CRC-32 of a number's digits by the usual table, made from its polynomial. A
+# node is a list of turns; a subtree's nodes are those whose smallest member
+# passes through its top.
+OP13 = """
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+ids AS (
+  SELECT conv_id, xor(list_reduce(
+           list_prepend(4294967295::BIGINT,
+             [ascii(ch)::BIGINT FOR ch IN string_split(conv_id::VARCHAR, '')]),
+           lambda c, b: xor(c >> 8, t[xor(c % 256, b) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), crc_table),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+built AS (
+  SELECT i.conv_id, t.pos, t.role, t.text FROM ids i JOIN turns t
+    ON t.conv_id = i.conv_id - i.conv_id % 100 AND t.pos <= i.h
+  UNION ALL
+  SELECT i.conv_id, t.pos, t.role, t.text FROM ids i JOIN turns t
+    ON t.conv_id = i.conv_id AND t.pos > i.h),
+whole AS (
+  SELECT i.conv_id, coalesce(list(md5(b.role || chr(31) || b.text) ORDER BY b.pos)
+           FILTER (WHERE b.pos IS NOT NULL), []) AS turns,
+         coalesce(list(length(b.text) ORDER BY b.pos) FILTER (WHERE b.pos IS NOT NULL), [])
+           AS sizes
+  FROM ids i LEFT JOIN built b ON b.conv_id = i.conv_id GROUP BY i.conv_id),
+members AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS path, turns[1:d - 1] AS up, sizes[d] AS chars,
+         len(turns) = d AS ends
+  FROM whole, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d)),
+nodes AS (
+  SELECT path, min(up) AS up, min(conv_id) AS conv_id, depth, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(min(chars), 0) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                           FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY path, depth),
+children AS (SELECT up AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+shaped AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)),
+totals AS (
+  SELECT m.path, count(*) FILTER (WHERE s.n_children = 0) AS n_leaves, sum(s.saved) AS saved
+  FROM shaped s JOIN members m ON m.conv_id = s.conv_id AND m.depth <= s.depth GROUP BY m.path)
+SELECT s.conv_id, CAST(s.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, s.n_convs,
+       CAST(s.n_children AS BIGINT) AS n_children, CAST(t.n_leaves AS BIGINT) AS n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, s.ends_sha256
+FROM shaped s JOIN totals t USING (path)
+LEFT JOIN nodes p ON s.depth > 0 AND p.path = s.up
+"""
+
 ORACLE_SQL = {"op1_exact_topk": OP1, "op6_token_rollup": OP6, "op8_mix_sources": OP8,
-              "op10_line_dedup": OP10}
+              "op10_line_dedup": OP10, "op11_embedding_dedup": OP11, "op13_prefix_trie": OP13}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from closebook.llm import ann, bpe, exact_topk, langid, line_dedup, license_scan, mixing
 from closebook.llm import secrets as secret_scan
-from closebook.llm import simhash, token_rollup
+from closebook.llm import prefix_trie, simhash, subspace_join, token_rollup, turn_repair
 from closebook.llm.common import n_words, scratch_path, settle, table
 
 
@@ -149,6 +149,56 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.93)
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.repair_conversations(rows, F.col("damage") != 0)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with one of five damages each, or none: 0 dropped (the row
+    stays to name its conversation), 1 emptied, 2 without ``.!?``, 3 twice, 4
+    from the user."""
+    def spaced(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    damage = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20
+    text = spaced("text")
+    rows = conversations.select(
+        "conv_id", "turn", damage.alias("damage"),
+        F.when(damage == 4, "user").otherwise(spaced("role")).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", ""))
+        .otherwise(text).alias("text"))
+    return rows.select("*", F.explode(F.when(F.col("damage") == 3, F.array(F.lit(1), F.lit(2)))
+                                      .otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
+
+
+HEAD = 6  # conversations take over fewer turns than this
+
+
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Turns of the rebuilt conversations: h turns of the first conversation of
+    its hundred, then its own after the first h. pos 0 names every
+    conversation. Each joins five rows of its hundred's first at most."""
+    turns = settle(prefix_trie.hashed_turns(conversations), "turns")
+    h = F.crc32(F.col("conv_id").cast("string")) % HEAD
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    heads = turns.where((base == F.col("conv_id")) & (F.col("pos") < HEAD)).select(
+        F.col("conv_id").alias("base"), "pos", "a", "b", "chars")
+    each = turns.where("pos = 1").select("conv_id", base.alias("base"), h.alias("h"))
+    taken = each.join(heads, "base").where(F.col("pos") <= F.col("h")).select(turns.columns)
+    names = turns.where("pos = 1").withColumn("pos", F.lit(0).cast("long"))
+    return turns.where(F.col("pos") > h).union(taken).union(names)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_simhash_dedup, op3_vp_tree_ann, op4_bpe, op5_secret_scan,
-    op6_token_rollup, op7_license_scan, op8_mix_sources, op9_language_id, op10_line_dedup)}
+    op6_token_rollup, op7_license_scan, op8_mix_sources, op9_language_id, op10_line_dedup,
+    op11_embedding_dedup, op12_turn_repair, op13_prefix_trie)}

@@ -11,7 +11,7 @@ from compare import compare
 @pytest.fixture(scope="module")
 def con(small_sf):
     c = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small_sf}/{t}.parquet')")
     return c
 
