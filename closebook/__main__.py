@@ -51,11 +51,12 @@ class CatalogFeeds:
         return self._cache[name]
 
 
-def feeds_from(spark: SparkSession, path: str, fmt: str, finance: str | None = None):
+def feeds_from(spark: SparkSession, path: str, fmt: str, finance: str | None = None,
+               rejects: str | None = None):
     if fmt == "parquet" and finance is None:
         return StoredFeeds(spark, path)
     return CatalogFeeds(spark, SourceCatalog(
-        {"raw_sales": path, "raw_finance": finance or path}, fmt=fmt))
+        {"raw_sales": path, "raw_finance": finance or path}, fmt=fmt, rejects=rejects))
 
 
 def _resolver(spark: SparkSession, m: Marts, marts_dir: str | None):
@@ -91,10 +92,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         p.add_argument("--sources", required=True)
         p.add_argument("--finance-sources", help="where the ledger feeds are, if elsewhere")
         p.add_argument("--format", choices=("parquet", "csv", "table"), default="parquet")
+        p.add_argument("--rejects", help="folder for the bad rows of CSV seeds, which else fail")
         p.add_argument("--as-of", type=dt.datetime.fromisoformat,
                        help="clock of the run, e.g. 2024-07-01T00:00:00; the present, if left out")
     sub.choices["run"].add_argument("--out", required=True)
     sub.choices["run"].add_argument("--select", nargs="*", default=list(refresh.ALL_MARTS))
+    sub.choices["run"].add_argument(
+        "--buckets", type=int, help="store staged lines and orders in that many buckets by order_id")
     sub.choices["test"].add_argument("--kind")
     sub.choices["test"].add_argument("--marts")
     sn = sub.choices["snapshot"]
@@ -107,11 +111,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "stage":
         print(write_feeds(RawFeeds(spark, args.sf_dir), args.out))
         return 0
-    feeds = feeds_from(spark, args.sources, args.format, args.finance_sources)
+    feeds = feeds_from(spark, args.sources, args.format, args.finance_sources, args.rejects)
     now = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     cfg = MartConfig(as_of=now.date())
     if args.cmd == "run":
-        for name, path in refresh.refresh(spark, feeds, args.out, args.select, cfg).items():
+        for name, path in refresh.refresh(spark, feeds, args.out, args.select, cfg,
+                                          args.buckets).items():
             print(f"{name}\t{path}")
         return 0
     if args.cmd == "snapshot":
@@ -119,9 +124,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                                          args.previous, cfg))
         return 0
     if args.cmd == "freshness":
-        parts = [quality.freshness(getattr(feeds, r.source), r.source, "_loaded_at", ntz(now),
-                                   r.warn_after_hours, r.error_after_hours) for r in cfg.freshness]
-        rows = quality.union_all(parts).collect()
+        rows = checks.freshness(feeds, ntz(now), cfg).collect()
         for r in rows:
             print(f"{r['source']}\t{r['status']}\t{r['age_hours']:.1f}h")
         return 1 if any(r["status"] == "error" for r in rows) else 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +34,15 @@ def calendar_columns(d: Column | str) -> list[Column]:
 
 
 def date_spine(bounds: DataFrame, start_col: str = "start_date",
-               end_col: str = "end_date", datepart: str = "day") -> DataFrame:
+               end_col: str = "end_date", datepart: str = "day",
+               keep: Sequence[str] = ()) -> DataFrame:
     """One row per ``datepart`` step from start (inclusive) to end (exclusive).
 
     ``bounds`` carries one row per spine (usually a one-row aggregate such as
     min/max of a date column), so the spine follows the data instead of fixed
     literals. The spine length is bounded by the calendar range, not by the
-    table size. The date column is always called ``date``.
+    table size. The date column is always called ``date``. ``keep`` names columns
+    of ``bounds`` that tell several spines apart.
     """
     if datepart not in _STEP:
         raise ValueError(f"unsupported datepart {datepart!r}")
@@ -46,5 +50,5 @@ def date_spine(bounds: DataFrame, start_col: str = "start_date",
     start, end = F.col(start_col), F.col(end_col)
     # sequence() is inclusive; drop the end point to make the range half-open.
     days = F.filter(F.sequence(start, end, step), lambda x: x < end)
-    spine = bounds.where(start < end).select(F.explode(days).alias("date"))
-    return spine.select("date", *calendar_columns("date"))
+    spine = bounds.where(start < end).select(*keep, F.explode(days).alias("date"))
+    return spine.select(*keep, "date", *calendar_columns("date"))

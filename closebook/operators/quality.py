@@ -170,11 +170,17 @@ def summarize(results: DataFrame) -> DataFrame:
 def freshness(df: DataFrame, source: str, loaded_at: str, as_of_ts: Column,
               warn_after_hours: int, error_after_hours: int) -> DataFrame:
     """Age of the newest row against warn/error thresholds (one row)."""
+    return freshness_of(df.agg(F.max(loaded_at).alias("max_loaded_at")), source, as_of_ts,
+                        warn_after_hours, error_after_hours)
+
+
+def freshness_of(newest: DataFrame, source: str, as_of_ts: Column, warn_after_hours: int,
+                 error_after_hours: int) -> DataFrame:
+    """The same for one row that holds ``max_loaded_at`` already."""
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), as_of_ts).cast("double") / F.lit(3600.0)
     status = (F.when(F.col("age_hours") > error_after_hours, "error")
               .when(F.col("age_hours") > warn_after_hours, "warn").otherwise("pass"))
-    return (df.agg(F.max(loaded_at).alias("max_loaded_at"))
-              .select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_hours"),
-                      F.lit(warn_after_hours).alias("warn_after_hours"),
-                      F.lit(error_after_hours).alias("error_after_hours"))
-              .select("*", status.alias("status")))
+    return (newest.select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_hours"),
+                          F.lit(warn_after_hours).alias("warn_after_hours"),
+                          F.lit(error_after_hours).alias("error_after_hours"))
+            .select("*", status.alias("status")))

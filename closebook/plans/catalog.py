@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from closebook.config import DEFAULT_CONFIG
 from closebook.functions import calendar, columns as C
 from closebook.operators import quality, snapshot
-from closebook.plans import checks, finance, sales, staging
+from closebook.plans import checks, finance, refresh, sales, staging
 from closebook.plans.models import Marts
 from closebook.sources.tpch import RawFeeds
 
@@ -52,57 +52,46 @@ def _model(name: str) -> ModelQuery:
 
 # ----------------------------------------------------------------- history
 def customer_history(m: Marts) -> DataFrame:
-    """SCD2 history of segment, country and city over the dated extracts."""
+    """SCD2 history of segment, country and city over the dated extracts, however
+    many there are: one read of the extracts and one shuffle."""
     ext = getattr(m.raw, "customer_extracts", None)
     if ext is None:  # a feed without dated extracts: its customers are the one load
         ext = m.raw.customers.withColumns({"load_no": F.lit(1), "load_ts": C.ntz(m.cfg.as_of)})
-    # One row per extract, and each extract is one run of the snapshot.
-    loads = getattr(m.raw, "extract_loads", None) or [
-        (r["load_no"], r["load_ts"]) for r in
-        ext.select("load_no", "load_ts").distinct().orderBy("load_ts").collect()]
-    snap = None
-    for no, ts in loads:
-        load = staging.stg_customers(ext.where(F.col("load_no") == no).drop("load_no", "load_ts"))
-        snap = snapshot.snapshot_apply(snap, load, m.cfg.snapshot_key,
-                                       m.cfg.snapshot_check_cols, ts)
-    return snap
+    loads = getattr(m.raw, "customer_loads", None)
+    if loads is None:
+        loads = ext.select("load_no", "load_ts").distinct()
+    return snapshot.history_of(staging.stg_customers(ext, "load_no"), loads, m.cfg.snapshot_key,
+                               m.cfg.snapshot_check_cols)
 
 
 def segment_at_purchase(m: Marts) -> DataFrame:
     """Completed revenue by month and by the customer's segment at order time
-    (as-of join of orders with the SCD2 history; order grain, so no line rows
-    are shuffled)."""
-    orders = m.order_facts.select("customer_id", "order_date", "order_month",
+    (as-of merge of orders with the SCD2 history; order grain, so no line rows
+    are shuffled). Customers with very many orders are divided by time."""
+    orders = m.order_facts.select("order_id", "customer_id", "order_date", "order_month",
                                   "order_line_count", "order_total_revenue")
-    j = snapshot.as_of_join(orders, customer_history(m), "customer_id", F.col("order_date"),
-                            ["customer_segment"])
+    when = F.col("order_date")
+    cuts = snapshot.time_cuts(orders, "customer_id", when, "order_id", m.hot_customers)
+    j = snapshot.as_of_merge(orders, customer_history(m), "customer_id", when,
+                             ["customer_segment"], cuts, "order_id")
     return j.groupBy("order_month", "customer_segment").agg(
         F.sum("order_line_count").alias("lines"), F.sum("order_total_revenue").alias("revenue"))
 
 
 # ----------------------------------------------------------------- checks
-def _check_model(m: Marts) -> Callable[[str], DataFrame]:
-    def get(name: str) -> DataFrame:
-        if name.startswith("raw_"):
-            return getattr(m.raw, name[len("raw_"):])
-        return m.model(name)
-    return get
-
-
 def _dq(kind: str | None) -> ModelQuery:
+    """The checks run as after a build: on stored marts, each written once (in a
+    scratch folder here), with their parents in stored staging."""
     def q(m: Marts) -> DataFrame:
         chosen = checks.all_checks(m.cfg) if kind is None else checks.checks_of_kind(kind, m.cfg)
-        res = quality.run_checks(chosen, _check_model(m))
+        named = {c.model for c in chosen} | {c.to_model for c in chosen}
+        res = quality.run_checks(chosen, refresh.stored_models(m, named))
         return quality.summarize(res) if kind is None else res
     return q
 
 
 def source_freshness(m: Marts) -> DataFrame:
-    as_of = C.ntz(m.cfg.as_of)
-    feeds = {"orders": m.raw.orders, "gl_entries": m.raw.gl_entries}
-    parts = [quality.freshness(feeds[r.source], r.source, "_loaded_at", as_of,
-                               r.warn_after_hours, r.error_after_hours) for r in m.cfg.freshness]
-    return quality.union_all(parts)
+    return checks.freshness(m.raw, C.ntz(m.cfg.as_of), m.cfg)
 
 
 # -------------------------------------------------------------- functions
@@ -163,7 +152,7 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
         lambda m: finance.budget_variance(m.income_statement_monthly).orderBy("entry_month"),
     "revenue_reconciliation": lambda m: m.revenue_reconciliation.orderBy(F.desc("month")),
     "unrecognised_revenue_check": lambda m: finance.unrecognised_revenue_check(
-        m.completed_order_items, m.stg_orders, m.cfg),
+        m.completed_order_items, m.stg_orders, m.cfg, m.hot_orders),
     "date_spine": date_spine,
     "calendar_attributes": calendar_attributes,
     "cents_to_dollars": cents_to_dollars,
@@ -181,7 +170,11 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
     "segment_at_purchase": segment_at_purchase,
     "avg_order_value_per_order": lambda m: sales.avg_order_value_per_order(m.order_facts),
     "customer_aov_per_order": lambda m: sales.customer_aov_per_order(m.order_facts),
-    "yoy_calendar": lambda m: sales.yoy_calendar(sales.monthly_revenue(m.order_categories)),
+    "revenue_performance_filled":
+        lambda m: sales.revenue_performance_filled(m.stored_order_categories),
+    "customer_reach": lambda m: sales.customer_reach(m.customer_bitmaps),
+    "yoy_calendar": lambda m: sales.yoy_calendar(
+        sales.monthly_revenue(m.stored_order_categories)),
 }
 
 

@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
+from closebook.operators import quality
 from closebook.operators.quality import Check
 from closebook.plans import finance
 
@@ -114,6 +116,16 @@ def checks_of_kind(kind: str, cfg: MartConfig = DEFAULT_CONFIG) -> tuple[Check,
     return tuple(c for c in all_checks(cfg) if c.kind == kind)
 
 
+def freshness(feeds, as_of: Column, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Age of each source with a freshness rule; stored feeds answer from the
+    footers of their files."""
+    newest = getattr(feeds, "newest", None) or (lambda name: getattr(feeds, name).agg(
+        F.max("_loaded_at").alias("max_loaded_at")))
+    return quality.union_all([
+        quality.freshness_of(newest(r.source), r.source, as_of, r.warn_after_hours,
+                             r.error_after_hours) for r in cfg.freshness])
+
+
 @dataclass(frozen=True)
 class Assertion:
     """A test of several models: it fails by the rows that it returns."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.functions.columns import money, ratio4
+from closebook.operators.skew import HotKeys, salted_join
 
 
 def gl_classified(gl: DataFrame, accounts: DataFrame,
@@ -176,18 +177,20 @@ def order_revenue(fact: DataFrame) -> DataFrame:
 
 
 def unrecognised_revenue_check(fact: DataFrame, orders: DataFrame,
-                               cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+                               cfg: MartConfig = DEFAULT_CONFIG,
+                               hot: HotKeys = ()) -> DataFrame:
     """Fact rows whose order does not have a recognised status now, or is not
     there any more (expected: none).
 
     The status is read from ``orders`` (the staged orders), not from the fact,
     whose own filter would answer the question by definition; the fact may be
-    the stored one. The fact's order ids are made distinct before they meet the
-    orders, so an order with very many lines is one row there.
+    the stored one. The fact is read once, and where it comes out of the join
+    of lines and orders it keeps that partitioning; very large orders (``hot``)
+    are divided as there.
     """
-    now = orders.select("order_id", "order_status")
     status = F.col("order_status")
-    wrong = (fact.select("order_id").distinct().join(now, "order_id", "left")
-             .where(status.isNull() | ~status.isin(*cfg.completed_statuses)))
-    return (fact.select("order_item_id", "order_id", "revenue").join(wrong, "order_id")
+    rows = salted_join(fact.select("order_item_id", "order_id", "revenue"),
+                       orders.select("order_id", "order_status"), "order_id", hot,
+                       "order_item_id", "left")
+    return (rows.where(status.isNull() | ~status.isin(*cfg.completed_statuses))
             .select("order_item_id", "order_id", "order_status", "revenue"))

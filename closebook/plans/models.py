@@ -12,7 +12,10 @@ import functools
 from pyspark.sql import DataFrame
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
+from closebook.operators.bitmaps import numbered
+from closebook.operators.skew import HotKeys, hot_keys, sketch
 from closebook.plans import finance, sales, staging
+from closebook.session import settle
 
 
 def model(fn):
@@ -36,6 +39,9 @@ class Marts:
         self.raw = raw
         self.cfg = cfg
 
+    def use(self, name: str, table: DataFrame) -> None:
+        """Read a stored table in place of a model that is not built yet."""
+        self.__dict__.setdefault("_models", {})[name] = table
 
     # staging
     @model
@@ -72,8 +78,18 @@ class Marts:
         return sales.line_values(self.stg_order_items, self.stg_products)
 
     @model
-    def hot_orders(self) -> DataFrame:
-        return sales.hot_orders(self.stg_order_items, self.cfg)
+    def hot_orders(self) -> HotKeys:
+        """Runs a small job once per graph, over the stored sketches of the feed
+        where it has them."""
+        sketches = getattr(self.raw, "order_line_sketch", None)
+        if sketches is None:
+            sketches = sales.order_sketch(self.stg_order_items)
+        return sales.hot_orders(sketches, self.cfg)
+
+    @model
+    def hot_customers(self) -> HotKeys:
+        return hot_keys(sketch(self.raw.orders.select("customer_id"), "customer_id"),
+                        self.cfg.rows_per_join_task)
 
     @model
     def order_line_economics(self) -> DataFrame:
@@ -93,6 +109,18 @@ class Marts:
     def order_categories(self) -> DataFrame:
         return sales.order_categories(self.line_values, self.stg_orders, self.cfg)
 
+    @model
+    def stored_order_categories(self) -> DataFrame:
+        """The same in a scratch table, for the models that read it twice."""
+        return settle(self.order_categories, "order-categories")
+
+    @model
+    def customer_bitmaps(self) -> DataFrame:
+        """Both tables are stored: the numbers before anything is made of them."""
+        numbers = settle(numbered(self.stored_order_categories, "customer_id"), "customer-numbers")
+        return settle(sales.customer_bitmaps(self.stored_order_categories, numbers),
+                      "customer-bitmaps")
+
     @model
     def completed_order_items(self) -> DataFrame:
         return sales.completed_order_items(self.line_values, self.order_facts,
@@ -104,9 +132,9 @@ class Marts:
 
     @model
     def revenue_performance_monthly(self) -> DataFrame:
+        cats = self.stored_order_categories
         return sales.revenue_performance_monthly(
-            self.order_categories,
-            sales.first_order_months(self.order_categories, self.stg_customers))
+            cats, sales.first_order_months(cats, self.stg_customers))
 
     # finance marts
     @model

@@ -7,69 +7,125 @@ ledger), also when it is refreshed alone and the other was stored before. That k
 job's lineage one mart deep (an executor lost late in the run re-computes
 one mart, not the whole chain) and matches the warehouse semantics (marts
 read tables).
-Staging and intermediate models stay lazy, as views and inlined models do.
+
+Staging and intermediate models stay lazy, as views and inlined models do, but
+for the staged orders: their dedupe is stored once, so that the fact's filter on
+the order status stands over a plain scan. Spark's runtime bloom filter (settings
+in ``session.py``) then keeps the lines of all other orders out of the line
+shuffle. With ``buckets`` the staged lines and orders are stored bucketed by
+order_id, and the fact joins them without any shuffle of lines or orders.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.plans import finance, sales
 from closebook.operators.snapshot import snapshot_apply
 from closebook.plans.models import Marts
+from closebook.session import scratch_folder
 from closebook.sources import sinks
 
 SALES = ("completed_order_items", "customer_360", "revenue_performance_monthly")
 FINANCE = ("gl_activity_monthly", "income_statement_monthly")
 ALL_MARTS = SALES + FINANCE
+STAGING = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_gl_entries",
+           "stg_chart_of_accounts", "stg_budgets")
+#: The marts that another one is made of.
+UPSTREAM = {"customer_360": ("completed_order_items",),
+            "revenue_performance_monthly": ("completed_order_items", "customer_360"),
+            "income_statement_monthly": ("gl_activity_monthly",)}
+
+
+def store_staging(m: Marts, out_dir: str, buckets: int | None = None) -> None:
+    """Store the staged orders, and with ``buckets`` the staged lines too, both
+    bucketed by order_id, and let the model graph read them. Very large orders
+    would each fill one bucket; where there are any, lines and orders meet by
+    the salted join instead, and the tables are stored plain."""
+    if buckets and not m.hot_orders:
+        for name in ("stg_orders", "stg_order_items"):
+            m.use(name, sinks.write_bucketed(m.model(name), f"{out_dir}/{name}", "order_id",
+                                             buckets))
+        return
+    m.use("stg_orders", sinks.stored(m.stg_orders, f"{out_dir}/stg_orders"))
+
+
+def build(m: Marts, name: str, stored: Callable[[str], DataFrame]) -> DataFrame:
+    """A mart from the stored tables of the marts that it reads."""
+    if name == "customer_360":
+        return sales.customer_360(
+            m.stg_customers, sales.order_facts_of(stored("completed_order_items")), m.cfg)
+    if name == "revenue_performance_monthly":
+        return sales.revenue_performance_monthly(
+            sales.order_categories_of(stored("completed_order_items")),
+            sales.new_customers_monthly(stored("customer_360")))
+    if name == "income_statement_monthly":
+        return finance.income_statement_monthly(
+            stored("gl_activity_monthly"), m.stg_budgets, m.cfg).orderBy("entry_month")
+    return m.model(name)
 
 
 def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_MARTS,
-            cfg: MartConfig = DEFAULT_CONFIG) -> dict[str, str]:
+            cfg: MartConfig = DEFAULT_CONFIG, buckets: int | None = None) -> dict[str, str]:
     """Write the selected marts under ``out_dir``; returns name -> folder of the
     version written.
 
     ``raw`` exposes the seven raw feeds (see ``Marts``). The fact is written
     partitioned by ``order_month`` and range-clustered by order date and
-    channel; the other marts are plain tables.
+    channel; the other marts are plain tables. ``buckets`` stores staged lines
+    and orders in that many buckets by order_id (some 128 MB of lines each).
     """
     m = Marts(raw, cfg)
-    for name in ("stg_orders", "stg_order_items", "stg_customers", "stg_products",
-                 "stg_gl_entries", "stg_chart_of_accounts", "stg_budgets"):
-        sinks.as_view(m.model(name), name)
     chosen = [n for n in ALL_MARTS if n in set(select)]
+    out = out_dir.rstrip("/")
+    if "completed_order_items" in chosen:
+        store_staging(m, out, buckets)
+    for name in STAGING:
+        sinks.as_view(m.model(name), name)
     paths: dict[str, str] = {}
 
-    def path(n: str) -> str:
-        return f"{out_dir.rstrip('/')}/{n}"
-
     def stored(n: str):
         """The stored table of an upstream mart, written just now or before."""
-        return sinks.read_table(spark, path(n)) if sinks.current(spark, path(n)) else m.model(n)
+        path = f"{out}/{n}"
+        return sinks.read_table(spark, path) if sinks.current(spark, path) else m.model(n)
 
     for name in chosen:
-        if name == "completed_order_items":
-            paths[name] = sinks.write_clustered(m.completed_order_items, path(name), "order_month",
-                                                ("order_date", "sales_channel"), "order_item_id")
-            continue
-        if name == "customer_360":
-            df = sales.customer_360(m.stg_customers, sales.order_facts_of(
-                stored("completed_order_items")), cfg)
-        elif name == "revenue_performance_monthly":
-            df = sales.revenue_performance_monthly(
-                sales.order_categories_of(stored("completed_order_items")),
-                sales.new_customers_monthly(stored("customer_360")))
-        elif name == "gl_activity_monthly":
-            df = m.gl_activity_monthly
-        else:
-            df = finance.income_statement_monthly(
-                stored("gl_activity_monthly"), m.stg_budgets, cfg).orderBy("entry_month")
-        paths[name] = sinks.write_table(df, path(name))
+        df = build(m, name, stored)
+        paths[name] = sinks.write_clustered(
+            df, f"{out}/{name}", "order_month", ("order_date", "sales_channel"),
+            "order_item_id") if name == "completed_order_items" else \
+            sinks.write_table(df, f"{out}/{name}")
     return paths
 
 
+def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], DataFrame]:
+    """A resolver of check models: the named marts, and those they are made of,
+    are written once as plain tables to a scratch folder, as are the staged
+    orders; the other models are read as they are."""
+    need = {n for n in named if n in ALL_MARTS}
+    for name in reversed(ALL_MARTS):
+        need.update(UPSTREAM.get(name, ()) if name in need else ())
+    tables: dict[str, DataFrame] = {}
+    if need:
+        spark = m.stg_orders.sparkSession
+        out = scratch_folder(spark, "marts")
+        if "completed_order_items" in need:
+            store_staging(m, out)
+        for name in ALL_MARTS:
+            if name in need:
+                tables[name] = sinks.stored(build(m, name, tables.__getitem__), f"{out}/{name}")
+
+    def get(name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return getattr(m.raw, name[len("raw_"):])
+        return tables[name] if name in tables else m.model(name)
+
+    return get
+
+
 def snapshot_customers(spark: SparkSession, raw, base_path: str, version: str,
                        as_of, previous: str | None = None,
                        cfg: MartConfig = DEFAULT_CONFIG) -> str:

@@ -2,9 +2,9 @@
 
 Shuffle plan (see README, "Physical plan"):
 
-* lines meet orders in the one big join, on (order_id, salt): the line side
-  is shuffled once, the order side is one row per order (plus copies for hot
-  orders only, see ``operators/skew.py``). Products are joined by broadcast
+* lines meet orders in the one big join, on order_id (with a salt, if there are
+  hot orders): the line side is shuffled once, the order side is one row per
+  order (plus copies for hot orders only, see ``operators/skew.py``). Products are joined by broadcast
   only when the planner's size estimate is under the broadcast threshold
   (AQE re-checks with the runtime size).
 * order-level totals are a partial (map-side) ``groupBy(order_id)`` over the
@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
+from closebook.functions import calendar
 from closebook.functions.columns import (
-    RATIO_SUM, day_of_week, mean_money, mean_ratio, money, month_of, ratio4,
+    RATIO_SUM, day_of_week, mean_money, mean_ratio, money, month_of, quarter_of, ratio4,
     surrogate_key, week_of_year, year_of,
 )
-from closebook.operators.skew import fanout_of, fanouts, salted_join
+from closebook.operators import bitmaps
+from closebook.operators.skew import HotKeys, hot_keys, salted_join, sketch
 
 
 def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -75,12 +77,18 @@ def _econ_columns(cfg: MartConfig) -> list:
     ]
 
 
-def hot_orders(items: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Orders with so many lines that their join work is split (bounded list)."""
-    return fanouts(items.select("order_id"), "order_id", cfg.rows_per_join_task)
+def order_sketch(items: DataFrame) -> DataFrame:
+    """Heavy-hitter sketch of the lines' order ids (one per load of lines)."""
+    return sketch(items.select("order_id"), "order_id")
 
 
-def order_line_economics(lv: DataFrame, orders: DataFrame, hot: DataFrame,
+def hot_orders(sketches: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> HotKeys:
+    """Orders with so many lines that their join work is split (a bounded list,
+    made by a small job over ``order_sketch`` tables)."""
+    return hot_keys(sketches, cfg.rows_per_join_task)
+
+
+def order_line_economics(lv: DataFrame, orders: DataFrame, hot: HotKeys,
                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged line; orphan lines and lines without a product are kept
     (order columns null, recognition flag null). ``lv`` is ``line_values``;
@@ -90,7 +98,7 @@ def order_line_economics(lv: DataFrame, orders: DataFrame, hot: DataFrame,
     return j.select(*_econ_columns(cfg))
 
 
-def orphan_lines(items: DataFrame, orders: DataFrame, hot: DataFrame) -> DataFrame:
+def orphan_lines(items: DataFrame, orders: DataFrame, hot: HotKeys) -> DataFrame:
     """Staged lines whose order_id has no staged order (the relationships test)."""
     o = orders.select("order_id")
     return (salted_join(items, o, "order_id", hot, "order_item_id", how="left_anti")
@@ -146,21 +154,19 @@ _TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit"
            "order_line_count")
 
 
-def completed_order_items(lv: DataFrame, facts: DataFrame, hot: DataFrame,
+def completed_order_items(lv: DataFrame, facts: DataFrame, hot: HotKeys,
                           cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
     Same rows as filtering the line economics on the recognition flag: each
     line meets its completed order (with the order's line totals attached)
     in one join, for which whole lines are shuffled once; no window gathers a
-    group of lines. An order with very many lines is split over several join
-    tasks (``operators/skew.py``). The order side knows its own line counts;
-    the line side looks hot orders up in a list, made from a partial count of
-    the order ids alone.
+    group of lines. Without hot orders the order side keeps the partitioning of
+    its dedupe; an order with very many lines is split over several join tasks
+    (``operators/skew.py``).
     ``order_status`` is kept (the checks on this fact read it).
     """
-    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS,
-                     fanout_of(F.col("order_line_count"), cfg.rows_per_join_task).alias("_fanout"))
+    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
     f = salted_join(lv, o, "order_id", hot, "order_item_id")
     d = F.col("order_date")
     return f.select(
@@ -336,6 +342,78 @@ def revenue_performance_monthly(order_cats: DataFrame, new_customers: DataFrame)
     )
 
 
+def revenue_performance_filled(order_cats: DataFrame) -> DataFrame:
+    """The monthly series without holes: every channel x region x category that
+    has sold has a row for each month from its first to the last month of all
+    data, with zero revenue where nothing was sold. On it one row back is one
+    month back, and twelve rows a year.
+    """
+    keys = ["sales_channel", "region", "category"]
+    base = _kpis(order_cats).select(*_GRAIN, "total_orders", "total_customers", "units_sold",
+                                    "net_revenue", "total_cogs", "gross_profit")
+    # One row a series; the window over all of them finds the last month.
+    present = base.groupBy(*keys).agg(F.min("order_month").alias("start_date"),
+                                      F.max("order_month").alias("_last"))
+    whole = Window.partitionBy(F.lit(0))
+    bounds = present.withColumn("end_date", F.add_months(F.max("_last").over(whole), 1))
+    spine = calendar.date_spine(bounds, datepart="month", keep=keys).select(
+        F.col("date").alias("order_month"), *keys)
+    s, b = spine.alias("s"), base.alias("b")
+    on = F.col("s.order_month") == F.col("b.order_month")
+    for k in keys:  # a null category is a series like any other
+        on = on & F.col(f"s.{k}").eqNullSafe(F.col(f"b.{k}"))
+    counts = ("total_orders", "total_customers", "units_sold")
+    sums = ("net_revenue", "total_cogs", "gross_profit")
+    j = s.join(b, on, "left").select(
+        *[F.col(f"s.{c}") for c in _GRAIN], F.col("b.total_orders").isNull().alias("is_filled"),
+        *[F.coalesce(F.col(f"b.{c}"), F.lit(0)).alias(c) for c in counts],
+        *[money(F.coalesce(F.col(f"b.{c}"), F.lit(0))).alias(c) for c in sums])
+    series = Window.partitionBy(*keys).orderBy("order_month")
+    ytd = (Window.partitionBy(F.year("order_month"), *keys)
+           .orderBy("order_month").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rev = F.col("net_revenue")
+    w = j.select("*", F.lag(rev, 1).over(series).alias("_prev"),
+                 F.lag(rev, 12).over(series).alias("_prior"))
+    return w.select(
+        *_GRAIN, "is_filled", *counts, *sums,
+        ratio4(rev - F.col("_prev"), F.col("_prev")).alias("mom_revenue_growth_pct"),
+        ratio4(rev - F.col("_prior"), F.col("_prior")).alias("yoy_revenue_growth_pct"),
+        F.sum(rev).over(ytd).alias("ytd_revenue"))
+
+
+def customer_bitmaps(order_cats: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The customers of each month x channel x region x category as bitmaps over
+    their stored numbers (``operators/bitmaps.py``)."""
+    buyers = order_cats.select(*_GRAIN, "customer_id").distinct()
+    return bitmaps.key_bitmaps(buyers.join(numbers, "customer_id"), _GRAIN)
+
+
+#: Level -> the columns it counts customers by; ``period`` is their first month.
+_REACH = {"cell": ("order_month", "sales_channel", "region", "category"),
+          "channel_month": ("order_month", "sales_channel"),
+          "month": ("order_month",), "quarter": ("quarter",), "channel": ("sales_channel",),
+          "all": ()}
+
+
+def customer_reach(cells: DataFrame) -> DataFrame:
+    """Distinct customers by cell, month, quarter and channel, all from one stored
+    table of bitmaps: none of these counts is a sum of finer ones."""
+    cells = cells.withColumn("quarter", quarter_of("order_month"))
+    parts = []
+    for level, columns in _REACH.items():
+        counted = bitmaps.distinct_counts(cells, columns, "customers")
+        period = next((F.col(c) for c in ("order_month", "quarter") if c in columns),
+                      F.lit(None).cast("date"))
+        parts.append(counted.select(
+            F.lit(level).alias("level"), period.alias("period"),
+            *[(F.col(c) if c in columns else F.lit(None).cast("string")).alias(c)
+              for c in ("sales_channel", "region", "category")], "customers"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def yoy_calendar(monthly: DataFrame) -> DataFrame:
     """Calendar-exact YoY of ``monthly_revenue``: the same series one calendar year earlier, by self-join
     on (series, month - 12 months) instead of 12 rows back."""

@@ -88,7 +88,8 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_customers(raw: DataFrame) -> DataFrame:
+def stg_customers(raw: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` names further columns that pass as they are."""
     first, last = F.trim(F.col("first_name")), F.trim(F.col("last_name"))
     return raw.where(F.col("customer_id").isNotNull()).select(
         F.col("customer_id").cast("string").alias("customer_id"),
@@ -100,7 +101,7 @@ def stg_customers(raw: DataFrame) -> DataFrame:
         _norm("country").alias("country"),
         _norm("city").alias("city"),
         F.col("registration_date").cast("date").alias("registration_date"),
-        F.col("_loaded_at"),
+        F.col("_loaded_at"), *keep,
     )
 
 

@@ -11,6 +11,7 @@ the caller names, never in machine-local temp space.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +50,16 @@ def _next(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/v-{max(taken, default=0) + 1:06d}"
 
 
-def _retire(spark: SparkSession, path: str) -> None:
+def _retire(spark: SparkSession, path: str) -> list[str]:
     """Remove what is older than the version before the current one."""
+    removed = []
     done = sorted(_number(p.getParent().getName())
                   for p in _found(spark, f"{path.rstrip('/')}/v-*/_SUCCESS"))
     for p in _found(spark, f"{path.rstrip('/')}/v-*"):
         if len(done) > 1 and _number(p.getName()) < done[-2]:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            removed.append(f"{path.rstrip('/')}/{p.getName()}")
+    return removed
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
@@ -69,6 +73,30 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return version
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as the next version of a table, and read back."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, path))
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Bucketed table: the next version of ``path``, hashed by ``key`` into
+    ``buckets`` files and sorted within, and read back as such. Tables bucketed
+    alike join on the key without a shuffle. Rows are dealt by the same hash
+    before they are written, so each task writes one file.
+
+    Spark keeps buckets in the catalog; the table's name is made of its path.
+    """
+    def name(version: str) -> str:
+        return "closebook_" + hashlib.md5(version.encode()).hexdigest()
+
+    spark, version = df.sparkSession, _next(df.sparkSession, path)
+    (df.repartition(buckets, key).write.mode("errorifexists").format("parquet")
+     .option("path", version).bucketBy(buckets, key).sortBy(key).saveAsTable(name(version)))
+    for old in _retire(spark, path):
+        spark.sql(f"DROP TABLE IF EXISTS {name(old)}")
+    return spark.table(name(version))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a stored table."""
     version = current(spark, path)

@@ -148,9 +148,6 @@ class DriverTables:
 class RawFeeds:
     """The seven raw feeds (plus SCD2 customer extracts) for one driver directory."""
 
-    #: Number and time of each customer extract.
-    extract_loads = tuple(enumerate(SNAPSHOT_LOADS, start=1))
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.driver = DriverTables(spark, sf_dir)
@@ -325,6 +322,13 @@ class RawFeeds:
         suspended = (n == 2) & (F.col("acctbal") < 0)
         return x.where(registered_before & ~suspended).select("load_no", "load_ts", *cols)
 
+    @cached_property
+    def customer_loads(self) -> DataFrame:
+        """Number and time of each customer extract."""
+        loads = F.array(*[F.struct(F.lit(i).alias("load_no"), ntz(ts).alias("load_ts"))
+                          for i, ts in enumerate(SNAPSHOT_LOADS, start=1)])
+        return self.spark.range(1).select(F.inline(loads))
+
     # ------------------------------------------------------- chart, budgets
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
