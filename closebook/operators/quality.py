@@ -42,40 +42,43 @@ class Check:
             suffix = "__" + hashlib.md5(self.expression.encode()).hexdigest()
         return f"{self.kind}__{self.model}__{target}{suffix}"
 
-    def failing_condition(self) -> Column:
-        """Row-level failure predicate (row kinds only)."""
+    def failing_condition(self) -> str:
+        """Row-level failure predicate (row kinds only), as SQL text."""
         if self.kind == "not_null":
-            return F.col(self.column).isNull()
+            return f"`{self.column}` IS NULL"
         if self.kind == "accepted_values":
-            return ~F.col(self.column).isin(*self.values)
+            return f"NOT (`{self.column}` IN ({', '.join(map(_text, self.values))}))"
         if self.kind == "expression":
-            return ~F.expr(self.expression)
+            return f"NOT ({self.expression})"
         raise ValueError(f"{self.kind} is not a row-level check")
 
 
-def _result_struct(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.check_id).alias("check_id"),
-        F.lit(check.kind).alias("kind"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column or ",".join(check.columns) or None).cast("string").alias("column_name"),
-        failures.cast("bigint").alias("failures"),
-    )
+def _text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _result_struct(check: Check, failures: str) -> str:
+    """SQL text, as all expressions of the checks: hundreds of Column objects
+    would cost the driver more time than the text takes to parse."""
+    return (f"struct({_text(check.check_id)} AS check_id, {_text(check.kind)} AS kind, "
+            f"{_text(check.model)} AS model, "
+            f"{_text(check.column or ','.join(check.columns) or None)} AS column_name, "
+            f"CAST({failures} AS BIGINT) AS failures)")
 
 
 _ROW, _DUP, _REL = 0, 1, 2
 
 
-def _keys(columns: Iterable[str], nulls: bool) -> list[Column]:
+def _keys(columns: Iterable[str], nulls: bool) -> list[str]:
     """128 hash bits of the columns as text, in two longs; with ``nulls`` a null
     is a value, else it makes both null."""
-    values = [F.col(c).cast("string") for c in columns]
-    marked = [x for v in values for x in (v.isNull(), v)]
-    any_null = F.lit(False)
-    for v in () if nulls else values:
-        any_null = any_null | v.isNull()
-    return [F.when(~any_null, F.xxhash64(F.lit(i), *marked)).alias(name)
-            for i, name in enumerate(("_a", "_b"))]
+    values = [f"CAST(`{c}` AS STRING)" for c in columns]
+    marked = ", ".join(f"{v} IS NULL, {v}" for v in values)
+    known = "TRUE" if nulls else " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
+    return [f"CASE WHEN {known} THEN xxhash64({', '.join(filter(None, (str(i), marked)))}) END "
+            f"AS {name}" for i, name in enumerate(("_a", "_b"))]
 
 
 def _model_checks(df: DataFrame, checks: list[Check],
@@ -100,45 +103,38 @@ def _model_checks(df: DataFrame, checks: list[Check],
     dups = [c for c in checks if c.kind in ("unique", "unique_combination")]
     rels = [c for c in checks if c.kind == "relationships"]
 
-    def entry(fam: int, i: int, keys: list[Column], flags: list[Column]) -> Column:
-        return F.struct(F.lit(fam).alias("_f"), F.lit(i).alias("_i"), *keys,
-                        F.array(*flags).cast("array<boolean>").alias("_flags"))
+    def entry(fam: int, i: int, keys: list[str], flags: list[str]) -> str:
+        return (f"struct({fam} AS _f, {i} AS _i, {', '.join(keys)}, "
+                f"CAST(array({', '.join(flags)}) AS array<boolean>) AS _flags)")
 
     entries = [entry(_ROW, 0, _keys([], True), [c.failing_condition() for c in rows])] \
         if rows else []
     entries += [entry(_DUP, i, _keys(c.columns or (c.column,), c.kind == "unique_combination"), [])
                 for i, c in enumerate(dups)]
     entries += [entry(_REL, i, _keys((c.column,), False), []) for i, c in enumerate(rels)]
-    grouped = (df.select(F.inline(F.array(*entries)))
-               .where(F.col("_a").isNotNull())
+    flags = [f"count_if(get(_flags, {i})) AS _r{i}" for i in range(len(rows))]
+    grouped = (df.selectExpr(f"inline(array({', '.join(entries)}))")
+               .where("_a IS NOT NULL")
                .groupBy("_f", "_i", "_a", "_b")
-               .agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.count_if(F.get("_flags", F.lit(i))).alias(f"_r{i}")
-                      for i in range(len(rows))]))
-    known = F.lit(True)
+               .agg(*[F.expr(x) for x in ("count(1) AS _n", *flags)]))
+    known = "TRUE"
     if rels:
         parents = None
         for i, c in enumerate(rels):
-            p = model(c.to_model).select(F.lit(_REL).alias("_f"), F.lit(i).alias("_i"),
-                                         *_keys((c.to_field,), False))
+            p = model(c.to_model).selectExpr(f"{_REL} AS _f", f"{i} AS _i",
+                                             *_keys((c.to_field,), False))
             parents = p if parents is None else parents.unionByName(p)
-        parents = parents.where(F.col("_a").isNotNull()).groupBy("_f", "_i", "_a", "_b").agg(
+        parents = parents.where("_a IS NOT NULL").groupBy("_f", "_i", "_a", "_b").agg(
             F.lit(True).alias("_known"))
         grouped = grouped.join(parents, ["_f", "_i", "_a", "_b"], "left")
-        known = F.coalesce(F.col("_known"), F.lit(False))
-
-    def is_entry(fam: int, i: int) -> Column:
-        return (F.col("_f") == fam) & (F.col("_i") == i)
-
-    failures = [(c, F.sum(f"_r{i}")) for i, c in enumerate(rows)]
-    failures += [(c, F.count_if(is_entry(_DUP, i) & (F.col("_n") > 1)))
-                 for i, c in enumerate(dups)]
-    failures += [(c, F.sum(F.when(is_entry(_REL, i) & ~known, F.col("_n"))))
+        known = "coalesce(_known, FALSE)"
+    failures = [(c, f"sum(_r{i})") for i, c in enumerate(rows)]
+    failures += [(c, f"count_if(_f = {_DUP} AND _i = {i} AND _n > 1)") for i, c in enumerate(dups)]
+    failures += [(c, f"sum(CASE WHEN _f = {_REL} AND _i = {i} AND NOT {known} THEN _n END)")
                  for i, c in enumerate(rels)]
-    total = grouped.agg(*[F.coalesce(x, F.lit(0)).alias(f"_c{i}")
-                          for i, (_, x) in enumerate(failures)])
-    return total.select(F.inline(F.array(*[_result_struct(c, F.col(f"_c{i}"))
-                                           for i, (c, _) in enumerate(failures)])))
+    total = grouped.agg(*[F.expr(f"coalesce({x}, 0) AS _c{i}") for i, (_, x) in enumerate(failures)])
+    results = ", ".join(_result_struct(c, f"_c{i}") for i, (c, _) in enumerate(failures))
+    return total.selectExpr(f"inline(array({results}))")
 
 
 def run_checks(checks: Iterable[Check], model: Callable[[str], DataFrame]) -> DataFrame:

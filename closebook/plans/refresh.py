@@ -102,27 +102,29 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
 
 
 def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], DataFrame]:
-    """A resolver of check models: the named marts, and those they are made of,
-    are written once as plain tables to a scratch folder, as are the staged
-    orders; the other models are read as they are."""
-    need = {n for n in named if n in ALL_MARTS}
+    """A resolver of check models. The line fact, and each mart that another
+    named one is made of, is written once to a scratch folder, as are the staged
+    orders; what is read once stays lazy."""
+    need = set(named) & set(ALL_MARTS)
     for name in reversed(ALL_MARTS):
         need.update(UPSTREAM.get(name, ()) if name in need else ())
+    read_again = {u for name in need for u in UPSTREAM.get(name, ())} | {SALES[0]}
     tables: dict[str, DataFrame] = {}
-    if need:
-        spark = m.stg_orders.sparkSession
-        out = scratch_folder(spark, "marts")
-        if "completed_order_items" in need:
-            store_staging(m, out)
-        for name in ALL_MARTS:
-            if name in need:
-                tables[name] = sinks.stored(build(m, name, tables.__getitem__), f"{out}/{name}")
 
     def get(name: str) -> DataFrame:
         if name.startswith("raw_"):
             return getattr(m.raw, name[len("raw_"):])
-        return tables[name] if name in tables else m.model(name)
+        if name not in tables:
+            tables[name] = build(m, name, get)
+        return tables[name]
 
+    if need:
+        out = scratch_folder(m.stg_orders.sparkSession, "marts")
+        if SALES[0] in need:
+            store_staging(m, out)
+        for name in ALL_MARTS:
+            if name in need & read_again:
+                tables[name] = sinks.stored(get(name), f"{out}/{name}")
     return get
 
 

@@ -280,7 +280,7 @@ def test_bucketed_staging_joins_lines_without_a_shuffle(spark, conf, tmp_path):
 
 def test_checks_make_the_fact_once(spark, small_sf):
     # What is left are the checks of the raw lines and of the ledger derived from them.
-    for name, most in (("dq_relationships", 1), ("dq_summary", 3)):
+    for name, most in (("dq_relationships", 2), ("dq_summary", 3)):
         plan = plan_of(catalog.QUERIES[name](spark, small_sf))
         assert scans(plan, "l_partkey") <= most, name
 
