@@ -51,7 +51,8 @@ def digests(rows: DataFrame, *more: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan.scan_secrets(docs).select("doc_id", "found")
+    words = secret_scan.vocabulary(tokenizer_file())
+    found = secret_scan.scan_secrets(docs, more_words=words).select("doc_id", "found")
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
