@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from closebook.config import MartConfig
 from closebook.functions.columns import ntz
 from closebook.operators import quality
-from closebook.plans import checks, refresh
+from closebook.plans import checks, incremental, refresh
 from closebook.plans.models import Marts
 from closebook.session import plan_session
 from closebook.sources import sinks
@@ -97,6 +97,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                        help="clock of the run, e.g. 2024-07-01T00:00:00; the present, if left out")
     sub.choices["run"].add_argument("--out", required=True)
     sub.choices["run"].add_argument("--select", nargs="*", default=list(refresh.ALL_MARTS))
+    sub.choices["run"].add_argument(
+        "--incremental", action="store_true",
+        help="bring the stored fact up to date from the rows loaded since the last such run")
     sub.choices["run"].add_argument(
         "--buckets", type=int, help="store staged lines and orders in that many buckets by order_id")
     sub.choices["test"].add_argument("--kind")
@@ -114,6 +117,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     feeds = feeds_from(spark, args.sources, args.format, args.finance_sources, args.rejects)
     now = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     cfg = MartConfig(as_of=now.date())
+    if args.cmd == "run" and args.incremental:
+        print(f"{incremental.FACT}\t{incremental.refresh_fact(spark, feeds, args.out, cfg)}")
+        args.select = [n for n in args.select if n != incremental.FACT]
     if args.cmd == "run":
         for name, path in refresh.refresh(spark, feeds, args.out, args.select, cfg,
                                           args.buckets).items():

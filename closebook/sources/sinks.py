@@ -133,6 +133,26 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Se
     return version
 
 
+def overwrite_partitions(rows: DataFrame, folder: str, partition_col: str, values: Sequence,
+                         cluster_by: Sequence[str], unique_by: str,
+                         file_bytes: int = 128 << 20) -> None:
+    """Replace the partitions ``values`` of a clustered table by ``rows`` (a stored
+    table, which does not read ``folder``); the others are not touched. A partition
+    without rows is removed. Spark swaps the partitions in when all are written."""
+    spark = rows.sparkSession
+    size = sum(fs.getFileStatus(p).getLen() for fs, p in (
+        _hadoop(spark, f) for f in rows.inputFiles()))
+    keys = [partition_col, *cluster_by, unique_by]
+    (rows.repartitionByRange(max(1, -(-size // file_bytes)), *[F.col(k) for k in keys])
+     .sortWithinPartitions(*keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(folder))
+    left = {r[0] for r in rows.select(partition_col).distinct().collect()}
+    for value in set(values) - left:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        fs, p = _hadoop(spark, f"{folder}/{partition_col}={name}")
+        fs.delete(p, True)
+
+
 def write_versioned(df: DataFrame, base_path: str, version: str) -> str:
     """Write a snapshot version to ``base_path/version=<version>``. A complete
     version is never overwritten; what a failed attempt left is replaced."""
