@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.session import ensure_checkpoint_dir
+from closebook.session import drop_folder, scratch_folder, settle  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -55,17 +54,8 @@ def short_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared checkpoint folder of the session."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/closebook-{name}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: cuts the
-    lineage, and what reads it survives the loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A new path under the shared checkpoint folder; gone with the caller's scope.
+scratch_path = scratch_folder
 
 
 def discard(df: DataFrame) -> None:
@@ -75,11 +65,6 @@ def discard(df: DataFrame) -> None:
             drop_folder(df.sparkSession, folder)
 
 
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, how: str = "left",
                 salts: int = 32) -> DataFrame:
     """Join with ``right``, which has one row per key, where one key may hold

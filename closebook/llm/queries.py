@@ -72,7 +72,8 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     come in under tokenizer ``words-1``; exact copies go again (all but the
     smallest doc_id of a text); the counts of documents with surplus blanks
     are revised to the counts without; and what is left is counted under
-    ``pieces-2``. Each batch is committed twice, as after a retry."""
+    ``pieces-2``. Each batch is committed twice, as after a retry;
+    the first two are compacted."""
     docs = settle(table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", n_words(F.col("text")).alias("words"),
         F.coalesce(F.regexp_count("text", F.lit(PIECES)), F.lit(0)).cast("long").alias("pieces"),
@@ -108,6 +109,8 @@ def _replayed(spark: SparkSession, docs: DataFrame, copied: DataFrame) -> DataFr
     for batch_id, changes in batches.items():
         rollup.commit(batch_id, changes)
         rollup.commit(batch_id, changes)  # a retry adds nothing
+        if batch_id == "0002-copies":
+            rollup.compact()
     return rollup.totals().select("source", "lang", "tokenizer", "n_docs", "n_tokens")
 
 

@@ -161,14 +161,10 @@ def test_rollup(spark, docs):
     before = sorted(map(repr, rollup.totals().collect()))
     assert not rollup.commit("a", token_rollup.inserted(counted, "tokens", "v1"))
     assert sorted(map(repr, rollup.totals().collect())) == before
-    # A failed attempt has left files but no _SUCCESS: not read, then replaced.
+    # A failed attempt has no name: it is not read, and the next one counts.
     part = token_rollup.inserted(counted, "tokens", "v1")
-    conf = spark._jsc.hadoopConfiguration()
-    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        assert rollup.commit("b", part)
-    finally:
-        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    with pytest.raises(Exception):
+        rollup.commit("b", part.withColumn("tokens", F.raise_error(F.lit("lost")).cast("long")))
     assert rollup.batches() == ["a"] and sorted(map(repr, rollup.totals().collect())) == before
     assert rollup.commit("b", token_rollup.deleted(counted.where("source = 'a'"), "tokens", "v1"))
     assert rollup.commit("empty", part.limit(0))
@@ -182,6 +178,33 @@ def test_rollup(spark, docs):
         assert r["n_tokens"] == left[k]["n_tokens"] + grown and r["n_docs"] == left[k]["n_docs"]
     with pytest.raises(ValueError):
         rollup.commit("../x", part)
+    # Compacted, the batches are one base; their ids still count as committed.
+    told = sorted(map(repr, rollup.totals().collect()))
+    assert rollup.compact() and not rollup.compact()
+    assert rollup._names("batch=*") == [] and rollup.batches() == ["a", "b", "c", "empty"]
+    assert sorted(map(repr, rollup.totals().collect())) == told
+    assert not rollup.commit("c", part) and rollup.commit("d", part) and rollup.compact()
+    assert rollup.batches() == ["a", "b", "c", "d", "empty"]
+    assert rollup.commit("e", token_rollup.deleted(counted, "tokens", "v1"))
+    assert sorted(map(repr, rollup.totals().drop("n_changes").collect())) == sorted(
+        repr(r) for r in spark.createDataFrame([t for t in after.values()], rollup.totals().schema)
+        .where("n_docs <> 0 OR n_tokens <> 0").drop("n_changes").collect())
+
+
+def test_one_of_two_writers_of_a_batch_counts(spark, docs):
+    from concurrent.futures import ThreadPoolExecutor
+    rollup = token_rollup.TokenRollup(spark, scratch_path(spark, "test"))
+    changes = token_rollup.inserted(docs.withColumn("tokens", F.lit(1)), "tokens", "v1")
+
+    class Late(token_rollup.TokenRollup):
+        def batches(self):  # neither sees the other's batch before both have written
+            return []
+
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda _: Late(spark, rollup.path).commit("x", changes), range(4)))
+    assert sorted(won) == [False, False, False, True]
+    assert sum(r["n_docs"] for r in rollup.totals().collect()) == len(BODY)
+    assert rollup.batches() == ["x"]
 
 
 def test_empty_tables(spark, docs):
