@@ -32,6 +32,12 @@ class MartConfig:
         "current_asset", "fixed_asset", "liability", "equity",
     )
     revenue_subtype: str = "operating_revenue"
+    refund_subtype: str = "refund"
+    refunded_status: str = "refunded"
+    # Manual entries are posted up to this many days after their month.
+    posting_lag_days: int = 7
+    # A month is unusual above this multiple of the month before.
+    anomaly_factor: int = 3
     budget_account: str = "REV_TOTAL"
     # SCD2 customer history: key and the columns whose change makes a version.
     snapshot_key: str = "customer_id"

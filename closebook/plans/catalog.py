@@ -172,6 +172,10 @@ MODEL_QUERIES: dict[str, ModelQuery] = {
     "gl_activity_monthly": _model("gl_activity_monthly"),
     "gl_ytd": lambda m: finance.gl_ytd(m.gl_activity_monthly),
     "gl_yoy": lambda m: finance.gl_yoy(m.gl_activity_monthly),
+    "gl_anomalies": lambda m: finance.gl_anomalies(m.gl_activity_monthly, m.cfg),
+    "ledger_completeness": lambda m: finance.ledger_completeness(m.stg_gl_entries, m.cfg),
+    "refund_items": _model("refund_items"),
+    "net_revenue_monthly": lambda m: finance.net_revenue_monthly(m.order_facts, m.refund_items),
     "income_statement_monthly": lambda m: m.income_statement_monthly.orderBy("entry_month"),
     "budget_variance":
         lambda m: finance.budget_variance(m.income_statement_monthly).orderBy("entry_month"),

@@ -74,6 +74,52 @@ def gl_activity_monthly(classified: DataFrame) -> DataFrame:
     )
 
 
+def gl_anomalies(activity: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Account-months whose amount is more than ``anomaly_factor`` times that of
+    the calendar month before, by size; a month after a gap, or after one of zero,
+    has nothing to be compared with. The roll-up's own flag stays false."""
+    series = Window.partitionBy("account_code", "currency").orderBy("entry_month")
+    net, before = F.col("net_amount"), F.col("prior_month_amount")
+    adjacent = F.add_months(F.lag("entry_month").over(series), 1) == F.col("entry_month")
+    w = activity.select("account_code", "entry_month", "currency", "net_amount",
+                        F.when(adjacent, F.lag(net).over(series)).alias("prior_month_amount"))
+    return w.select("*", ratio4(F.abs(net), F.abs(before)).alias("times_prior_month")).where(
+        (F.abs(net) > F.abs(before) * cfg.anomaly_factor) & (before != 0))
+
+
+def ledger_completeness(gl: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """How far each ledger month is: entries are dated in the month they belong to
+    and posted up to ``posting_lag_days`` later, so a month is open until then, and
+    reports on it are incomplete. One pass; entries are combined by month first."""
+    closes = F.date_add(F.last_day("entry_month"), cfg.posting_lag_days)
+    late = F.col("_loaded_at") >= F.date_add(closes, 1).cast("timestamp_ntz")
+    return gl.groupBy("entry_month").agg(
+        F.count(F.lit(1)).alias("entries"), F.max("_loaded_at").alias("last_loaded_at"),
+        F.count_if(late).alias("entries_after_close")).select(
+        "entry_month", "entries", "last_loaded_at", closes.alias("closes_on"),
+        (closes >= F.lit(cfg.as_of)).alias("is_open"), "entries_after_close")
+
+
+def booked_refunds(classified: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One row per order that the ledger has a refund entry for."""
+    return classified.where((F.col("account_subtype") == cfg.refund_subtype)
+                            & F.col("reference_id").isNotNull()).groupBy(
+        F.col("reference_id").alias("order_id")).agg(F.lit(True).alias("_booked"))
+
+
+def net_revenue_monthly(facts: DataFrame, refunds: DataFrame) -> DataFrame:
+    """Completed revenue, refunds and what is left, by order month; and the refunds
+    that the ledger does not know of."""
+    sales = facts.groupBy("order_month").agg(F.sum("order_total_revenue").alias("r"))
+    back = refunds.groupBy("order_month").agg(
+        F.sum("revenue").alias("b"), F.sum(F.when(~F.col("is_booked"), F.col("revenue"))).alias("u"))
+    zero = F.lit(0)
+    j = sales.join(back, "order_month", "full_outer")
+    r, b, u = (F.coalesce(F.col(c), zero) for c in "rbu")
+    return j.select("order_month", money(r).alias("sales_revenue"), money(b).alias("refunded_revenue"),
+                    money(r + b).alias("net_revenue"), money(u).alias("unbooked_refunds"))
+
+
 def gl_ytd(activity: DataFrame) -> DataFrame:
     return activity.select("account_code", "entry_month", "currency", "net_amount",
                            "ytd_net_amount")

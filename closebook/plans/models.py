@@ -136,6 +136,12 @@ class Marts:
         return sales.revenue_performance_monthly(
             cats, sales.first_order_months(cats, self.stg_customers))
 
+    @model
+    def refund_items(self) -> DataFrame:
+        return sales.refund_items(self.line_values, self.stg_orders,
+                                  finance.booked_refunds(self.gl_classified, self.cfg),
+                                  self.hot_orders, self.cfg)
+
     # finance marts
     @model
     def gl_activity_monthly(self) -> DataFrame:

@@ -184,6 +184,25 @@ def completed_order_items(lv: DataFrame, facts: DataFrame, hot: HotKeys,
     )
 
 
+def refund_items(lv: DataFrame, orders: DataFrame, booked: DataFrame, hot: HotKeys,
+                 cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The refund fact: every line of a refunded order, with negative quantity and
+    amounts, so that it adds up with the completed-items fact to net revenue.
+    ``is_booked``: the ledger has a refund entry for the order (``booked``); customer
+    service issues some refunds that never reach it. Orders meet the ledger's
+    orders first, one row each; lines meet them once, as in the fact."""
+    o = (orders.where(F.col("order_status") == cfg.refunded_status)
+         .select("order_id", "customer_id", "order_date", "sales_channel", "region")
+         .join(booked, "order_id", "left"))
+    f = salted_join(lv, o, "order_id", hot, "order_item_id")
+    return f.select(
+        "order_item_id", "order_id", "product_id", "customer_id", "order_date",
+        month_of("order_date").alias("order_month"), "sales_channel", "region", "category",
+        (-F.col("quantity")).alias("quantity"), (-F.col("revenue")).alias("revenue"),
+        (-F.col("cogs")).alias("cogs"), (-F.col("gross_profit")).alias("gross_profit"),
+        F.coalesce("_booked", F.lit(False)).alias("is_booked"))
+
+
 def _customer_totals(facts: DataFrame) -> DataFrame:
     """Per customer from the order facts (one shuffle on customer_id).
 

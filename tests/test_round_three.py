@@ -417,6 +417,45 @@ def test_a_gap_month_is_a_row_of_zeros(spark):
         == {(r["order_month"], r["category"], r["net_revenue"]) for r in base}
 
 
+# --------------------------------------------------- refunds, ledger warnings
+def test_refunds_are_negative_lines_and_unbooked_ones_are_told(spark):
+    m = Marts(feeds(spark))
+    rows = {r["order_item_id"]: r for r in m.refund_items.collect()}
+    assert rows and {r["order_id"] for r in rows.values()} == {"A4"}
+    assert all(r["revenue"] < 0 and r["quantity"] < 0 and r["is_booked"] is not None
+               for r in rows.values())
+    quiet = Marts(SimpleNamespace(**{**vars(feeds(spark)), "gl_entries": feeds(spark).gl_entries.where(
+        "reference_id IS NULL OR reference_id <> 'A4'")}))
+    assert not any(r["is_booked"] for r in quiet.refund_items.collect())
+    from closebook.plans import finance
+    for marts, told in ((m, any(not r["is_booked"] for r in rows.values())), (quiet, True)):
+        months = finance.net_revenue_monthly(marts.order_facts, marts.refund_items).collect()
+        assert all(r["net_revenue"] == r["sales_revenue"] + r["refunded_revenue"] for r in months)
+        assert any(r["unbooked_refunds"] for r in months) == told
+        may = next(r for r in months if r["order_month"] == dt.date(2024, 5, 1))
+        assert may["sales_revenue"] == 0 and may["net_revenue"] < 0
+
+
+def test_anomalies_and_open_months(spark):
+    from closebook.plans import finance
+    activity = spark.createDataFrame(
+        [("A", dt.date(2024, m, 1), c, float(v)) for m, c, v in (
+            (1, "usd", 100), (2, "usd", -301), (3, "usd", 900), (5, "usd", 9000), (6, "usd", 0),
+            (7, "usd", 5), (1, "eur", 1), (2, "eur", 3), (3, "eur", 10))],
+        "account_code string, entry_month date, currency string, net_amount double")
+    got = {(r["entry_month"].month, r["currency"]) for r in finance.gl_anomalies(activity).collect()}
+    assert got == {(2, "usd"), (3, "eur")}  # not after a gap, nor after a month of zero
+    gl = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), dt.datetime(2024, 2, 7, 23)), (dt.date(2024, 1, 1), dt.datetime(2024, 2, 8)),
+         (dt.date(2024, 2, 1), dt.datetime(2024, 3, 1))],
+        "entry_month date, _loaded_at timestamp_ntz")
+    out = {r["entry_month"].month: r for r in finance.ledger_completeness(
+        gl, MartConfig(as_of=dt.date(2024, 3, 7))).collect()}
+    assert (out[1]["closes_on"], out[1]["is_open"], out[1]["entries_after_close"]) == (
+        dt.date(2024, 2, 7), False, 1)
+    assert (out[2]["closes_on"], out[2]["is_open"]) == (dt.date(2024, 3, 7), True)
+
+
 # ----------------------------------------------------------------- incremental
 def grown(spark, days):
     """Feeds as they stand after some days: statuses change, lines come late, an
