@@ -142,3 +142,35 @@ def test_pipeline_equals_five_plain_stages(spark, small_sf, docs, model):
     assert len(kept) < len(docs) and sum(n != 1 for n in mixed.values()) > 5
     assert sum(groups[d] != d for d in groups) > 5
     assert any(texts[d] != (t or "") for d, t, _, _ in kept)
+
+
+# ------------------------------------------------------------ very long texts
+def test_texts_of_ten_megabytes(spark):
+    """One document of 10 MB beside short ones, whole through four operators."""
+    import random
+
+    from closebook.llm import bpe, line_dedup, secrets, simhash
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(5000)]
+    line = " ".join(rng.choices(words, k=12))  # over 40 characters
+    text = "\n".join(" ".join(rng.choices(words, k=14)) for _ in range(115_000))
+    text += f"\n{line}\npassword = kX93mQ7vZp2LtR8w"
+    assert len(text) > 10_000_000
+    rows = [(1, text)] + [(i, line) for i in range(2, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = rows_of(docs.select("doc_id", simhash.fingerprint_column(docs["text"]).alias("fp")), "doc_id")
+    assert prints[1]["fp"] % 2 ** 64 == simhash.fingerprint(text.encode())
+    assert prints[2]["fp"] % 2 ** 64 == plain_print(line)
+    found = rows_of(secrets.scan_secrets(docs), "doc_id")[1]["found"]
+    assert [(s["kind"], text[s["start"]:s["end"]]) for s in found] == [
+        ("assign", "password = kX93mQ7vZp2LtR8w"), ("guess", "kX93mQ7vZp2LtR8w")]
+    kept = rows_of(line_dedup.dedup_lines(docs), "doc_id")
+    assert kept[1]["n_lines"] == 115_002 and kept[1]["n_dropped"] == 1
+    assert kept[1]["text"] == text.replace(f"\n{line}\n", "\n") and kept[6]["text"] == line
+    model = {"a": " ".join(words[:2000]).encode(), "b": b"qrst uvwx yz " * 500}
+    assert rows_of(langid.identify_language(docs, model), "doc_id")[1]["lang_pred"] == "a"
+    path, part = tokenizer_file(), text[:1_000_000]  # whole too, but a tenth is quicker
+    docs = spark.createDataFrame([(1, part)], "doc_id long, text string")
+    coded = rows_of(bpe.decode_documents(bpe.encode_documents(docs, path), path), "doc_id")[1]
+    assert coded["decoded"] == part
+    assert list(coded["ids"]) == Tokenizer.from_file(path).encode(part, add_special_tokens=False).ids
