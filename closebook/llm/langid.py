@@ -169,7 +169,8 @@ def identify_language(docs: DataFrame, model: dict[str, bytes], **params) -> Dat
     0, rejected; when the model is empty, because no row is labelled, every
     other text is ``und`` with score 0 and not rejected; equal sizes go
     to the first language by name with margin 0, rejected; repeated rows are
-    classified alike; input columns named as the new ones are replaced.
+    classified alike; a text of any length is compressed whole, in blocks; an
+    empty table gives no rows; input columns named as the new ones are replaced.
     """
     made = ("lang_pred", "score", "margin", "rejected")
     own = [c for c in docs.columns if c not in made]

@@ -165,7 +165,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3,
     cases: a null, empty or blank text has fingerprint zero and links like any
     other; a row without doc_id has a fingerprint and takes the component_id of
     those it links to, null if none of them has an id; repeated rows are one
-    fingerprint; an empty table gives no rows; other columns are not read.
+    fingerprint; a text of any length is read whole, its hashes in memory at 8
+    bytes a word; an empty table gives no rows; other columns are not read.
     """
     rows = settle(docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
                               fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")

@@ -4,6 +4,12 @@ Every stage takes (spark, docs, sf_dir), works on all that its predecessor
 kept and returns a DataFrame; all but the last return the columns of
 ``documents``. ``run`` writes each stage as Parquet to the shared checkpoint
 folder and reads it back, so a lost executor costs no finished stage.
+
+Defined cases: texts that are null, empty or without a letter are rejected by the
+first stage; a null source is a source, null ids stay rows of their own but for near
+duplicates, of which one without an id comes last; equal rows are near duplicates, one
+stays; texts of any length pass whole; an empty table goes through empty; further
+columns, whatever their names, pass all stages but the last.
 """
 
 from __future__ import annotations
