@@ -69,6 +69,8 @@ def _result_struct(check: Check, failures: str) -> str:
 
 
 _ROW, _DUP, _REL = 0, 1, 2
+#: Row-level flags of an entry, one bit each.
+_FLAGS = 30
 
 
 def _keys(columns: Iterable[str], nulls: bool) -> list[str]:
@@ -85,17 +87,17 @@ def _model_checks(df: DataFrame, checks: list[Check],
                   model: Callable[[str], DataFrame]) -> DataFrame:
     """All checks on one model in one pass over it and one grouped exchange.
 
-    Each model row emits one entry with its row-level failure flags, one
-    (check, value) entry per uniqueness check and one (check, key) entry per
-    relationship check. One aggregate by (family, check, value), combined
-    before the shuffle, sums the flags and counts the entries; a key that a
-    third of the rows hold is one row from there on. Then
+    Each model row emits one entry whose value is its row-level failure flags, as
+    bits (one more entry for each 30 further flags), one (check, value) entry per
+    uniqueness check and one (check, key) entry per relationship check; each parent
+    row of those emits its key. One aggregate by (family, check, value), combined
+    before the shuffle, counts the entries; a key that a third of the rows hold is
+    one row from there on, and so are rows with the same flags. Then
 
-    * row checks fail by the sums of their flags;
+    * row checks fail by the counts of the values that have their bit;
     * unique / unique_combination fail by the values that occur more than once
       (``unique`` skips nulls; in a combination they count as values);
-    * relationships fail by the counts of the keys that no parent row has: the
-      parent keys join the grouped rows on the columns they are grouped by.
+    * relationships fail by the counts of the keys that no parent row has.
 
     A last aggregate adds up each check's failures, so the model is read once.
     """
@@ -103,34 +105,33 @@ def _model_checks(df: DataFrame, checks: list[Check],
     dups = [c for c in checks if c.kind in ("unique", "unique_combination")]
     rels = [c for c in checks if c.kind == "relationships"]
 
-    def entry(fam: int, i: int, keys: list[str], flags: list[str]) -> str:
-        return (f"struct({fam} AS _f, {i} AS _i, {', '.join(keys)}, "
-                f"CAST(array({', '.join(flags)}) AS array<boolean>) AS _flags)")
+    def entry(fam: int, i: int, keys: list[str]) -> str:
+        return f"struct({fam} AS _f, {i} AS _i, {', '.join(keys)})"
 
-    entries = [entry(_ROW, 0, _keys([], True), [c.failing_condition() for c in rows])] \
-        if rows else []
-    entries += [entry(_DUP, i, _keys(c.columns or (c.column,), c.kind == "unique_combination"), [])
+    def bits(checks: list[Check]) -> list[str]:
+        terms = [f"CASE WHEN {c.failing_condition()} THEN {1 << i}L ELSE 0L END"
+                 for i, c in enumerate(checks)]
+        return [f"{' + '.join(terms)} AS _a", "0L AS _b"]
+
+    entries = [entry(_ROW, i, bits(rows[i * _FLAGS:(i + 1) * _FLAGS]))
+               for i in range(-(-len(rows) // _FLAGS))]
+    entries += [entry(_DUP, i, _keys(c.columns or (c.column,), c.kind == "unique_combination"))
                 for i, c in enumerate(dups)]
-    entries += [entry(_REL, i, _keys((c.column,), False), []) for i, c in enumerate(rels)]
-    flags = [f"count_if(get(_flags, {i})) AS _r{i}" for i in range(len(rows))]
-    grouped = (df.selectExpr(f"inline(array({', '.join(entries)}))")
-               .where("_a IS NOT NULL")
-               .groupBy("_f", "_i", "_a", "_b")
-               .agg(*[F.expr(x) for x in ("count(1) AS _n", *flags)]))
-    known = "TRUE"
+    entries += [entry(_REL, i, _keys((c.column,), False)) for i, c in enumerate(rels)]
+    found = df.selectExpr(f"inline(array({', '.join(entries)}))").where("_a IS NOT NULL")
+    counts = ["count(1) AS _n"]
     if rels:
-        parents = None
+        found = found.withColumn("_child", F.lit(True))
         for i, c in enumerate(rels):
-            p = model(c.to_model).selectExpr(f"{_REL} AS _f", f"{i} AS _i",
-                                             *_keys((c.to_field,), False))
-            parents = p if parents is None else parents.unionByName(p)
-        parents = parents.where("_a IS NOT NULL").groupBy("_f", "_i", "_a", "_b").agg(
-            F.lit(True).alias("_known"))
-        grouped = grouped.join(parents, ["_f", "_i", "_a", "_b"], "left")
-        known = "coalesce(_known, FALSE)"
-    failures = [(c, f"sum(_r{i})") for i, c in enumerate(rows)]
+            found = found.unionByName(model(c.to_model).selectExpr(
+                f"{_REL} AS _f", f"{i} AS _i", *_keys((c.to_field,), False),
+                "FALSE AS _child").where("_a IS NOT NULL"))
+        counts = ["count_if(_child) AS _n", "bool_and(_child) AS _lost"]
+    grouped = found.groupBy("_f", "_i", "_a", "_b").agg(*[F.expr(x) for x in counts])
+    failures = [(c, f"sum(CASE WHEN _f = {_ROW} AND _i = {i // _FLAGS} "
+                    f"AND (_a & {1 << i % _FLAGS}L) != 0 THEN _n END)") for i, c in enumerate(rows)]
     failures += [(c, f"count_if(_f = {_DUP} AND _i = {i} AND _n > 1)") for i, c in enumerate(dups)]
-    failures += [(c, f"sum(CASE WHEN _f = {_REL} AND _i = {i} AND NOT {known} THEN _n END)")
+    failures += [(c, f"sum(CASE WHEN _f = {_REL} AND _i = {i} AND _lost THEN _n END)")
                  for i, c in enumerate(rels)]
     total = grouped.agg(*[F.expr(f"coalesce({x}, 0) AS _c{i}") for i, (_, x) in enumerate(failures)])
     results = ", ".join(_result_struct(c, f"_c{i}") for i, (c, _) in enumerate(failures))

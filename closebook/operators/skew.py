@@ -47,6 +47,17 @@ def sketch(rows: DataFrame, key: str, tracked: int = 4096, parts: int = 64) -> D
             .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch")))
 
 
+def crowded(rows: DataFrame, key: str, rows_per_task: int, parts: int = 4096) -> DataFrame | None:
+    """The rows of those parts of the keys (by hash) that have more than
+    ``rows_per_task`` rows, or none if no part has: only there may a key be hot, so
+    a plain count by part (4,096 at most) saves most tables their sketches."""
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    rows = rows.where(F.col(key).isNotNull())
+    found = [r["part"] for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > rows_per_task).collect()]
+    return rows.where(part.isin(found)) if found else None
+
+
 def hot_keys(sketches: DataFrame, rows_per_task: int, tracked: int = 4096) -> HotKeys:
     """(key, fanout) of the keys with more than ``rows_per_task`` rows over all
     ``sketches``: a short list, bounded by what the sketches can hold."""

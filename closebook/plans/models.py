@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.operators.bitmaps import numbered
-from closebook.operators.skew import HotKeys, hot_keys, sketch
+from closebook.operators.skew import HotKeys, crowded, hot_keys, sketch
 from closebook.plans import finance, sales, staging
 from closebook.session import settle
 
@@ -73,17 +73,26 @@ class Marts:
         return staging.stg_budgets(self.raw.budgets)
 
     # intermediate
+    @model
+    def line_inputs(self) -> DataFrame:
+        return sales.line_inputs(self.stg_order_items, self.stg_products)
+
     @model
     def line_values(self) -> DataFrame:
-        return sales.line_values(self.stg_order_items, self.stg_products)
+        return sales.line_economics(self.line_inputs)
 
     @model
     def hot_orders(self) -> HotKeys:
         """Runs a small job once per graph, over the stored sketches of the feed
-        where it has them."""
+        where it has them, else over the order ids of the lines."""
         sketches = getattr(self.raw, "order_line_sketch", None)
         if sketches is None:
-            sketches = sales.order_sketch(self.stg_order_items)
+            ids = getattr(self.raw, "order_line_ids", None)
+            busy = crowded(self.stg_order_items if ids is None else ids, "order_id",
+                           self.cfg.rows_per_join_task)
+            if busy is None:
+                return []
+            sketches = sales.order_sketch(busy)
         return sales.hot_orders(sketches, self.cfg)
 
     @model
@@ -93,7 +102,7 @@ class Marts:
 
     @model
     def order_line_economics(self) -> DataFrame:
-        return sales.order_line_economics(self.line_values, self.stg_orders, self.hot_orders,
+        return sales.order_line_economics(self.line_inputs, self.stg_orders, self.hot_orders,
                                           self.cfg)
 
     @model
@@ -107,7 +116,7 @@ class Marts:
 
     @model
     def order_categories(self) -> DataFrame:
-        return sales.order_categories(self.line_values, self.stg_orders, self.cfg)
+        return sales.order_categories(self.line_values, self.stg_orders, self.cfg, self.hot_orders)
 
     @model
     def stored_order_categories(self) -> DataFrame:
@@ -123,7 +132,7 @@ class Marts:
 
     @model
     def completed_order_items(self) -> DataFrame:
-        return sales.completed_order_items(self.line_values, self.order_facts,
+        return sales.completed_order_items(self.line_inputs, self.order_facts,
                                            self.hot_orders, self.cfg)
 
     @model
@@ -138,7 +147,7 @@ class Marts:
 
     @model
     def refund_items(self) -> DataFrame:
-        return sales.refund_items(self.line_values, self.stg_orders,
+        return sales.refund_items(self.line_inputs, self.stg_orders,
                                   finance.booked_refunds(self.gl_classified, self.cfg),
                                   self.hot_orders, self.cfg)
 

@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
-from closebook.plans import finance, sales
+from closebook.plans import finance, sales, staging
 from closebook.operators.snapshot import snapshot_apply
 from closebook.plans.models import Marts
 from closebook.session import scratch_folder
@@ -101,18 +101,24 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
     return paths
 
 
+#: What reads the ledger feed among the models of the checks.
+LEDGER = ("raw_gl_entries", "stg_gl_entries", "gl_activity_monthly")
+
+
 def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], DataFrame]:
     """A resolver of check models. The line fact, and each mart that another
     named one is made of, is written once to a scratch folder, as are the staged
-    orders; what is read once stays lazy."""
-    need = set(named) & set(ALL_MARTS)
+    orders; what is read once stays lazy. A ledger that is derived from lines
+    whenever it is read is stored too, where it is read more than once."""
+    named = set(named)
+    need = named & set(ALL_MARTS)
     for name in reversed(ALL_MARTS):
         need.update(UPSTREAM.get(name, ()) if name in need else ())
     read_again = {u for name in need for u in UPSTREAM.get(name, ())} | {SALES[0]}
     tables: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
-        if name.startswith("raw_"):
+        if name.startswith("raw_") and name not in tables:
             return getattr(m.raw, name[len("raw_"):])
         if name not in tables:
             tables[name] = build(m, name, get)
@@ -120,6 +126,10 @@ def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], Data
 
     if need:
         out = scratch_folder(m.stg_orders.sparkSession, "marts")
+        if getattr(m.raw, "ledger_is_derived", False) and len((named | need) & set(LEDGER)) > 1:
+            ledger = sinks.stored(m.raw.gl_entries, f"{out}/raw_gl_entries")
+            tables["raw_gl_entries"] = ledger
+            m.use("stg_gl_entries", staging.stg_gl_entries(ledger))
         if SALES[0] in need:
             store_staging(m, out)
         for name in ALL_MARTS:

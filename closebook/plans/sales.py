@@ -20,7 +20,7 @@ Shuffle plan (see README, "Physical plan"):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
@@ -33,32 +33,47 @@ from closebook.operators import bitmaps
 from closebook.operators.skew import HotKeys, hot_keys, salted_join, sketch
 
 
-def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Line-level economics that need only the product: cost, margin, discount.
+def line_inputs(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Staged lines with the columns of their product.
 
     Products are a dimension; the planner broadcasts them when their size is
     under the broadcast threshold and shuffles otherwise.
     """
     oi, p = items.alias("oi"), products.alias("p")
     j = oi.join(p, F.col("oi.product_id") == F.col("p.product_id"), "left")
-    qty, net = F.col("oi.quantity"), F.col("oi.net_amount")
-    line_cost = qty * F.coalesce(F.col("p.cost_price"), F.lit(0))
     return j.select(
         F.col("oi.order_item_id"), F.col("oi.order_id"), F.col("oi.product_id"),
         F.col("p.sku"), F.col("p.product_name"), F.col("p.category"),
         F.col("p.subcategory"), F.col("p.brand"),
         F.col("p.cost_price").alias("standard_cost"), F.col("p.list_price"),
-        qty.alias("quantity"), F.col("oi.unit_price"), F.col("oi.discount_pct"),
-        ratio4(F.col("p.list_price") - F.col("oi.unit_price"), F.col("p.list_price"))
-        .alias("effective_discount_pct"),
-        net.alias("revenue"),
-        money(line_cost).alias("cogs"),
-        F.col("p.cost_price").isNull().alias("has_missing_cost"),
-        money(net - line_cost).alias("gross_profit"),
-        ratio4(net - line_cost, net).alias("gross_margin_pct"),
+        F.col("oi.quantity"), F.col("oi.unit_price"), F.col("oi.discount_pct"),
+        F.col("oi.net_amount").alias("revenue"),
     )
 
 
+def _economics() -> dict[str, Column]:
+    """Cost, margin and discount of a line, from the columns of ``line_inputs``."""
+    net, lst, cost = F.col("revenue"), F.col("list_price"), F.col("standard_cost")
+    line_cost = F.col("quantity") * F.coalesce(cost, F.lit(0))
+    return {
+        "effective_discount_pct": ratio4(lst - F.col("unit_price"), lst),
+        "cogs": money(line_cost),
+        "has_missing_cost": cost.isNull(),
+        "gross_profit": money(net - line_cost),
+        "gross_margin_pct": ratio4(net - line_cost, net),
+    }
+
+
+def line_economics(lines: DataFrame) -> DataFrame:
+    """Line-level economics that need only the product. What joins lines to orders
+    adds them after the join: they follow from columns that are shuffled anyway."""
+    return lines.withColumns(_economics())
+
+
+def line_values(items: DataFrame, products: DataFrame) -> DataFrame:
+    return line_economics(line_inputs(items, products))
+
+
 _ORDER_COLS = ("customer_id", "order_date", "shipped_date", "delivered_date", "order_status",
                "sales_channel", "region")
 _LINE_COLS = ("sku", "product_name", "category", "subcategory", "brand", "standard_cost",
@@ -88,14 +103,14 @@ def hot_orders(sketches: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> HotKeys
     return hot_keys(sketches, cfg.rows_per_join_task)
 
 
-def order_line_economics(lv: DataFrame, orders: DataFrame, hot: HotKeys,
+def order_line_economics(lines: DataFrame, orders: DataFrame, hot: HotKeys,
                          cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged line; orphan lines and lines without a product are kept
-    (order columns null, recognition flag null). ``lv`` is ``line_values``;
+    (order columns null, recognition flag null). ``lines`` is ``line_inputs``;
     hot orders are split over several join tasks (``salted_join``)."""
     o = orders.select("order_id", *_ORDER_COLS)
-    j = salted_join(lv, o, "order_id", hot, "order_item_id", how="left")
-    return j.select(*_econ_columns(cfg))
+    j = salted_join(lines, o, "order_id", hot, "order_item_id", how="left")
+    return line_economics(j).select(*_econ_columns(cfg))
 
 
 def orphan_lines(items: DataFrame, orders: DataFrame, hot: HotKeys) -> DataFrame:
@@ -154,7 +169,7 @@ _TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit"
            "order_line_count")
 
 
-def completed_order_items(lv: DataFrame, facts: DataFrame, hot: HotKeys,
+def completed_order_items(lines: DataFrame, facts: DataFrame, hot: HotKeys,
                           cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The completed-items fact: recognised lines, key, calendar parts, order totals.
 
@@ -163,11 +178,11 @@ def completed_order_items(lv: DataFrame, facts: DataFrame, hot: HotKeys,
     in one join, for which whole lines are shuffled once; no window gathers a
     group of lines. Without hot orders the order side keeps the partitioning of
     its dedupe; an order with very many lines is split over several join tasks
-    (``operators/skew.py``).
+    (``operators/skew.py``). ``lines`` is ``line_inputs``.
     ``order_status`` is kept (the checks on this fact read it).
     """
     o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
-    f = salted_join(lv, o, "order_id", hot, "order_item_id")
+    f = line_economics(salted_join(lines, o, "order_id", hot, "order_item_id"))
     d = F.col("order_date")
     return f.select(
         surrogate_key("order_item_id").alias("order_item_sk"),
@@ -184,7 +199,7 @@ def completed_order_items(lv: DataFrame, facts: DataFrame, hot: HotKeys,
     )
 
 
-def refund_items(lv: DataFrame, orders: DataFrame, booked: DataFrame, hot: HotKeys,
+def refund_items(lines: DataFrame, orders: DataFrame, booked: DataFrame, hot: HotKeys,
                  cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The refund fact: every line of a refunded order, with negative quantity and
     amounts, so that it adds up with the completed-items fact to net revenue.
@@ -194,7 +209,7 @@ def refund_items(lv: DataFrame, orders: DataFrame, booked: DataFrame, hot: HotKe
     o = (orders.where(F.col("order_status") == cfg.refunded_status)
          .select("order_id", "customer_id", "order_date", "sales_channel", "region")
          .join(booked, "order_id", "left"))
-    f = salted_join(lv, o, "order_id", hot, "order_item_id")
+    f = line_economics(salted_join(lines, o, "order_id", hot, "order_item_id"))
     return f.select(
         "order_item_id", "order_id", "product_id", "customer_id", "order_date",
         month_of("order_date").alias("order_month"), "sales_channel", "region", "category",
@@ -286,11 +301,15 @@ def _line_sums() -> list:
 _ORDER_KEYS = ["order_id", "customer_id", "order_date", "order_month", "sales_channel", "region"]
 
 
-def order_categories(lv: DataFrame, orders: DataFrame,
-                     cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def order_categories(lv: DataFrame, orders: DataFrame, cfg: MartConfig = DEFAULT_CONFIG,
+                     hot: HotKeys | None = None) -> DataFrame:
     """One row per completed order and category: sums of its lines, and the
-    order's total. Lines are combined before the shuffle and read once; the
-    total is a window over an order's categories, not over its lines."""
+    order's total. Lines are read once; the total is a window over an order's
+    categories, not over its lines. Where no order is hot (an empty list), one
+    shuffle on order_id serves the sums, the total and the join; else lines are
+    combined before theirs."""
+    if hot is not None and not hot:
+        lv = lv.where(F.col("order_id").isNotNull()).repartition("order_id")
     sums = lv.groupBy("order_id", "category").agg(*_line_sums())
     total = F.sum("revenue").over(Window.partitionBy("order_id"))
     return (completed_orders(orders, cfg).withColumn("order_month", month_of("order_date"))

@@ -98,6 +98,20 @@ def plus_days(ts: Column, days: int) -> Column:
     return ts + F.expr(f"INTERVAL {days} DAYS")
 
 
+def product_id_of(key: str) -> Column:
+    return F.concat(F.lit("PROD-"), F.col(key).cast("string"))
+
+
+def part_key_of(product_id: str) -> Column:
+    """The key's digits of a product id."""
+    return F.expr(f"substring({product_id}, 6)")
+
+
+def line_order_id() -> Column:
+    prefix = F.when(F.col("l_orderkey") % 997 == 0, "ORD-MISSING-").otherwise("ORD-")
+    return F.concat(prefix, F.col("l_orderkey").cast("string"))
+
+
 def list_price_of(retailprice: Column) -> Column:
     return F.round(retailprice.cast(MONEY) * _lit_dec(LIST_PRICE_FACTOR, 4, 2), 2).cast(MONEY)
 
@@ -148,6 +162,9 @@ class DriverTables:
 class RawFeeds:
     """The seven raw feeds (plus SCD2 customer extracts) for one driver directory."""
 
+    #: ``gl_entries`` aggregates all lines each time it is read.
+    ledger_is_derived = True
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.driver = DriverTables(spark, sf_dir)
@@ -206,34 +223,42 @@ class RawFeeds:
     # ----------------------------------------------------------- order items
     @cached_property
     def order_items(self) -> DataFrame:
+        # Lines and parts meet on the product's id: where parts are too many to be
+        # broadcast, the models join products to the lines as they lie.
         li = self.driver.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            product_id_of("l_partkey").alias("product_id"),
+            "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_shipdate")
         # List price is a per-part value: compute it on the part side (one row
         # per part) before the join, not once per line.
         p = self.driver.table("part").select(
-            "p_partkey", list_price_of(F.col("p_retailprice")).alias("list_price"))
-        j = li.join(p, li.l_partkey == p.p_partkey, "left")
+            product_id_of("p_partkey").alias("part_id"),
+            list_price_of(F.col("p_retailprice")).alias("list_price"))
+        j = li.join(p, li.product_id == p.part_id, "left")
         tier = (F.lit(100) - F.lit(5) * (F.col("l_linenumber") % 4)).cast("decimal(9,0)")
         unit_price = F.round(
             F.col("list_price") * tier * _lit_dec(Decimal("0.01"), 4, 2), 2
         ).cast(MONEY)
         price_cents = F.floor(F.col("l_extendedprice") * F.lit(100.0) + F.lit(0.5))
         item_id = F.concat_ws(
-            "-", F.lit("ITEM"), *[F.col(c).cast("string") for c in
-                                  ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-            price_cents.cast("bigint").cast("string"))
-        order_prefix = F.when(F.col("l_orderkey") % 997 == 0, "ORD-MISSING-").otherwise("ORD-")
+            "-", F.lit("ITEM"), F.col("l_orderkey").cast("string"),
+            F.col("l_linenumber").cast("string"), part_key_of("product_id"),
+            F.col("l_suppkey").cast("string"), price_cents.cast("bigint").cast("string"))
         return j.select(
             item_id.alias("order_item_id"),
-            F.concat(order_prefix, F.col("l_orderkey").cast("string")).alias("order_id"),
-            F.concat(F.lit("PROD-"), F.col("l_partkey").cast("string")).alias("product_id"),
+            line_order_id().alias("order_id"),
+            "product_id",
             F.col("l_quantity").cast("int").alias("quantity"),
             unit_price.alias("unit_price"),
             F.col("l_discount").cast(RATE).alias("discount_pct"),
             at_midnight(shifted_date("l_shipdate")).alias("_loaded_at"),
         )
 
+    @cached_property
+    def order_line_ids(self) -> DataFrame:
+        """The order id of every line alone, for counts that need no price."""
+        return self.driver.table("lineitem").select(line_order_id().alias("order_id"))
+
     # -------------------------------------------------------------- products
     @cached_property
     def products(self) -> DataFrame:
@@ -242,7 +267,7 @@ class RawFeeds:
         lp = list_price_of(F.col("p_retailprice"))
         active = key % 50 != 0
         return p.select(
-            F.concat(F.lit("PROD-"), key.cast("string")).alias("product_id"),
+            product_id_of("p_partkey").alias("product_id"),
             F.concat(F.lit("SKU-"), key.cast("string")).alias("sku"),
             F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("product_name"),
             F.col("p_type").alias("category"),
