@@ -7,6 +7,7 @@ the months that such an order leaves or enters are written.
 
 The time up to which the fact was made is stored beside it after each run, so a run
 that fails is simply repeated: its window starts where the last complete run's did.
+What a run stores on the way is deleted as soon as nothing reads it any more.
 Changed products do not touch the lines of unchanged orders; a full refresh does.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.plans import refresh as full
 from closebook.plans.models import Marts
-from closebook.session import scratch_folder
+from closebook.session import drop_folder, scratch_folder
 from closebook.sources import sinks
 
 FACT = "completed_order_items"
@@ -80,7 +81,10 @@ def refresh_fact(spark: SparkSession, raw, out_dir: str, cfg: MartConfig = DEFAU
                                                     & F.lit(len(known) < len(months)))
     kept = fact.where(in_months).join(changed, "order_id", "left_anti")
     rows = sinks.stored(kept.unionByName(new), f"{work}/months")
+    for done in ("new", "changed"):
+        drop_folder(spark, f"{work}/{done}")
     sinks.overwrite_partitions(rows, current, "order_month", months, ("order_date", "sales_channel"),
                                "order_item_id")
     sinks.write_table(made_until, _mark(out))
+    drop_folder(spark, work)
     return current

@@ -138,6 +138,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a scratch folder and read it back: it is computed once,
     its lineage is cut, and it survives the loss of any executor."""
+    from closebook.sources.sinks import shuffles_dropped
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,8 @@ the caller names, never in machine-local temp space.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,13 +63,33 @@ def _retire(spark: SparkSession, path: str) -> list[str]:
     return removed
 
 
+#: Spark's own removal of an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes within leave no shuffle files. Else they stay until the driver's
+    garbage collection, and a run of several tables holds those of all at once."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Full refresh of a stored table; returns the folder of the new version."""
     version = _next(df.sparkSession, path)
     w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(version)
+    with shuffles_dropped(df.sparkSession):
+        w.save(version)
     _retire(df.sparkSession, path)
     return version
 
@@ -119,15 +140,17 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Se
     """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}/_staged"
-    df.write.mode("overwrite").parquet(staged)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(staged)
     fs, p = _hadoop(spark, staged)
     files = max(1, -(-fs.getContentSummary(p).getLength() // file_bytes))
     keys = [partition_col, *cluster_by, unique_by]
     version = _next(spark, path)
-    (spark.read.schema(df.schema).parquet(staged)
-     .repartitionByRange(files, *[F.col(k) for k in keys])
-     .sortWithinPartitions(*keys)
-     .write.mode("errorifexists").format("parquet").partitionBy(partition_col).save(version))
+    with shuffles_dropped(spark):
+        (spark.read.schema(df.schema).parquet(staged)
+         .repartitionByRange(files, *[F.col(k) for k in keys])
+         .sortWithinPartitions(*keys)
+         .write.mode("errorifexists").format("parquet").partitionBy(partition_col).save(version))
     fs.delete(p, True)
     _retire(spark, path)
     return version
@@ -143,9 +166,10 @@ def overwrite_partitions(rows: DataFrame, folder: str, partition_col: str, value
     size = sum(fs.getFileStatus(p).getLen() for fs, p in (
         _hadoop(spark, f) for f in rows.inputFiles()))
     keys = [partition_col, *cluster_by, unique_by]
-    (rows.repartitionByRange(max(1, -(-size // file_bytes)), *[F.col(k) for k in keys])
-     .sortWithinPartitions(*keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(folder))
+    with shuffles_dropped(spark):
+        (rows.repartitionByRange(max(1, -(-size // file_bytes)), *[F.col(k) for k in keys])
+         .sortWithinPartitions(*keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(folder))
     left = {r[0] for r in rows.select(partition_col).distinct().collect()}
     for value in set(values) - left:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
