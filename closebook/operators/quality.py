@@ -13,6 +13,7 @@ All checks on one model share one pass over it and one grouped exchange (see
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -42,6 +43,11 @@ class Check:
             suffix = "__" + hashlib.md5(self.expression.encode()).hexdigest()
         return f"{self.kind}__{self.model}__{target}{suffix}"
 
+    def words(self) -> set[str]:
+        """Every name the check may read of its model, and words that are no names."""
+        return {w.lower() for w in (self.column, *self.columns,
+                                    *re.findall(r"\w+", self.expression or "")) if w}
+
     def failing_condition(self) -> str:
         """Row-level failure predicate (row kinds only), as SQL text."""
         if self.kind == "not_null":
@@ -151,6 +157,16 @@ def run_checks(checks: Iterable[Check], model: Callable[[str], DataFrame]) -> Da
                       for name, group in by_model.items()])
 
 
+def words(checks: Iterable[Check]) -> dict[str, set[str]]:
+    """Model -> the names that its checks may read."""
+    by_model: dict[str, set[str]] = {}
+    for c in checks:
+        by_model.setdefault(c.model, set()).update(c.words())
+        if c.to_model:
+            by_model.setdefault(c.to_model, set()).add(c.to_field.lower())
+    return by_model
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Union by name as a balanced tree: each union re-analyses its inputs,
     so pairing halves keeps driver-side analysis O(n log n) in the parts."""

@@ -104,12 +104,12 @@ def incremental_fact(m: Marts) -> DataFrame:
 
 # ----------------------------------------------------------------- checks
 def _dq(kind: str | None) -> ModelQuery:
-    """The checks run as after a build: on stored marts, each written once (in a
-    scratch folder here), with their parents in stored staging."""
+    """The checks run as after a build: a mart that several models read is written
+    once (to a scratch folder here), with the columns that are read."""
     def q(m: Marts) -> DataFrame:
         chosen = checks.all_checks(m.cfg) if kind is None else checks.checks_of_kind(kind, m.cfg)
         named = {c.model for c in chosen} | {c.to_model for c in chosen}
-        res = quality.run_checks(chosen, refresh.stored_models(m, named))
+        res = quality.run_checks(chosen, refresh.stored_models(m, named, quality.words(chosen)))
         return quality.summarize(res) if kind is None else res
     return q
 

@@ -135,6 +135,10 @@ class Marts:
         return sales.completed_order_items(self.line_inputs, self.order_facts,
                                            self.hot_orders, self.cfg)
 
+    @model
+    def completed_lines(self) -> DataFrame:
+        return sales.completed_lines(self.line_inputs, self.stg_orders, self.hot_orders, self.cfg)
+
     @model
     def customer_360(self) -> DataFrame:
         return sales.customer_360(self.stg_customers, self.order_facts, self.cfg)

@@ -18,7 +18,7 @@ order_id, and the fact joins them without any shuffle of lines or orders.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,16 +105,33 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
 LEDGER = ("raw_gl_entries", "stg_gl_entries", "gl_activity_monthly")
 
 
-def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], DataFrame]:
-    """A resolver of check models. The line fact, and each mart that another
-    named one is made of, is written once to a scratch folder, as are the staged
-    orders; what is read once stays lazy. A ledger that is derived from lines
-    whenever it is read is stored too, where it is read more than once."""
+def stored_models(m: Marts, named: Iterable[str | None],
+                  reads: Mapping[str, set[str]]) -> Callable[[str], DataFrame]:
+    """A resolver of check models; ``reads`` has the names that are read of each.
+
+    What several models read is written once to a scratch folder: the line fact,
+    with the columns that they read and without totals of orders, which are summed
+    from it; the staged orders; a ledger that is derived from lines whenever it is
+    read. What one model reads stays in that model's plan. Checks of the totals read
+    the whole fact."""
     named = set(named)
     need = named & set(ALL_MARTS)
     for name in reversed(ALL_MARTS):
         need.update(UPSTREAM.get(name, ()) if name in need else ())
-    read_again = {u for name in need for u in UPSTREAM.get(name, ())} | {SALES[0]}
+    read_again = {u for name in need for u in UPSTREAM.get(name, ())}
+    fact, customers, monthly = SALES
+    of = {name: reads.get(name, set()) for name in SALES}
+    # The columns of the fact that each of its readers takes.
+    taken = []
+    if fact in named:
+        taken.append([c for c in sales.FACT_COLUMNS if c in of[fact]])
+    counts_new = monthly in need and of[monthly] & {"new_customers", "returning_customers"}
+    if counts_new or (customers in named and of[customers] - set(sales.PARTY_COLUMNS)):
+        taken.append(sales.CUSTOMER_READS)
+    if monthly in need:
+        taken.append(sales.MONTHLY_READS)
+    columns = [c for c in sales.FACT_COLUMNS if any(c in t for t in taken)]
+    whole = not set(columns).isdisjoint(sales.ORDER_TOTALS)
     tables: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
@@ -127,14 +144,25 @@ def stored_models(m: Marts, named: Iterable[str | None]) -> Callable[[str], Data
     if need:
         out = scratch_folder(m.stg_orders.sparkSession, "marts")
         if getattr(m.raw, "ledger_is_derived", False) and len((named | need) & set(LEDGER)) > 1:
-            ledger = sinks.stored(m.raw.gl_entries, f"{out}/raw_gl_entries")
+            ledger = sinks.stored(m.raw.gl_entries, f"{out}/raw_gl_entries", "zstd")
             tables["raw_gl_entries"] = ledger
             m.use("stg_gl_entries", staging.stg_gl_entries(ledger))
-        if SALES[0] in need:
-            store_staging(m, out)
+        if fact in need:
+            if whole or "stg_orders" in named:
+                store_staging(m, out)
+            if whole:
+                tables[fact] = sinks.stored(m.completed_order_items, f"{out}/{fact}", "zstd")
+            elif len(taken) > 1:
+                rows = sinks.stored(m.completed_lines.select(*sales.made_of(columns)),
+                                    f"{out}/{fact}", "zstd")
+                tables[fact] = sales.fact_columns(rows, columns)
+            else:
+                tables[fact] = sales.fact_columns(
+                    m.completed_lines,
+                    [c for c in sales.FACT_COLUMNS if c not in sales.ORDER_TOTALS])
         for name in ALL_MARTS:
-            if name in need & read_again:
-                tables[name] = sinks.stored(get(name), f"{out}/{name}")
+            if name != fact and name in named & read_again:
+                tables[name] = sinks.stored(get(name), f"{out}/{name}", "zstd")
     return get
 
 

@@ -20,6 +20,8 @@ Shuffle plan (see README, "Physical plan"):
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,13 +136,15 @@ def completed_orders(orders: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> Dat
 def order_sums(lines: DataFrame) -> DataFrame:
     """Per order_id totals of its lines; partial aggregation runs map-side, so a
     very large order is combined before the shuffle."""
-    return lines.groupBy("order_id").agg(
-        F.sum("revenue").alias("order_total_revenue"),
-        F.sum("cogs").alias("order_total_cogs"),
-        F.sum("gross_profit").alias("order_total_gross_profit"),
-        F.count(F.lit(1)).alias("order_line_count"),
-        F.sum("quantity").alias("order_units"),
-    )
+    return lines.groupBy("order_id").agg(*_order_sums())
+
+
+def _order_sums() -> list[Column]:
+    return [F.sum("revenue").alias("order_total_revenue"),
+            F.sum("cogs").alias("order_total_cogs"),
+            F.sum("gross_profit").alias("order_total_gross_profit"),
+            F.count(F.lit(1)).alias("order_line_count"),
+            F.sum("quantity").alias("order_units")]
 
 
 def order_facts(lv: DataFrame, orders: DataFrame,
@@ -165,7 +169,7 @@ def order_totals(facts: DataFrame) -> DataFrame:
                         "order_units")
 
 
-_TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit",
+ORDER_TOTALS = ("order_total_revenue", "order_total_cogs", "order_total_gross_profit",
            "order_line_count")
 
 
@@ -181,22 +185,51 @@ def completed_order_items(lines: DataFrame, facts: DataFrame, hot: HotKeys,
     (``operators/skew.py``). ``lines`` is ``line_inputs``.
     ``order_status`` is kept (the checks on this fact read it).
     """
-    o = facts.select("order_id", *_ORDER_COLS, *_TOTALS)
-    f = line_economics(salted_join(lines, o, "order_id", hot, "order_item_id"))
+    o = facts.select("order_id", *_ORDER_COLS, *ORDER_TOTALS)
+    return fact_columns(salted_join(lines, o, "order_id", hot, "order_item_id"), FACT_COLUMNS)
+
+
+def completed_lines(lines: DataFrame, orders: DataFrame, hot: HotKeys,
+                    cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The rows of the fact without their order's totals, for ``fact_columns``: the
+    lines are read once. An order without lines has no row in either."""
+    o = completed_orders(orders, cfg).select("order_id", *_ORDER_COLS)
+    return salted_join(lines, o, "order_id", hot, "order_item_id")
+
+
+#: The columns of the fact, in order; the last are the totals of the line's order.
+FACT_COLUMNS = (
+    "order_item_sk", "order_item_id", "order_id", "product_id", "customer_id",
+    "order_date", "shipped_date", "delivered_date", "order_month", "order_year", "day_of_week",
+    "fiscal_quarter", "iso_week", "order_status", "sales_channel", "region", "category",
+    "subcategory", "brand", "sku", "quantity", "list_price", "unit_price", "discount_pct",
+    "effective_discount_pct", "revenue", "cogs", "gross_profit", "gross_margin_pct",
+    "has_missing_cost", *ORDER_TOTALS)
+
+#: What the columns that are made of others are made of.
+_MADE_OF = {
+    "order_item_sk": ("order_item_id",),
+    **dict.fromkeys(("order_month", "order_year", "day_of_week", "fiscal_quarter", "iso_week"),
+                    ("order_date",)),
+    "effective_discount_pct": ("list_price", "unit_price"),
+    "cogs": ("quantity", "standard_cost"),
+    "has_missing_cost": ("standard_cost",),
+    **dict.fromkeys(("gross_profit", "gross_margin_pct"), ("quantity", "standard_cost", "revenue")),
+}
+
+
+def fact_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns of the fact from lines with their orders (``made_of`` of them)."""
     d = F.col("order_date")
-    return f.select(
-        surrogate_key("order_item_id").alias("order_item_sk"),
-        "order_item_id", "order_id", "product_id", "customer_id",
-        "order_date", "shipped_date", "delivered_date",
-        month_of(d).alias("order_month"), year_of(d).alias("order_year"),
-        day_of_week(d).alias("day_of_week"),
-        F.quarter(d).alias("fiscal_quarter"),
-        week_of_year(d).alias("iso_week"),
-        "order_status", "sales_channel", "region", "category", "subcategory", "brand", "sku",
-        "quantity", "list_price", "unit_price", "discount_pct", "effective_discount_pct",
-        "revenue", "cogs", "gross_profit", "gross_margin_pct", "has_missing_cost",
-        *_TOTALS,
-    )
+    made = {"order_item_sk": surrogate_key("order_item_id"),
+            "order_month": month_of(d), "order_year": year_of(d), "day_of_week": day_of_week(d),
+            "fiscal_quarter": F.quarter(d), "iso_week": week_of_year(d), **_economics()}
+    return rows.select(*[made[c].alias(c) if c in made else c for c in columns])
+
+
+def made_of(columns: Iterable[str]) -> list[str]:
+    """What ``fact_columns`` reads for some columns of the fact."""
+    return sorted({b for c in columns for b in _MADE_OF.get(c, (c,))})
 
 
 def refund_items(lines: DataFrame, orders: DataFrame, booked: DataFrame, hot: HotKeys,
@@ -247,6 +280,11 @@ def customer_tier(revenue, cfg: MartConfig = DEFAULT_CONFIG):
     return expr.when(revenue > 0, cfg.bronze_tier).otherwise(cfg.prospect_tier)
 
 
+#: The columns of the customer mart that need no order.
+PARTY_COLUMNS = ("customer_id", "first_name", "last_name", "full_name", "email",
+                 "customer_segment", "country", "city", "registration_date")
+
+
 def customer_360(customers: DataFrame, facts: DataFrame,
                  cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per staged customer, prospects included (metrics null).
@@ -257,9 +295,7 @@ def customer_360(customers: DataFrame, facts: DataFrame,
     as_of = F.lit(cfg.as_of)
     last = F.col("m.last_order_date")
     return j.select(
-        *[F.col(f"c.{n}") for n in ("customer_id", "first_name", "last_name", "full_name",
-                                    "email", "customer_segment", "country", "city",
-                                    "registration_date")],
+        *[F.col(f"c.{n}") for n in PARTY_COLUMNS],
         *[F.col(f"m.{n}") for n in ("first_order_date", "last_order_date",
                                     "total_completed_orders", "total_units_purchased",
                                     "lifetime_revenue", "lifetime_gross_profit",
@@ -299,6 +335,9 @@ def _line_sums() -> list:
 
 
 _ORDER_KEYS = ["order_id", "customer_id", "order_date", "order_month", "sales_channel", "region"]
+#: What the customer mart and the monthly mart read of the fact, but for totals of orders.
+CUSTOMER_READS = (*_ORDER_KEYS, "quantity", "revenue", "cogs", "gross_profit")
+MONTHLY_READS = (*CUSTOMER_READS, "category", "gross_margin_pct", "effective_discount_pct")
 
 
 def order_categories(lv: DataFrame, orders: DataFrame, cfg: MartConfig = DEFAULT_CONFIG,
@@ -318,13 +357,20 @@ def order_categories(lv: DataFrame, orders: DataFrame, cfg: MartConfig = DEFAULT
 
 
 def order_categories_of(fact: DataFrame) -> DataFrame:
-    """``order_categories`` from the (stored) line fact."""
+    """``order_categories`` from the (stored) line fact. Where that has no totals of
+    orders, they are a window over an order's categories."""
+    if "order_total_revenue" not in fact.columns:
+        sums = fact.groupBy(*_ORDER_KEYS, "category").agg(*_line_sums())
+        return sums.withColumn("order_total_revenue",
+                               F.sum("revenue").over(Window.partitionBy("order_id")))
     return fact.groupBy(*_ORDER_KEYS, "category", "order_total_revenue").agg(*_line_sums())
 
 
 def order_facts_of(fact: DataFrame) -> DataFrame:
     """``order_facts``, as the customer mart reads them, from the (stored) line fact."""
-    return fact.groupBy(*_ORDER_KEYS, *_TOTALS).agg(F.sum("quantity").alias("order_units"))
+    if not set(ORDER_TOTALS) <= set(fact.columns):
+        return fact.groupBy(*_ORDER_KEYS).agg(*_order_sums())
+    return fact.groupBy(*_ORDER_KEYS, *ORDER_TOTALS).agg(F.sum("quantity").alias("order_units"))
 
 
 def first_order_months(order_cats: DataFrame, customers: DataFrame) -> DataFrame:

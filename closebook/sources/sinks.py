@@ -82,21 +82,25 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                compression: str | None = None) -> str:
     """Full refresh of a stored table; returns the folder of the new version."""
     version = _next(df.sparkSession, path)
     w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     with shuffles_dropped(df.sparkSession):
         w.save(version)
     _retire(df.sparkSession, path)
     return version
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """``df`` written as the next version of a table, and read back."""
-    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, path))
+    return df.sparkSession.read.schema(df.schema).parquet(
+        write_table(df, path, compression=compression))
 
 
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
