@@ -1,4 +1,4 @@
-"""Latest-row-per-key for append-only feeds."""
+"""Latest row per key for append-only feeds; keys that the planner knows to be unique."""
 
 from __future__ import annotations
 
@@ -21,3 +21,14 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Colu
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1)
               .drop("_rn"))
+
+
+def keyed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` for the right side of a left join on ``key``, of which a reader may need
+    no column. If no key repeats (a count by key finds out), rows are grouped by it, so
+    the planner knows that a row has one match at most, and drops the join where nothing
+    of it is read. Else ``df`` itself, whose matches multiply rows. Null keys match
+    nothing and count for nothing."""
+    known = df.where(F.col(key).isNotNull())
+    repeated = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return df if not repeated.isEmpty() else known.dropDuplicates([key])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.operators.bitmaps import numbered
+from closebook.operators.dedupe import keyed
 from closebook.operators.skew import HotKeys, crowded, hot_keys, sketch
 from closebook.plans import finance, sales, staging
 from closebook.session import settle
@@ -139,6 +140,15 @@ class Marts:
     def completed_lines(self) -> DataFrame:
         return sales.completed_lines(self.line_inputs, self.stg_orders, self.hot_orders, self.cfg)
 
+    @model
+    def unpriced_lines(self) -> DataFrame:
+        """``completed_lines`` for readers of no price and no product's column: lines
+        meet neither parts nor products there, if those have unique keys."""
+        items = getattr(self.raw, "unpriced_items", None)
+        items = self.stg_order_items if items is None else staging.stg_order_items(items)
+        lines = sales.line_inputs(items, keyed(self.stg_products, "product_id"))
+        return sales.completed_lines(lines, self.stg_orders, self.hot_orders, self.cfg)
+
     @model
     def customer_360(self) -> DataFrame:
         return sales.customer_360(self.stg_customers, self.order_facts, self.cfg)

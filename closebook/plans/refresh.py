@@ -111,9 +111,10 @@ def stored_models(m: Marts, named: Iterable[str | None],
 
     What several models read is written once to a scratch folder: the line fact,
     with the columns that they read and without totals of orders, which are summed
-    from it; the staged orders; a ledger that is derived from lines whenever it is
-    read. What one model reads stays in that model's plan. Checks of the totals read
-    the whole fact."""
+    from it; the staged orders; the postings of orders, if the ledger is derived from
+    lines whenever it is read. Lines meet products only where a reader needs a price or
+    a product's column, or where a product's key repeats. What one model reads stays in
+    that model's plan. Checks of the totals read the whole fact."""
     named = set(named)
     need = named & set(ALL_MARTS)
     for name in reversed(ALL_MARTS):
@@ -132,9 +133,13 @@ def stored_models(m: Marts, named: Iterable[str | None],
         taken.append(sales.MONTHLY_READS)
     columns = [c for c in sales.FACT_COLUMNS if any(c in t for t in taken)]
     whole = not set(columns).isdisjoint(sales.ORDER_TOTALS)
+    priced = not sales.PRICED.isdisjoint(sales.made_of(columns))
     tables: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
+        if name == "raw_order_items" and hasattr(m.raw, "unpriced_items") \
+                and "unit_price" not in reads.get(name, {"unit_price"}):
+            return m.raw.unpriced_items
         if name.startswith("raw_") and name not in tables:
             return getattr(m.raw, name[len("raw_"):])
         if name not in tables:
@@ -143,8 +148,10 @@ def stored_models(m: Marts, named: Iterable[str | None],
 
     if need:
         out = scratch_folder(m.stg_orders.sparkSession, "marts")
-        if getattr(m.raw, "ledger_is_derived", False) and len((named | need) & set(LEDGER)) > 1:
-            ledger = sinks.stored(m.raw.gl_entries, f"{out}/raw_gl_entries", "zstd")
+        ledgers = (named | need) & set(LEDGER)
+        if getattr(m.raw, "ledger_is_derived", False) and (len(ledgers) > 1 or LEDGER[-1] in ledgers):
+            ledger = m.raw.ledger_of(
+                sinks.stored(m.raw.order_postings, f"{out}/order_postings", "zstd"))
             tables["raw_gl_entries"] = ledger
             m.use("stg_gl_entries", staging.stg_gl_entries(ledger))
         if fact in need:
@@ -152,14 +159,14 @@ def stored_models(m: Marts, named: Iterable[str | None],
                 store_staging(m, out)
             if whole:
                 tables[fact] = sinks.stored(m.completed_order_items, f"{out}/{fact}", "zstd")
-            elif len(taken) > 1:
-                rows = sinks.stored(m.completed_lines.select(*sales.made_of(columns)),
-                                    f"{out}/{fact}", "zstd")
-                tables[fact] = sales.fact_columns(rows, columns)
             else:
-                tables[fact] = sales.fact_columns(
-                    m.completed_lines,
-                    [c for c in sales.FACT_COLUMNS if c not in sales.ORDER_TOTALS])
+                lines = m.completed_lines if priced else m.unpriced_lines
+                made = [c for c in sales.FACT_COLUMNS if c not in sales.ORDER_TOTALS]
+                if len(taken) > 1:
+                    made = columns
+                    lines = sinks.stored(lines.select(*sales.made_of(columns)), f"{out}/{fact}",
+                                         "zstd")
+                tables[fact] = sales.fact_columns(lines, made)
         for name in ALL_MARTS:
             if name != fact and name in named & read_again:
                 tables[name] = sinks.stored(get(name), f"{out}/{name}", "zstd")

@@ -218,6 +218,11 @@ _MADE_OF = {
 }
 
 
+#: What a line has of its product, and what follows from the product's price.
+PRICED = frozenset(("sku", "product_name", "category", "subcategory", "brand", "standard_cost",
+                    "list_price", "unit_price", "revenue"))
+
+
 def fact_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns of the fact from lines with their orders (``made_of`` of them)."""
     d = F.col("order_date")

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.functions.columns import MONEY, RATE, ntz
+from closebook.operators.dedupe import keyed
 from closebook.sources.schemas import RAW_SCHEMAS
 
 # Fixed values of the derivation.
@@ -225,16 +226,31 @@ class RawFeeds:
     def order_items(self) -> DataFrame:
         # Lines and parts meet on the product's id: where parts are too many to be
         # broadcast, the models join products to the lines as they lie.
-        li = self.driver.table("lineitem").select(
-            product_id_of("l_partkey").alias("product_id"),
+        return self._items(self._lines(), self._prices(), F.col("product_id") == F.col("part_id"))
+
+    @cached_property
+    def unpriced_items(self) -> DataFrame:
+        """``order_items`` for readers of no price: lines do not meet parts for them,
+        unless the key of a part repeats and so its lines do (``keyed``)."""
+        return self._items(self._lines(), keyed(self._prices(), "part_id"),
+                           F.col("product_id") == F.col("part_id"))
+
+    def _lines(self) -> DataFrame:
+        return self.driver.table("lineitem").select(
+            product_id_of("l_partkey").alias("product_id"), "l_partkey",
             "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_shipdate")
+
+    def _prices(self) -> DataFrame:
         # List price is a per-part value: compute it on the part side (one row
         # per part) before the join, not once per line.
-        p = self.driver.table("part").select(
-            product_id_of("p_partkey").alias("part_id"),
+        return self.driver.table("part").select(
+            "p_partkey", product_id_of("p_partkey").alias("part_id"),
             list_price_of(F.col("p_retailprice")).alias("list_price"))
-        j = li.join(p, li.product_id == p.part_id, "left")
+
+    @staticmethod
+    def _items(li: DataFrame, p: DataFrame, on: Column) -> DataFrame:
+        j = li.join(p, on, "left")
         tier = (F.lit(100) - F.lit(5) * (F.col("l_linenumber") % 4)).cast("decimal(9,0)")
         unit_price = F.round(
             F.col("list_price") * tier * _lit_dec(Decimal("0.01"), 4, 2), 2
@@ -387,7 +403,13 @@ class RawFeeds:
     # ------------------------------------------------------------ gl entries
     @cached_property
     def gl_entries(self) -> DataFrame:
-        items = self.order_items
+        return self.ledger_of(self.order_postings)
+
+    @cached_property
+    def order_postings(self) -> DataFrame:
+        """One row per order that the ledger posts: its key, kind, date and revenue."""
+        # No product joins these lines: they meet parts on the shorter key.
+        items = self._items(self._lines(), self._prices(), F.col("l_partkey") == F.col("p_partkey"))
         revenue = (items.groupBy("order_id")
                    .agg(F.sum(line_net_amount(F.col("quantity"), F.col("unit_price"),
                                               F.col("discount_pct"))).alias("rev")))
@@ -405,7 +427,11 @@ class RawFeeds:
                 .otherwise(F.last_day(F.date_add(d, 3))).alias("entry_date"))
             .where(F.col("kind").isNotNull())
         )
-        per_order = posting.join(revenue, "order_id", "inner")
+        return posting.join(revenue, "order_id", "inner")
+
+    def ledger_of(self, per_order: DataFrame) -> DataFrame:
+        """The ledger from ``order_postings``, which it reads twice: for the entries
+        of orders and for the monthly ones."""
         is_rev = F.col("kind") == "REV"
         order_rows = per_order.select(
             F.concat(F.lit("GL-"), F.col("kind"), F.lit("-"), F.col("okey").cast("string")).alias("entry_id"),
