@@ -94,7 +94,10 @@ def incremental_fact(m: Marts) -> DataFrame:
     before = SimpleNamespace(
         orders=m.raw.orders.where(early), order_items=m.raw.order_items.where(early),
         customers=m.raw.customers, products=m.raw.products, gl_entries=m.raw.gl_entries,
-        chart_of_accounts=m.raw.chart_of_accounts, budgets=m.raw.budgets)
+        chart_of_accounts=m.raw.chart_of_accounts, budgets=m.raw.budgets,
+        # The hot orders of the whole feed will do for a part of it.
+        order_line_sketch=getattr(m.raw, "order_line_sketch", None),
+        order_line_ids=getattr(m.raw, "order_line_ids", None))
     out = scratch_folder(spark, "incremental-fact")
     incremental.refresh_fact(spark, before, out, m.cfg)
     path = incremental.refresh_fact(spark, m.raw, out, m.cfg)

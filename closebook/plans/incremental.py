@@ -7,7 +7,9 @@ the months that such an order leaves or enters are written.
 
 The time up to which the fact was made is stored beside it after each run, so a run
 that fails is simply repeated: its window starts where the last complete run's did.
-What a run stores on the way is deleted as soon as nothing reads it any more.
+What a run stores on the way is deleted as soon as nothing reads it any more. Orders
+are made in pieces and months swapped in by parts (``refresh.store_fact``), so that
+neither shuffles nor swapped months hold all lines at once.
 Changed products do not touch the lines of unchanged orders; a full refresh does.
 """
 
@@ -19,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
-from closebook.plans import refresh as full
+from closebook.plans import refresh as full, sales
 from closebook.plans.models import Marts
-from closebook.session import drop_folder, scratch_folder
+from closebook.session import broadcast_bytes, drop_folder, scratch_folder, table_bytes
 from closebook.sources import sinks
 
 FACT = "completed_order_items"
@@ -67,24 +69,44 @@ def refresh_fact(spark: SparkSession, raw, out_dir: str, cfg: MartConfig = DEFAU
 
     def touched(rows: DataFrame) -> DataFrame:
         # All rows of a changed order count, not only the late ones.
-        return rows.join(changed, "order_id", "left_semi")
-
-    part = SimpleNamespace(orders=touched(raw.orders), order_items=touched(raw.order_items),
-                           customers=raw.customers, products=raw.products)
-    new = sinks.stored(Marts(part, cfg).completed_order_items, f"{work}/new")
-    fact = spark.read.parquet(current).select(*new.columns)
+        return rows.where(F.col("order_id").isin(changed))
+
+    # Lines meet none but the changed orders, whose ids they meet before that only if these
+    # are few enough to be broadcast: else all lines would be shuffled for it once more.
+    few = table_bytes(spark, f"{work}/changed") <= broadcast_bytes(spark)
+    part = SimpleNamespace(
+        orders=touched(raw.orders), order_items=touched(raw.order_items) if few else raw.order_items,
+        customers=raw.customers, products=raw.products,
+        # An order has no more lines here than in the whole feed: its hot orders will do.
+        order_line_sketch=getattr(raw, "order_line_sketch", None),
+        order_line_ids=getattr(raw, "order_line_ids", None))
+    m = Marts(part, cfg)
+    full.store_staging(m, work)
+    pieces = full.pieces_of(changed.count())
+    cuts = full.month_cuts(m.stg_orders, pieces)
+    staged = f"{work}/months"
+    schema = sales.early_columns(m.completed_order_items).schema
+    sinks.stage(map(sales.early_columns, m.completed_pieces(pieces)), staged, "order_date", cuts)
+    drop_folder(spark, f"{work}/stg_orders")
+    new = spark.read.schema(schema).parquet(staged)
+    fact = spark.read.schema(m.completed_order_items.schema).parquet(current)
     old_months = touched(fact).select("order_month")
     # One row a month, at most the months there are.
-    months = [r[0] for r in new.select("order_month").unionByName(old_months).distinct().collect()]
+    with sinks.shuffles_dropped(spark):
+        months = [r[0] for r in
+                  new.select("order_month").unionByName(old_months).distinct().collect()]
     known = [v for v in months if v is not None]
     in_months = F.col("order_month").isin(known) | (F.col("order_month").isNull()
                                                     & F.lit(len(known) < len(months)))
     kept = fact.where(in_months).join(changed, "order_id", "left_anti")
-    rows = sinks.stored(kept.unionByName(new), f"{work}/months")
-    for done in ("new", "changed"):
-        drop_folder(spark, f"{work}/{done}")
-    sinks.overwrite_partitions(rows, current, "order_month", months, ("order_date", "sales_channel"),
-                               "order_item_id")
+    sinks.stage([sales.early_columns(kept)], staged, "order_date", cuts)
+    drop_folder(spark, f"{work}/changed")
+    for k, rows in enumerate(sinks.staged_parts(spark, staged, schema, len(cuts) + 1)):
+        own = [v for v in months if sinks.part_of(v, cuts) == k]
+        if own:
+            month, *layout = full.FACT_LAYOUT
+            sinks.overwrite_partitions(rows, current, month, own, *layout,
+                                       sales.with_late_columns, "zstd")
     sinks.write_table(made_until, _mark(out))
     drop_folder(spark, work)
     return current

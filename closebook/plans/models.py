@@ -8,8 +8,10 @@ twice shares one plan subtree and Spark can reuse its exchanges.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
 from closebook.operators.bitmaps import numbered
@@ -136,6 +138,19 @@ class Marts:
         return sales.completed_order_items(self.line_inputs, self.order_facts,
                                            self.hot_orders, self.cfg)
 
+    def completed_pieces(self, pieces: int) -> Iterator[DataFrame]:
+        """The rows of ``completed_order_items`` in so many pieces, by a hash of their
+        order: each holds whole orders, and its shuffles move its own lines alone."""
+        if pieces < 2:
+            yield self.completed_order_items
+            return
+        for k in range(pieces):
+            mine = F.pmod(F.xxhash64("order_id"), F.lit(pieces)) == k
+            facts = sales.order_facts(self.line_values.where(mine), self.stg_orders.where(mine),
+                                      self.cfg)
+            yield sales.completed_order_items(self.line_inputs.where(mine), facts,
+                                              self.hot_orders, self.cfg)
+
     @model
     def completed_lines(self) -> DataFrame:
         return sales.completed_lines(self.line_inputs, self.stg_orders, self.hot_orders, self.cfg)

@@ -18,15 +18,18 @@ order_id, and the fact joins them without any shuffle of lines or orders.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from closebook.config import DEFAULT_CONFIG, MartConfig
+from closebook.functions.columns import month_of
 from closebook.plans import finance, sales, staging
 from closebook.operators.snapshot import snapshot_apply
 from closebook.plans.models import Marts
-from closebook.session import scratch_folder
+from closebook.session import drop_folder, scratch_folder
 from closebook.sources import sinks
 
 SALES = ("completed_order_items", "customer_360", "revenue_performance_monthly")
@@ -53,6 +56,52 @@ def store_staging(m: Marts, out_dir: str, buckets: int | None = None) -> None:
     m.use("stg_orders", sinks.stored(m.stg_orders, f"{out_dir}/stg_orders"))
 
 
+#: The line fact is made in pieces of so many orders, so that its shuffle files hold a
+#: piece's lines and not all; each piece reads the lines again, hence the bound.
+ORDERS_PER_PIECE = 8_000_000
+MOST_PIECES = 8
+#: How the stored fact is clustered: its folders, the order in them, the last key, and
+#: bytes a file (of zstd, which take as many rows as twice the bytes of snappy).
+FACT_LAYOUT = ("order_month", ("order_date", "sales_channel"), "order_item_id", 64 << 20)
+
+
+def pieces_of(orders: int) -> int:
+    return max(1, min(MOST_PIECES, -(-orders // ORDERS_PER_PIECE)))
+
+
+def month_cuts(orders: DataFrame, parts: int) -> list[dt.date]:
+    """Months that divide the orders into so many parts at most, of like size. One row
+    a month is collected."""
+    if parts < 2:
+        return []
+    rows = orders.where(F.col("order_date").isNotNull()).groupBy(
+        month_of("order_date").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    with sinks.shuffles_dropped(orders.sparkSession):
+        months = sorted(rows.collect())
+    cuts, seen, total = [], 0, sum(n for _, n in months)
+    for month, n in months:
+        if seen * parts >= total * (len(cuts) + 1):
+            cuts.append(month)
+        seen += n
+    return cuts
+
+
+def store_fact(m: Marts, path: str, pieces: int, parts: int) -> str:
+    """Write the line fact as a table under ``path``; returns the folder of the version.
+    It is staged in pieces of whole orders and clustered in parts of whole months; what
+    follows from other columns of a row is made when the row is written."""
+    spark, staged = m.stg_orders.sparkSession, f"{path.rstrip('/')}/_staged"
+    drop_folder(spark, staged)
+    cuts = month_cuts(m.stg_orders, parts)
+    sinks.stage(map(sales.early_columns, m.completed_pieces(pieces)), staged, "order_date", cuts)
+    schema = sales.early_columns(m.completed_order_items).schema
+    version = sinks.write_parts(
+        sinks.staged_parts(spark, staged, schema, len(cuts) + 1), path, *FACT_LAYOUT,
+        made=sales.with_late_columns, compression="zstd")
+    drop_folder(spark, staged)
+    return version
+
+
 def build(m: Marts, name: str, stored: Callable[[str], DataFrame]) -> DataFrame:
     """A mart from the stored tables of the marts that it reads."""
     if name == "customer_360":
@@ -93,11 +142,12 @@ def refresh(spark: SparkSession, raw, out_dir: str, select: Iterable[str] = ALL_
         return sinks.read_table(spark, path) if sinks.current(spark, path) else m.model(n)
 
     for name in chosen:
-        df = build(m, name, stored)
-        paths[name] = sinks.write_clustered(
-            df, f"{out}/{name}", "order_month", ("order_date", "sales_channel"),
-            "order_item_id") if name == "completed_order_items" else \
-            sinks.write_table(df, f"{out}/{name}")
+        if name == "completed_order_items":
+            parts = pieces_of(m.stg_orders.count())
+            # Bucketed tables meet without a shuffle.
+            paths[name] = store_fact(m, f"{out}/{name}", 1 if buckets else parts, parts)
+        else:
+            paths[name] = sinks.write_table(build(m, name, stored), f"{out}/{name}")
     return paths
 
 

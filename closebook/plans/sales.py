@@ -206,6 +206,11 @@ FACT_COLUMNS = (
     "effective_discount_pct", "revenue", "cogs", "gross_profit", "gross_margin_pct",
     "has_missing_cost", *ORDER_TOTALS)
 
+#: Those that follow from others of the fact: they are made when rows are written, after
+#: all shuffles. ``order_month`` is not among them, as rows are ordered by it.
+LATE_COLUMNS = ("order_item_sk", "order_year", "day_of_week", "fiscal_quarter", "iso_week",
+                "effective_discount_pct")
+
 #: What the columns that are made of others are made of.
 _MADE_OF = {
     "order_item_sk": ("order_item_id",),
@@ -223,13 +228,27 @@ PRICED = frozenset(("sku", "product_name", "category", "subcategory", "brand", "
                     "list_price", "unit_price", "revenue"))
 
 
-def fact_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns of the fact from lines with their orders (``made_of`` of them)."""
+def fact_columns(rows: DataFrame, columns: Sequence[str],
+                 kept: Sequence[str] = ()) -> DataFrame:
+    """Columns of the fact from lines with their orders (``made_of`` of them); those in
+    ``kept`` are there already."""
     d = F.col("order_date")
     made = {"order_item_sk": surrogate_key("order_item_id"),
             "order_month": month_of(d), "order_year": year_of(d), "day_of_week": day_of_week(d),
             "fiscal_quarter": F.quarter(d), "iso_week": week_of_year(d), **_economics()}
-    return rows.select(*[made[c].alias(c) if c in made else c for c in columns])
+    return rows.select(*[made[c].alias(c) if c in made and c not in kept else c
+                         for c in columns])
+
+
+def early_columns(fact: DataFrame) -> DataFrame:
+    """Rows of the fact without the columns that ``with_late_columns`` makes."""
+    return fact.select(*[c for c in FACT_COLUMNS if c not in LATE_COLUMNS])
+
+
+def with_late_columns(rows: DataFrame) -> DataFrame:
+    """The whole rows of the fact from ``early_columns``, whose order they keep."""
+    late = fact_columns(rows, (*LATE_COLUMNS, *rows.columns), kept=rows.columns)
+    return late.select(*FACT_COLUMNS)
 
 
 def made_of(columns: Iterable[str]) -> list[str]:

@@ -103,6 +103,16 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def table_bytes(spark: SparkSession, folder: str) -> int:
+    fs, path = file_system(spark, folder)
+    return fs.getContentSummary(path).getLength()
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The size below which the planner broadcasts a join side."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     fs, path = file_system(spark, folder)
     fs.delete(path, True)

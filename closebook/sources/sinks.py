@@ -1,8 +1,8 @@
 """Sinks: view, table (full refresh), clustered table, versioned snapshot.
 
 A stored table is a folder of versions, ``<path>/v-000001``, ``v-000002``...
-A write adds the next version; the version counts from the moment Spark has
-written its ``_SUCCESS`` file, which it does last. Readers take the highest
+A write adds the next version; the version counts from the moment it has a
+``_SUCCESS`` file, which is written last. Readers take the highest
 version that has one, so a refresh that fails leaves the table as it was, and
 one that runs beside a reader takes nothing from under it: the version before
 the new one is kept, older ones are removed. Outputs live in the shared folder
@@ -12,7 +12,7 @@ the caller names, never in machine-local temp space.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,6 +130,52 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(version)
 
 
+#: A staged table is divided by this number, one folder each.
+_PART = "_part"
+
+
+def part_of(value, cuts: Sequence) -> int:
+    """The part of a staged table that a value belongs to; null belongs to the first."""
+    return 0 if value is None else sum(value >= c for c in cuts)
+
+
+def stage(pieces: Iterable[DataFrame], folder: str, column: str, cuts: Sequence = ()) -> None:
+    """Add ``pieces`` to a staged table, one after the other, so that only one's shuffle
+    files are held at a time. ``cuts`` divide the values of ``column`` into the parts
+    that are clustered one after the other."""
+    number = F.lit(0)
+    for c in cuts:
+        number = number + F.when(F.col(column) >= F.lit(c), 1).otherwise(0)
+    for piece in pieces:
+        with shuffles_dropped(piece.sparkSession):
+            w = (piece.withColumn(_PART, number) if cuts else piece).write.mode("append")
+            if cuts:
+                w = w.partitionBy(_PART)
+            w.option("compression", "zstd").parquet(folder if cuts else f"{folder}/{_PART}=0")
+
+
+def staged_parts(spark: SparkSession, folder: str, schema, parts: int) -> Iterator[DataFrame]:
+    """The parts of a staged table in order, also those without rows. A part is deleted
+    as soon as the next one is asked for."""
+    for k in range(parts):
+        fs, p = _hadoop(spark, f"{folder}/{_PART}={k}")
+        if fs.exists(p):
+            yield spark.read.schema(schema).parquet(p.toString())
+            fs.delete(p, True)
+        else:
+            yield spark.createDataFrame([], schema)
+
+
+def _arranged(rows: DataFrame, keys: Sequence[str], file_bytes: int) -> DataFrame:
+    """Rows of a stored table, range-ordered by ``keys``; the number of partitions
+    follows from the table's size in bytes."""
+    folders = {f.rpartition("/")[0] for f in rows.inputFiles()}
+    size = sum(fs.getContentSummary(p).getLength() for fs, p in (
+        _hadoop(rows.sparkSession, f) for f in folders))
+    return rows.repartitionByRange(max(1, -(-size // file_bytes)), *[F.col(k) for k in keys]) \
+        .sortWithinPartitions(*keys)
+
+
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Sequence[str],
                     unique_by: str, file_bytes: int = 128 << 20) -> str:
     """Clustered table: folders by ``partition_col`` (pruned by filters on it)
@@ -146,34 +192,55 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Se
     staged = f"{path.rstrip('/')}/_staged"
     with shuffles_dropped(spark):
         df.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    version = write_parts([rows], path, partition_col, cluster_by, unique_by, file_bytes)
     fs, p = _hadoop(spark, staged)
-    files = max(1, -(-fs.getContentSummary(p).getLength() // file_bytes))
-    keys = [partition_col, *cluster_by, unique_by]
-    version = _next(spark, path)
-    with shuffles_dropped(spark):
-        (spark.read.schema(df.schema).parquet(staged)
-         .repartitionByRange(files, *[F.col(k) for k in keys])
-         .sortWithinPartitions(*keys)
-         .write.mode("errorifexists").format("parquet").partitionBy(partition_col).save(version))
     fs.delete(p, True)
+    return version
+
+
+def write_parts(parts: Iterable[DataFrame], path: str, partition_col: str,
+                cluster_by: Sequence[str], unique_by: str, file_bytes: int = 128 << 20,
+                made: Callable[[DataFrame], DataFrame] | None = None,
+                compression: str | None = None) -> str:
+    """Clustered table from stored tables, one after the other: each holds other values
+    of ``partition_col``. ``made`` adds the columns that need not be shuffled. The
+    version counts when all are written."""
+    keys = [partition_col, *cluster_by, unique_by]
+    version = None
+    for rows in parts:
+        spark = rows.sparkSession
+        version = version or _next(spark, path)
+        df = _arranged(rows, keys, file_bytes)
+        w = (made(df) if made else df).write.mode("append").partitionBy(partition_col).option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        if compression:
+            w = w.option("compression", compression)
+        with shuffles_dropped(spark):
+            w.parquet(version)
+    fs, p = _hadoop(spark, f"{version}/_SUCCESS")
+    fs.create(p, True).close()
     _retire(spark, path)
     return version
 
 
 def overwrite_partitions(rows: DataFrame, folder: str, partition_col: str, values: Sequence,
                          cluster_by: Sequence[str], unique_by: str,
-                         file_bytes: int = 128 << 20) -> None:
+                         file_bytes: int = 128 << 20,
+                         made: Callable[[DataFrame], DataFrame] | None = None,
+                         compression: str | None = None) -> None:
     """Replace the partitions ``values`` of a clustered table by ``rows`` (a stored
     table, which does not read ``folder``); the others are not touched. A partition
-    without rows is removed. Spark swaps the partitions in when all are written."""
+    without rows is removed. Spark swaps the partitions in when all are written.
+    ``made`` adds the columns that need not be shuffled."""
     spark = rows.sparkSession
-    size = sum(fs.getFileStatus(p).getLen() for fs, p in (
-        _hadoop(spark, f) for f in rows.inputFiles()))
-    keys = [partition_col, *cluster_by, unique_by]
+    df = _arranged(rows, [partition_col, *cluster_by, unique_by], file_bytes)
+    w = (made(df) if made else df).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    if compression:
+        w = w.option("compression", compression)
     with shuffles_dropped(spark):
-        (rows.repartitionByRange(max(1, -(-size // file_bytes)), *[F.col(k) for k in keys])
-         .sortWithinPartitions(*keys).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(folder))
+        w.parquet(folder)
     left = {r[0] for r in rows.select(partition_col).distinct().collect()}
     for value in set(values) - left:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
